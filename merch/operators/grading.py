@@ -62,17 +62,26 @@ def entropy_weights(df: DataFrame, cols: list[str] = MEASURES, eps: float = 1e-1
 def sku_score(df: DataFrame, weights: DataFrame, cols: list[str] = MEASURES) -> DataFrame:
     """Add ``<col>_mms`` (min-max over the rows behind the weights) and the weighted ``score``.
 
-    The one-row weights enter as a scalar subquery, so the rows are not shuffled.
+    The weights are one row by construction; it is read here and enters the
+    plan as literals, so the SKU rows are neither joined nor shuffled for it.
     """
-    fields = [f for c in cols for f in (f"w_{c}", f"{c}_min", f"{c}_max")]
-    one = weights.select(F.struct(*fields).alias("s")).scalar()
-    with_stats = df.withColumn("_s", one)
-    scaled = with_stats.withColumns(
-        {f"{c}_mms": min_max(F.col(c).cast("double"), F.col(f"_s.{c}_min"), F.col(f"_s.{c}_max")) for c in cols}
+    w = weights.first()
+    scaled = df.withColumns(
+        {f"{c}_mms": min_max(F.col(c).cast("double"), F.lit(w[f"{c}_min"]), F.lit(w[f"{c}_max"])) for c in cols}
+    )
+    parts = [F.lit(w[f"w_{c}"]) * F.col(f"{c}_mms") for c in cols]
+    return scaled.withColumn("score", sum(parts[1:], parts[0]))
+
+
+def column_shares(df: DataFrame, cols: list[str] = MEASURES, eps: float = 1e-10) -> DataFrame:
+    """Add ``p_<col>``, the share of the column total, with 0 replaced by ``eps``."""
+    totals = measure_stats(df, cols).first()
+    return df.withColumns(
+        {
+            f"p_{c}": F.when(F.col(c) == 0, F.lit(eps)).otherwise(F.col(c).cast("double") / F.lit(totals[f"{c}_sum"]))
+            for c in cols
+        }
     )
-    score = sum((F.col(f"_s.w_{c}") * F.col(f"{c}_mms") for c in cols[1:]),
-                F.col(f"_s.w_{cols[0]}") * F.col(f"{cols[0]}_mms"))
-    return scaled.withColumn("score", score).drop("_s")
 
 
 def brand_type(df: DataFrame, special: list[str], non_brand: Column) -> DataFrame:

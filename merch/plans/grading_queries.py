@@ -106,19 +106,6 @@ def _level_sources(spark, sf_dir):
     )
 
 
-def _shares(spark, sf_dir):
-    earning = _earning(spark, sf_dir)
-    stats = g.measure_stats(earning, g.MEASURES).select(F.struct(*[f"{m}_sum" for m in g.MEASURES]).alias("s"))
-    with_sums = earning.withColumn("_s", stats.scalar())
-    return with_sums.select(
-        "sku",
-        *[
-            F.when(F.col(m) == 0, F.lit(1e-10)).otherwise(F.col(m).cast("double") / F.col(f"_s.{m}_sum")).alias(f"p_{m}")
-            for m in g.MEASURES
-        ],
-    )
-
-
 def _level_update(spark, sf_dir):
     """Rows whose SKU is in a second query's result are set to level 5."""
     m = _metrics(spark, sf_dir).where("profit < 0")
@@ -139,7 +126,7 @@ QUERIES = {
         f"WITH {WEIGHTS} SELECT * FROM weights",
     ),
     "column_shares": Query(
-        _shares, "sku:l p_num:d10 p_revenue:d10 p_profit:d10",
+        lambda s, d: g.column_shares(_earning(s, d)), "sku:l p_num:d10 p_revenue:d10 p_profit:d10",
         f"WITH {METRICS}, shares AS (SELECT sku, {_SHARES} FROM earning) SELECT * FROM shares",
     ),
     "sku_score": Query(
