@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from merch.plans import grading_queries
+from merch.plans import grading_queries, history_queries
 from merch.plans.query import Query
 
-FAMILIES = [grading_queries]
+FAMILIES = [grading_queries, history_queries]
 
 
 def all_queries() -> dict[str, Query]:
