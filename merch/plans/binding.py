@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- daily sales lines ------------------------------------------------------
 
-SKU_COLUMNS = {"supplier": "l_suppkey", "part": "l_partkey"}
+SKU_COLUMNS = {"supplier": "l_suppkey", "part": "l_partkey", "order": "l_orderkey"}
 
 
 def sales(spark: SparkSession, sf_dir: str, sku: str = "part") -> DataFrame:

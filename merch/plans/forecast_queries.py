@@ -1,0 +1,193 @@
+"""Forecast queries: model routes, post-processing, wide and long results, publication."""
+
+from __future__ import annotations
+
+from itertools import product
+
+from pyspark.sql import functions as F
+
+from merch.operators import forecast as fc
+from merch.operators import history as h
+from merch.operators import stockout as so
+from merch.plans import binding as b
+from merch.plans.history_queries import END, MODEL_SQL, MONTHLY_SQL, START, daily, history_sql
+from merch.plans.query import Query
+from merch.session import staged
+
+FIXED = {"alpha": (0.3,), "beta": (0.1,), "phi": (0.9,), "gamma": (0.15,)}
+MONTHS = fc.month_labels("2001-12", 7)
+AS_OF = "2002-02-28"
+
+
+def _monthly(spark, sf_dir, sku):
+    return h.monthly_totals(h.trim_to_first_sale(daily(spark, sf_dir, sku), END), END)
+
+
+def _series(spark, sf_dir, sku):
+    return fc.monthly_series(_monthly(spark, sf_dir, sku))
+
+
+def ets_sql(sku: str, grid: dict) -> str:
+    """CTEs up to ``ets(sku, month_end, forecast)``: the smoothing recursion over every grid point."""
+    season = [(i, *p) for i, p in enumerate(product(grid["alpha"], grid["beta"], grid["phi"], grid["gamma"]))]
+    plain = [(i, *p, 0) for i, p in enumerate(product(grid["alpha"], grid["beta"], grid["phi"]))]
+
+    def rows(points):
+        return ", ".join(f"({i}, {a}::DOUBLE, {bt}::DOUBLE, {ph}::DOUBLE, {g}::DOUBLE)" for i, a, bt, ph, g in points)
+
+    return f"""{history_sql(MONTHLY_SQL, sku=sku)},
+series AS (SELECT sku, list(qty::DOUBLE ORDER BY month_end) AS y, count(*) AS n, max(month_end) AS last_month FROM monthly GROUP BY 1),
+points AS (SELECT *, TRUE AS seasonal FROM (VALUES {rows(season)}) AS v(pid, alpha, beta, phi, gamma)
+           UNION ALL SELECT *, FALSE FROM (VALUES {rows(plain)}) AS v(pid, alpha, beta, phi, gamma)),
+starts AS (SELECT sku, y, n, n >= 24 AS seasonal,
+    CASE WHEN n >= 24 THEN list_avg(y[1:12]) ELSE y[1] END AS level0,
+    CASE WHEN n >= 24 THEN (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 WHEN n > 1 THEN y[2] - y[1] ELSE 0 END AS trend0,
+    CASE WHEN n >= 24 THEN list_transform(y[1:12], lambda v: v - list_avg(y[1:12])) ELSE [0::DOUBLE] END AS season0 FROM series),
+smooth AS (
+  SELECT s.sku, s.y, s.n, p.pid, p.alpha, p.beta, p.phi, p.gamma, 0 AS t, s.level0 AS level, s.trend0 AS trend,
+         s.season0 AS season, 0::DOUBLE AS sse FROM starts s JOIN points p ON s.seasonal = p.seasonal
+  UNION ALL
+  SELECT sku, y, n, pid, alpha, beta, phi, gamma, t + 1, level + phi * trend + alpha * e, phi * trend + alpha * beta * e,
+         list_transform(season, lambda v, i: CASE WHEN i = t % len(season) + 1 THEN v + gamma * e ELSE v END), sse + e * e
+  FROM (SELECT *, y[t + 1] - (level + phi * trend + season[t % len(season) + 1]) AS e FROM smooth WHERE t < n)),
+best AS (SELECT * FROM smooth WHERE t = n QUALIFY row_number() OVER (PARTITION BY sku ORDER BY round(sse, 6), pid) = 1),
+bounds AS (SELECT sku, last_month, n, list_count(list_filter(y, lambda v: v > 0)) > 0 AS sold,
+    least(list_avg(list_filter(y, lambda v: v > 0)) * 0.8::DOUBLE, list_min(y) * 0.9::DOUBLE) AS low,
+    greatest(list_max(y) * 1.3::DOUBLE, list_aggregate(y, 'quantile_cont', 0.75) * 1.6::DOUBLE) AS high FROM series),
+raw AS (SELECT sku, k, level + list_sum(list_transform(range(1, k + 1), lambda j: phi ** j)) * trend
+               + season[(n + k - 1) % len(season) + 1] AS v
+        FROM best, range(1, 7) AS r(k)),
+ets AS (SELECT raw.sku, last_day(date_trunc('month', last_month)::DATE + to_months(k::INTEGER)) AS month_end,
+        CASE WHEN NOT sold THEN 0 WHEN n < 6 THEN least(greatest(v, low), high) ELSE v END AS forecast
+        FROM raw JOIN bounds USING (sku))"""
+
+
+FLAT_SQL = """flat AS (SELECT sku, last_day(date_trunc('month', last_month)::DATE + to_months(k::INTEGER)) AS month_end, level AS forecast
+  FROM (SELECT sku, max(month_end) AS last_month, coalesce(sum(CASE WHEN qty > 0 THEN qty END), 0) AS level,
+               count(CASE WHEN qty > 0 THEN 1 END) AS sold FROM monthly GROUP BY 1), range(1, 7) AS r(k) WHERE sold <= 1)"""
+
+
+def pipeline_daily(spark, sf_dir):
+    """Supplier SKUs with long, busy histories and order SKUs of every age, as text keys."""
+    lines = b.table(spark, sf_dir, "lineitem")
+
+    def keyed(prefix, column):
+        return lines.select(
+            F.concat(F.lit(prefix), F.col(column).cast("string")).alias("sku"),
+            F.lit(b.PLATFORM).alias("platform"),
+            F.col("l_shipdate").cast("date").alias("sales_date"),
+            F.col("l_quantity").cast("bigint").alias("sales_qty"),
+        )
+
+    both = keyed("S", "l_suppkey").unionByName(keyed("O", "l_orderkey"))
+    return h.trim_to_first_sale(h.daily_totals(both, None, START, END), END)
+
+
+def forecast_pipeline(days, end, horizon: int = 6):
+    """Correct, resample, choose a route per SKU, forecast and post-process.
+
+    The corrected days are staged once; the routes are filtered branches of it.
+    """
+    adjusted = staged(so.correct_stockout_sales(days).select("sku", "sales_date", F.col("adjusted_qty").alias("qty")), "adjusted")
+    monthly = staged(h.monthly_totals(adjusted, end, "qty"), "monthly")
+    models = staged(h.select_model(monthly), "models")
+    route = {m: models.where(F.col("model_type") == m).select("sku") for m in (-1, 0, 1)}
+    series = fc.monthly_series(monthly.join(models.where("model_type < 1").select("sku"), "sku", "left_semi"))
+    flat = fc.forecast_flat(series.join(route[-1], "sku", "left_semi"), horizon)
+    ets = fc.forecast_ets(series.join(route[0], "sku", "left_semi"), horizon)
+    weekly = h.weekly_totals(adjusted.join(route[1], "sku", "left_semi"), end, "qty")
+    features = staged(h.weekly_features(weekly), "features")
+    learned = fc.forecast_weekly_ml(features, h.weekly_samples(features))
+    return fc.postprocess_forecast(flat.unionByName(ets).unionByName(learned), models)
+
+
+def _pipeline(spark, sf_dir):
+    return forecast_pipeline(pipeline_daily(spark, sf_dir), END)
+
+
+def _flat(spark, sf_dir):
+    return fc.forecast_flat(_series(spark, sf_dir, "order"))
+
+
+def _weekly_ml(spark, sf_dir):
+    weekly = h.weekly_totals(h.trim_to_first_sale(daily(spark, sf_dir, "supplier"), END), END)
+    features = staged(h.weekly_features(weekly), "features")
+    return fc.forecast_weekly_ml(features, h.weekly_samples(features))
+
+
+def _processed(spark, sf_dir):
+    monthly = staged(_monthly(spark, sf_dir, "supplier"), "monthly")
+    pred = fc.forecast_ets(fc.monthly_series(monthly), grid=FIXED)
+    return fc.postprocess_forecast(pred, h.select_model(monthly))
+
+
+PROCESSED_SQL = f"""{ets_sql("supplier", FIXED)}, {MODEL_SQL},
+processed AS (SELECT sku, month_end AS date, model_type, CAST(CASE WHEN mean_daily <= 5 THEN ceil(v) ELSE round_even(v, 0) END AS BIGINT) AS predicted_qty
+  FROM (SELECT sku, month_end, model_type, mean_daily, greatest(forecast, 0)
+          * (1 + (-0.05::DOUBLE) / 5 * (row_number() OVER (PARTITION BY sku ORDER BY month_end) - 1)) AS v
+        FROM ets JOIN models USING (sku)))"""
+WIDE_SQL = f"""{PROCESSED_SQL}, months AS (SELECT sku, model_type, strftime(date, '%Y-%m') AS month, sum(predicted_qty)::BIGINT AS value
+  FROM processed GROUP BY 1, 2, 3)"""
+
+
+def _wide(spark, sf_dir):
+    wide = fc.forecast_wide(_processed(spark, sf_dir), MONTHS, drop_last=True)
+    return wide.select("sku", "model_type", *[F.col(f"`{m}`").alias("m" + m.replace("-", "_")) for m in MONTHS[:-1]])
+
+
+def _long(spark, sf_dir):
+    return fc.forecast_long(fc.forecast_wide(_processed(spark, sf_dir), MONTHS))
+
+
+def _published(spark, sf_dir):
+    """An earlier run of constant forecasts gives way to the new one after the cut date."""
+    new = _processed(spark, sf_dir).select(
+        "sku", F.lit(b.PLATFORM).alias("platform"), F.col("date").alias("predict_date"), "predicted_qty", "model_type"
+    )
+    new = staged(new, "forecast")
+    old = new.withColumn("predicted_qty", F.lit(-1).cast("bigint"))
+    return fc.forecast_publish(old, new.where(F.col("predict_date") > F.lit(AS_OF).cast("date")), AS_OF)
+
+
+QUERIES = {
+    "forecast_flat": Query(
+        _flat, "sku:l date:s forecast:d4",
+        f"{history_sql(MONTHLY_SQL, FLAT_SQL, sku='order')} SELECT sku, month_end AS date, forecast FROM flat",
+    ),
+    "forecast_ets": Query(
+        lambda s, d: fc.forecast_ets(_series(s, d, "supplier")), "sku:l date:s forecast:d4",
+        f"{ets_sql('supplier', fc.GRID)} SELECT sku, month_end AS date, forecast FROM ets",
+    ),
+    "forecast_ets_fixed_parameters": Query(
+        lambda s, d: fc.forecast_ets(_series(s, d, "order"), grid=FIXED), "sku:l date:s forecast:d4",
+        f"{ets_sql('order', FIXED)} SELECT sku, month_end AS date, forecast FROM ets",
+    ),
+    "forecast_weekly_ml": Query(_weekly_ml, "sku:l date:s forecast:d3"),
+    "postprocess_forecast": Query(
+        _processed, "sku:l date:s predicted_qty:l model_type:l", f"{PROCESSED_SQL} SELECT * FROM processed"
+    ),
+    "forecast_by_month": Query(
+        lambda s, d: fc.forecast_months(_processed(s, d)), "sku:l model_type:l month:s value:l", f"{WIDE_SQL} SELECT * FROM months"
+    ),
+    "forecast_wide": Query(
+        _wide,
+        "sku:l model_type:l " + " ".join("m" + m.replace("-", "_") + ":d0" for m in MONTHS[:-1]),
+        f"{WIDE_SQL} SELECT sku, model_type, "
+        + ", ".join(f"sum(CASE WHEN month = '{m}' THEN value END) AS m{m.replace('-', '_')}" for m in MONTHS[:-1])
+        + " FROM months GROUP BY 1, 2",
+    ),
+    "forecast_long": Query(
+        _long,
+        "sku:l model_type:l variable:s value:d0",
+        f"""{WIDE_SQL} SELECT s.sku, s.model_type, v.month AS variable, m.value FROM (SELECT DISTINCT sku, model_type FROM months) s
+            CROSS JOIN (VALUES {", ".join(f"('{m}')" for m in MONTHS)}) AS v(month)
+            LEFT JOIN months m ON m.sku = s.sku AND m.month = v.month""",
+    ),
+    "forecast_publish": Query(
+        _published,
+        "sku:l platform:s predict_date:s predicted_qty:l model_type:l",
+        f"""{PROCESSED_SQL} SELECT sku, '{b.PLATFORM}' AS platform, date AS predict_date, model_type,
+            CASE WHEN date <= DATE '{AS_OF}' THEN -1 ELSE predicted_qty END AS predicted_qty FROM processed""",
+    ),
+    "forecast_pipeline": Query(_pipeline, "sku:s date:s predicted_qty:l model_type:l"),
+}
