@@ -44,7 +44,8 @@ def line_weight(position: Column, n: Column, start: float, stop: float) -> Colum
 
 def split_units(units: Column, people: Column, rank: Column) -> Column:
     """Share of the person at ``rank`` (from 1) when units go round as evenly as possible."""
-    return F.floor(units / people) + F.when(rank <= F.pmod(units, people), 1).otherwise(0)
+    odd = F.pmod(units, people)
+    return (units - odd) / people + F.when(rank <= odd, 1).otherwise(0)
 
 
 def capped_at(x: Column, top: Column) -> Column:
