@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from merch.plans import allocation_queries, forecast_queries, grading_queries, history_queries, ingest_queries, listing_queries, moq_queries
+from merch.plans import allocation_queries, forecast_queries, grading_queries, history_queries, ingest_queries, listing_queries, moq_queries, streaming_queries
 from merch.plans.query import Query
 
-FAMILIES = [grading_queries, history_queries, forecast_queries, allocation_queries, moq_queries, listing_queries, ingest_queries]
+FAMILIES = [grading_queries, history_queries, forecast_queries, allocation_queries, moq_queries, listing_queries, ingest_queries, streaming_queries]
 
 
 def all_queries() -> dict[str, Query]:
