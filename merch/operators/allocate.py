@@ -13,7 +13,6 @@ Money is held in cents, so depletion is exact.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,43 +107,46 @@ def open_state(targets: DataFrame, sharded: DataFrame, partition_cols: list[str]
 # --- the ordered fold -------------------------------------------------------
 
 
-def _weighted(units, price, who, low, high):
+def _weighted(units: int, price: int, who: list[int], low: list[int], high: list[int]):
     """A base share for everyone, the rest in proportion to what each still has to sell.
 
     A person whose low target is used up is no longer charged.
     """
-    n = len(who)
-    base = int(np.rint((units // n) * BASE_SHARE))
-    charge = np.where(low[who] > 0, base * price, 0)
-    high[who] -= charge
-    left = np.where(low[who] > 0, np.maximum(low[who] - charge, 0), low[who])
-    total = left.sum()
-    rest = units - base * n
-    extra = np.rint(rest * (left / total)).astype(np.int64) if total else np.zeros(n, np.int64)
-    charge2 = np.where(left > 0, extra * price, 0)
-    high[who] -= charge2
-    low[who] = np.where(left > 0, np.maximum(left - charge2, 0), left)
-    return base + extra, charge + charge2
-
-
-def _even(units, price, who, low, high, *, whom, by_high, clamp):
-    """Units dealt as evenly as possible, odd ones to those with most left to sell; -1 for no cell."""
-    ties = (who, -high[who], -low[who]) if by_high else (who, -low[who])
-    ranked = np.lexsort(ties)
-    open_ = int((low[who] > 0).sum())
-    people = len(who) if whom == "all" or (whom == "unmet" and open_ == 0) else open_
-    dealt = np.full(len(who), -1 if whom == "unmet_only" else 0, np.int64)
-    if people:
-        each, odd = divmod(max(units, 0), people)
-        dealt[ranked[:people]] = each
-        dealt[ranked[:odd]] += 1
-    charge = np.maximum(dealt, 0) * price
-    low[who] -= charge
-    high[who] -= charge
-    if clamp:
-        low[who] = np.maximum(low[who], 0)
-        high[who] = np.maximum(high[who], 0)
-    return dealt, charge
+    base = round(units // len(who) * BASE_SHARE)
+    rest = units - base * len(who)
+
+    def charge(w: int, qty: int) -> int:
+        if low[w] <= 0:
+            return 0
+        value = qty * price
+        low[w] = max(low[w] - value, 0)
+        high[w] -= value
+        return value
+
+    spent = [charge(w, base) for w in who]
+    left = [low[w] for w in who]
+    total = sum(left)
+    extra = [round(rest * (x / total)) for x in left] if total else [0] * len(who)
+    return [base + e for e in extra], [s + charge(w, e) for s, w, e in zip(spent, who, extra)]
+
+
+def _even(units: int, price: int, who: list[int], low: list[int], high: list[int], *, whom, by_high, clamp):
+    """Units dealt as evenly as possible, odd ones to those with most left to sell; None for no cell."""
+    rank = (lambda k: (-low[who[k]], -high[who[k]], k)) if by_high else (lambda k: (-low[who[k]], k))
+    ranked = sorted(range(len(who)), key=rank)
+    unmet = sum(low[w] > 0 for w in who)
+    people = len(who) if whom == "all" or (whom == "unmet" and unmet == 0) else unmet
+    dealt = [None if whom == "unmet_only" else 0] * len(who)
+    each, odd = divmod(max(units, 0), people) if people else (0, 0)
+    for place, k in enumerate(ranked[:people]):
+        dealt[k] = each + (place < odd)
+    spent = [(qty or 0) * price for qty in dealt]
+    for w, value in zip(who, spent):
+        low[w] -= value
+        high[w] -= value
+        if clamp:
+            low[w], high[w] = max(low[w], 0), max(high[w], 0)
+    return dealt, spent
 
 
 def _fold(step, drop_spent=False):
@@ -156,16 +158,17 @@ def _fold(step, drop_spent=False):
         )
         state = state.sort_values("principal")
         spot = {p: i for i, p in enumerate(state["principal"])}
-        low, high = state["low"].to_numpy(np.int64).copy(), state["high"].to_numpy(np.int64).copy()
+        low, high = state["low"].tolist(), state["high"].tolist()
         people, qty, spend = [], [], []
-        for units, price, names in zip(skus["units"], skus["price_cents"], skus["principals"]):
+        for units, price, names in zip(skus["units"].tolist(), skus["price_cents"].tolist(), skus["principals"]):
             names = [p for p in names if p in spot]
-            who = np.array([spot[p] for p in names], dtype=np.int64)
-            given, charge = step(int(units), int(price), who, low, high) if names else ((), np.array(()))
-            gone = [g < 0 or (drop_spent and high[w] <= 0) for w, g in zip(who, given)]
+            who = [spot[p] for p in names]
+            given, charged = step(units, price, who, low, high) if who else ([], [])
+            if drop_spent:
+                given = [None if high[w] <= 0 else g for w, g in zip(who, given)]
             people.append(names)
-            qty.append([None if lost else int(g) for lost, g in zip(gone, given)])
-            spend.append(charge.tolist())
+            qty.append(given)
+            spend.append(charged)
         return skus.assign(principals=people, qty=qty, spend=spend)
 
     return run

@@ -150,7 +150,7 @@ MODEL_INPUTS = ["last", "mean4", "mean13", "mean36", "peak", "last_near", "mean_
 
 
 def _model_rows(df: DataFrame, h: int) -> DataFrame:
-    """One row per sample and horizon with the regressors of the weekly model."""
+    """One row per sample and horizon with the regressors of the weekly model (and ``label``, if known)."""
     level = F.transform("inputs", lambda r: F.get(r, F.lit(FEATURES.index("qty_smooth"))))
     recent = df.withColumn("_q", level).withColumns(
         {
@@ -162,7 +162,11 @@ def _model_rows(df: DataFrame, h: int) -> DataFrame:
             "peak": F.array_max("_q"),
         }
     )
-    rows = recent.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(h))))
+    if "targets" in df.columns:
+        spread = recent.select(*recent.columns, F.posexplode("targets").alias("_ahead", "label"))
+        rows = spread.withColumn("horizon", F.col("_ahead") + 1)
+    else:
+        rows = recent.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(h))))
     angle = F.dayofyear(F.date_add("sample_end", F.col("horizon") * 7)) * F.lit(2 * np.pi / 365.25)
     near = F.exp(-F.col("horizon") / F.lit(6.0))
     return rows.withColumns(
@@ -176,29 +180,31 @@ def _model_rows(df: DataFrame, h: int) -> DataFrame:
     )
 
 
-def fit_weekly_model(samples: DataFrame, h: int = 27, reg: float = 1e-4):
-    """One linear model for all SKUs, direct for every horizon.
+def fit_weekly_model(samples: DataFrame, h: int = 27, ridge: float = 1e-6) -> dict[str, float]:
+    """Coefficients of one linear model for all SKUs, direct for every horizon.
 
-    The normal-equation solver needs one pass of partial sums over the samples;
-    nothing but the small Gram matrix leaves the executors.
+    Least squares by its normal equations: one pass of partial sums over all
+    samples and horizons, of which a matrix as wide as the inputs comes back.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    rows = _model_rows(samples, h).withColumn("label", F.get("targets", F.col("horizon") - 1))
-    pipeline = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features"),
-            LinearRegression(solver="normal", regParam=reg, predictionCol="scaled"),
-        ]
-    )
-    return pipeline.fit(rows.select("label", *MODEL_INPUTS))
-
-
-def predict_weekly(model, windows: DataFrame, h: int = 27) -> DataFrame:
+    terms = {"label": F.col("label"), "one": F.lit(1.0), **{c: F.col(c) for c in MODEL_INPUTS}}
+    names = list(terms)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    sums = _model_rows(samples, h).agg(*[F.sum(terms[a] * terms[b]).alias(f"{a}|{b}") for a, b in pairs]).first()
+    inputs = names[1:]
+    if not sums["one|one"]:
+        return dict.fromkeys(inputs, 0.0)
+    gram = np.array([[sums[f"{a}|{b}" if (a, b) in pairs else f"{b}|{a}"] for b in inputs] for a in inputs])
+    right = np.array([sums[f"label|{a}"] for a in inputs])
+    weights = np.linalg.solve(gram + ridge * sums["one|one"] * np.eye(len(inputs)), right)
+    return dict(zip(inputs, weights.tolist()))
+
+
+def predict_weekly(model: dict[str, float], windows: DataFrame, h: int = 27) -> DataFrame:
     """Scaled predictions for each window (``inputs`` and ``sample_end``) and horizon."""
-    return model.transform(_model_rows(windows, h))
+    scaled = F.lit(model["one"])
+    for c in MODEL_INPUTS:
+        scaled = scaled + F.col(c) * F.lit(model[c])
+    return _model_rows(windows, h).withColumn("scaled", scaled)
 
 
 def last_windows(features: DataFrame, n_in: int = 36) -> DataFrame:

@@ -91,11 +91,12 @@ def forecast_pipeline(days, end, horizon: int = 6):
     adjusted = staged(so.correct_stockout_sales(days).select("sku", "sales_date", F.col("adjusted_qty").alias("qty")), "adjusted")
     monthly = staged(h.monthly_totals(adjusted, end, "qty"), "monthly")
     models = staged(h.select_model(monthly), "models")
-    route = {m: models.where(F.col("model_type") == m).select("sku") for m in (-1, 0, 1)}
-    series = fc.monthly_series(monthly.join(models.where("model_type < 1").select("sku"), "sku", "left_semi"))
-    flat = fc.forecast_flat(series.join(route[-1], "sku", "left_semi"), horizon)
-    ets = fc.forecast_ets(series.join(route[0], "sku", "left_semi"), horizon)
-    weekly = h.weekly_totals(adjusted.join(route[1], "sku", "left_semi"), end, "qty")
+    short = fc.monthly_series(monthly.join(models.where("model_type < 1").select("sku"), "sku", "left_semi"))
+    series = staged(short.join(models.select("sku", "model_type"), "sku"), "series")
+    flat = fc.forecast_flat(series.where("model_type = -1"), horizon)
+    ets = fc.forecast_ets(series.where("model_type = 0"), horizon)
+    busy = models.where("model_type = 1").select("sku")
+    weekly = h.weekly_totals(adjusted.join(busy, "sku", "left_semi"), end, "qty")
     features = staged(h.weekly_features(weekly), "features")
     learned = fc.forecast_weekly_ml(features, h.weekly_samples(features))
     return fc.postprocess_forecast(flat.unionByName(ets).unionByName(learned), models)

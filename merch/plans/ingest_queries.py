@@ -10,7 +10,7 @@ from merch.operators import grading as g
 from merch.plans import binding as b
 from merch.plans.grading_queries import METRICS
 from merch.plans.query import Query
-from merch.session import stage_path, staged
+from merch.session import spread, stage_path, staged
 from merch.sources import feeds as fd
 from merch.sources import tables as tb
 from merch.sources import workbook as wb
@@ -159,7 +159,7 @@ def freight_orders(spark, sf_dir):
         ),
     )
     order = F.struct(key.cast("string").alias("orderNo"), F.col("o_custkey").cast("string").alias("customer"), goods.alias("goodsList"))
-    replies = b.table(spark, sf_dir, "orders").select(_reply(F.array(order), key % 10 != 0).alias("body"))
+    replies = spread(b.table(spark, sf_dir, "orders")).select(_reply(F.array(order), key % 10 != 0).alias("body"))
     return fd.freight_orders(replies)
 
 

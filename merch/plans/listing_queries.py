@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from merch.operators import listings as ls
 from merch.plans import binding as b
 from merch.plans.query import Query
+from merch.session import spread
 
 LINK = "https://shop.example/itm/"
 
@@ -43,7 +44,7 @@ CATEGORY = "CASE WHEN p_size % 2 = 0 THEN 'wheelhub' ELSE 'abssensor' END"
 
 
 def pages(spark, sf_dir):
-    return b.table(spark, sf_dir, "part").selectExpr(
+    return spread(b.table(spark, sf_dir, "part")).selectExpr(
         f"'{LINK}' || CAST(p_partkey AS STRING) AS url",
         f"{CATEGORY} AS category",
         f"CASE WHEN {BROKEN} THEN '<html><body>gone</body></html>' ELSE {HTML} END AS html",

@@ -13,6 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -23,6 +24,8 @@ def local_session(cpus: int = 8, name: str = "merch", memory: str = "8g") -> Spa
         .appName(name)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # Small tables still use every core after a shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
@@ -49,6 +52,16 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/merch/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores when the source has fewer splits than that.
+
+    For work that is heavy per row. Large tables have enough splits already and
+    pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def staged(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
