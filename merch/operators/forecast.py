@@ -15,6 +15,7 @@ from merch.functions.numbers import half_even, line_weight
 from merch.operators.history import FEATURES
 
 SEASON = 12
+BLOCK = 128  # rows smoothed together; keeps the working arrays in cache
 # Smoothing candidates: level, trend share, damping, season.
 GRID = {"alpha": (0.1, 0.3, 0.5, 0.7, 0.9), "beta": (0.0, 0.1, 0.3), "phi": (0.8, 0.9, 0.98), "gamma": (0.05, 0.15, 0.3)}
 
@@ -98,7 +99,8 @@ def smoothing_udf(h: int, grid: dict):
         values = series.to_numpy()
         for n in np.unique(lengths):
             rows = np.flatnonzero(lengths == n)
-            out[rows] = _smooth(np.stack(values[rows]).astype(float), grid, h)
+            for block in np.array_split(rows, -(-len(rows) // BLOCK)):
+                out[block] = _smooth(np.stack(values[block]).astype(float), grid, h)
         return pd.Series(list(out))
 
     return smooth

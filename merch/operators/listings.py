@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merch.functions.text import clip_text, double_quotes
 
@@ -38,6 +39,28 @@ CATEGORIES = [
 ]
 CATEGORY_RULES = {c: WHEEL_HUB_RULES if c == "wheelhub" else RULES for c in CATEGORIES}
 
+# Columns of a listing table, all text, with what they hold.
+LISTING = T.StructType(
+    [
+        T.StructField(name, T.StringType(), True, {"comment": comment})
+        for name, comment in [
+            ("vc_item", "title"),
+            ("vc_item_link", "link"),
+            ("d_sell_price", "price in dollars"),
+            ("d_num1", "sales note"),
+            ("d_num2", "sales note"),
+            ("vc_type", "type"),
+            ("vc_brand", "brand"),
+            ("vc_manufacturer_part_number", "part number of the maker"),
+            ("vc_oe_number", "OE/OEM number"),
+            ("vc_items_included", "items included"),
+            ("vc_placement_on_vehicle", "placement on vehicle"),
+            ("vc_interchange_part_num", "interchange part number"),
+            ("d_wheelhub_stub_quantity", "wheel stud quantity"),
+        ]
+    ]
+)
+
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 
@@ -155,3 +178,17 @@ def listing_deadletter(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pages to read, failed links)."""
     good = has_container(F.col("html"))
     return pages.where(good), pages.where(~good).select(*[c for c in pages.columns if c != "html"])
+
+
+def listing_rows(df: DataFrame) -> DataFrame:
+    """Rows in the shape of the listing table: every column, missing ones NULL, and the ``category`` it is partitioned by."""
+    cells = [
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast("string").alias(f.name, metadata=f.metadata)
+        for f in LISTING.fields
+    ]
+    return df.select(*cells, "category")
+
+
+def write_listings(df: DataFrame, path: str) -> None:
+    """One table for all categories instead of one per category; a category is a folder."""
+    listing_rows(df).write.mode("append").partitionBy("category").parquet(path)

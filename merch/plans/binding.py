@@ -86,11 +86,11 @@ PART_SQL = (
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sku, name, type, num, revenue, profit; the lines are summed before parts are joined."""
-    day = F.col("l_shipdate").cast("date")
+    shipped = F.col("l_shipdate")
     paid = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     sums = (
         table(spark, sf_dir, "lineitem")
-        .where(day.between(F.lit(START).cast("date"), F.lit(END).cast("date")))
+        .where((shipped >= F.lit(START).cast("timestamp")) & (shipped < F.date_add(F.lit(END).cast("date"), 1).cast("timestamp")))
         .groupBy(F.col("l_partkey").alias("sku"))
         .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("num"), F.sum(paid).alias("paid"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from merch.operators import listings as ls
 from merch.plans import binding as b
 from merch.plans.query import Query
-from merch.session import spread
+from merch.session import spread, stage_path
 
 LINK = "https://shop.example/itm/"
 
@@ -86,6 +86,14 @@ def _quoted(spark, sf_dir):
     return ls.listing_attributes(pages(spark, sf_dir), quote_twice=True)
 
 
+def _table(spark, sf_dir):
+    """Listings of both categories in one table, read back one category at a time."""
+    path = stage_path(spark, "listings")
+    ls.write_listings(listings(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return back.where("category = 'wheelhub'").unionByName(back.where("category = 'abssensor' AND d_num1 IS NOT NULL"))
+
+
 ATTRIBUTES_SQL = f"""SELECT '{LINK}' || p_partkey AS vc_item_link, {CATEGORY} AS category, p_brand AS vc_brand,
   CASE WHEN p_size % 2 = 0 THEN {MPN} ELSE left({MPN}, 100) END AS vc_manufacturer_part_number, left({OE}, 100) AS vc_oe_number,
   CASE WHEN p_size % 2 = 1 THEN p_type END AS vc_items_included, CASE WHEN p_size % 2 = 0 THEN p_size::VARCHAR END AS d_wheelhub_stub_quantity,
@@ -108,6 +116,11 @@ QUERIES = {
         _quoted, "vc_item_link:s vc_interchange_part_num:s",
         f"SELECT vc_item_link, replace(vc_interchange_part_num, '''', '''''') AS vc_interchange_part_num FROM ({ATTRIBUTES_SQL})",
     ),
+    "listing_table": Query(
+        _table, "vc_item_link:s category:s vc_item:s vc_brand:s",
+        f"""SELECT '{LINK}' || p_partkey AS vc_item_link, {CATEGORY} AS category, p_name AS vc_item, NULL AS vc_brand FROM part
+            WHERE p_size % 2 = 0 OR p_size % 3 < 2""",
+    ),
     "listing_deadletter": Query(
         _split, "url:s target:s",
         f"""SELECT '{LINK}' || p_partkey AS url, CASE WHEN {BROKEN} THEN 'failed' ELSE 'detail' END AS target FROM part

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from merch.functions.text import header_name, strip_thousands, trim_or_null
 
 # 0-based places of the columns that carry thousands separators, per feed.
-NUMERIC_PLACES = {"m_inventory_warehouse": (2, 3), "m_sales_quantity": (6, 7, 8, 9)}
+NUMERIC_PLACES = {"inventory": (2, 3), "sales": (6, 7, 8, 9)}
 
 
 def schema_from_labels(labels: list[str], renames: dict[str, str] | None = None) -> T.StructType:

@@ -52,7 +52,7 @@ def test_null_safe_update_and_delete(spark):
 
 def test_clean_rows_by_place(spark):
     df = spark.createDataFrame([("a ", " ", "1,2，3", "nan"), (None, "x", "", " 4 ")], "a string, b string, c string, d string")
-    rows = [tuple(r) for r in wb.clean_rows(df, wb.NUMERIC_PLACES["m_inventory_warehouse"]).collect()]
+    rows = [tuple(r) for r in wb.clean_rows(df, wb.NUMERIC_PLACES["inventory"]).collect()]
     assert rows == [("a", None, "123", None), (None, "x", None, "4")]
 
 
