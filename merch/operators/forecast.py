@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from merch.functions import dates as dt
 from merch.functions.numbers import half_even, line_weight
-from merch.operators.history import FEATURES
+from merch.operators.history import FEATURES, model_type
 
 SEASON = 12
 BLOCK = 128  # rows smoothed together; keeps the working arrays in cache
@@ -21,11 +21,17 @@ GRID = {"alpha": (0.1, 0.3, 0.5, 0.7, 0.9), "beta": (0.0, 0.1, 0.3), "phi": (0.8
 
 
 def monthly_series(monthly: DataFrame) -> DataFrame:
-    """One row per SKU with its months in order; bounded by the months of the calendar."""
-    return (
-        monthly.groupBy("sku")
-        .agg(F.array_sort(F.collect_list(F.struct("month_end", F.col("qty").cast("double").alias("qty")))).alias("_m"))
-        .select("sku", F.col("_m.qty").alias("y"), F.element_at("_m", -1)["month_end"].alias("last_month"))
+    """One row per SKU with its months in order (bounded by the calendar) and its forecast route."""
+    month = F.struct("month_end", F.col("qty").cast("double").alias("qty"))
+    skus = monthly.groupBy("sku").agg(
+        F.array_sort(F.collect_list(month)).alias("_m"), F.avg("daily_mean").alias("mean_daily")
+    )
+    return skus.select(
+        "sku",
+        F.col("_m.qty").alias("y"),
+        F.element_at("_m", -1)["month_end"].alias("last_month"),
+        "mean_daily",
+        model_type(F.size("_m"), F.col("mean_daily")).alias("model_type"),
     )
 
 

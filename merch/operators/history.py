@@ -179,20 +179,19 @@ def weekly_totals(daily: DataFrame, end: str, qty: str = "total_sales_qty") -> D
     )
 
 
-def select_model(monthly: DataFrame, min_months: int = 18, low: float = 3.0) -> DataFrame:
-    """model_type per SKU: -1 under two months, 0 for short or slow histories, else 1."""
+def model_type(months: Column, mean_daily: Column, min_months: int = 18, low: float = 3.0) -> Column:
+    """Forecast route: -1 under two months, 0 for short or slow histories, else 1."""
     return (
-        monthly.groupBy("sku")
-        .agg(F.count(F.lit(1)).alias("months"), F.avg("daily_mean").alias("mean_daily"))
-        .withColumn(
-            "model_type",
-            F.when(F.col("months") < 2, -1)
-            .when((F.col("months") < min_months) | (F.col("mean_daily") <= low), 0)
-            .otherwise(1),
-        )
+        F.when(months < 2, -1).when((months < min_months) | (mean_daily <= low), 0).otherwise(1)
     )
 
 
+def select_model(monthly: DataFrame, min_months: int = 18, low: float = 3.0) -> DataFrame:
+    """Months, mean of monthly daily means, and the route of each SKU."""
+    stats = monthly.groupBy("sku").agg(F.count(F.lit(1)).alias("months"), F.avg("daily_mean").alias("mean_daily"))
+    return stats.withColumn("model_type", model_type(F.col("months"), F.col("mean_daily"), min_months, low))
+
+
 FEATURES = ["qty_smooth", "day_of_week", "day_of_month", "week_of_year", "month", "quarter", "year_progress"]
 
 

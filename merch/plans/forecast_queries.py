@@ -86,20 +86,18 @@ def pipeline_daily(spark, sf_dir):
 def forecast_pipeline(days, end, horizon: int = 6):
     """Correct, resample, choose a route per SKU, forecast and post-process.
 
-    The corrected days are staged once; the routes are filtered branches of it.
+    The corrected days and the monthly series are staged once; the routes are
+    filtered branches of them.
     """
     adjusted = staged(so.correct_stockout_sales(days).select("sku", "sales_date", F.col("adjusted_qty").alias("qty")), "adjusted")
-    monthly = staged(h.monthly_totals(adjusted, end, "qty"), "monthly")
-    models = staged(h.select_model(monthly), "models")
-    short = fc.monthly_series(monthly.join(models.where("model_type < 1").select("sku"), "sku", "left_semi"))
-    series = staged(short.join(models.select("sku", "model_type"), "sku"), "series")
+    series = staged(fc.monthly_series(h.monthly_totals(adjusted, end, "qty")), "series")
     flat = fc.forecast_flat(series.where("model_type = -1"), horizon)
     ets = fc.forecast_ets(series.where("model_type = 0"), horizon)
-    busy = models.where("model_type = 1").select("sku")
+    busy = series.where("model_type = 1").select("sku")
     weekly = h.weekly_totals(adjusted.join(busy, "sku", "left_semi"), end, "qty")
     features = staged(h.weekly_features(weekly), "features")
     learned = fc.forecast_weekly_ml(features, h.weekly_samples(features))
-    return fc.postprocess_forecast(flat.unionByName(ets).unionByName(learned), models)
+    return fc.postprocess_forecast(flat.unionByName(ets).unionByName(learned), series)
 
 
 def _pipeline(spark, sf_dir):
