@@ -6,15 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def day_number(d: Column) -> Column:
-    """Days since 1970-01-01."""
-    return F.unix_date(d)
-
-
-def month_start(d: Column) -> Column:
-    return F.trunc(d, "MM")
-
-
 def month_end(d: Column) -> Column:
     return F.last_day(d)
 

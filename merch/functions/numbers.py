@@ -37,9 +37,13 @@ def min_max_inverse(c: Column, low: Column, high: Column) -> Column:
 
 
 def line_weight(position: Column, n: Column, start: float, stop: float) -> Column:
-    """Evenly spaced weights: position 0 gets ``start``, position n-1 gets ``stop``."""
-    step = F.when(n > 1, F.lit(stop - start) / (n - 1)).otherwise(F.lit(0.0))
-    return F.lit(start) + step * position
+    """Evenly spaced weights: position 0 gets ``start``, position n-1 gets exactly ``stop``.
+
+    One position alone gets ``start``. The end is set, not computed, because a
+    weight above it by one bit would push whole products over the next integer.
+    """
+    inner = position * (F.lit(stop - start) / (n - 1)) + F.lit(start)
+    return F.when(position == 0, F.lit(start)).when(position == n - 1, F.lit(stop)).otherwise(inner)
 
 
 def split_units(units: Column, people: Column, rank: Column) -> Column:

@@ -120,15 +120,31 @@ def _processed(spark, sf_dir):
     return fc.postprocess_forecast(pred, h.select_model(monthly))
 
 
-PROCESSED_SQL = f"""{ets_sql("supplier", FIXED)}, {MODEL_SQL},
-processed AS (SELECT sku, month_end AS date, model_type, CAST(CASE WHEN mean_daily <= 5 THEN ceil(v) ELSE round_even(v, 0) END AS BIGINT) AS predicted_qty
+def processed_sql(source):
+    """``processed``: faded and rounded whole quantities from ``source(sku, month_end, forecast)``."""
+    return f"""processed AS (SELECT sku, month_end AS date, model_type, CAST(CASE WHEN mean_daily <= 5 THEN ceil(v) ELSE round_even(v, 0) END AS BIGINT) AS predicted_qty
   FROM (SELECT sku, month_end, model_type, mean_daily, greatest(forecast, 0)
-          * (1 + (-0.05::DOUBLE) / 5 * (row_number() OVER (PARTITION BY sku ORDER BY month_end) - 1)) AS v
-        FROM ets JOIN models USING (sku)))"""
+          * CASE WHEN i = 5 THEN 0.95::DOUBLE ELSE i * ((0.95::DOUBLE - 1) / 5) + 1 END AS v
+        FROM (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY month_end) - 1 AS i FROM {source}) JOIN models USING (sku)))"""
+
+
+PROCESSED_SQL = f"{ets_sql('supplier', FIXED)}, {MODEL_SQL}, {processed_sql('ets')}"
+ROUTES_SQL = f"""{ets_sql('order', FIXED)}, {MODEL_SQL}, {FLAT_SQL},
+routes AS (SELECT sku, month_end, forecast FROM ets JOIN models USING (sku) WHERE model_type = 0
+           UNION ALL SELECT sku, month_end, forecast FROM flat JOIN models USING (sku) WHERE model_type = -1),
+{processed_sql('routes')}"""
 WIDE_SQL = f"""{PROCESSED_SQL}, months AS (SELECT sku, model_type, strftime(date, '%Y-%m') AS month, sum(predicted_qty)::BIGINT AS value
   FROM processed GROUP BY 1, 2, 3)"""
 
 
+def _routes(spark, sf_dir):
+    """Young and slow SKUs: flat and smoothed forecasts in one table, post-processed."""
+    series = staged(_series(spark, sf_dir, "order"), "series")
+    flat = fc.forecast_flat(series.where("model_type = -1"))
+    ets = fc.forecast_ets(series.where("model_type = 0"), grid=FIXED)
+    return fc.postprocess_forecast(flat.unionByName(ets), series)
+
+
 def _wide(spark, sf_dir):
     wide = fc.forecast_wide(_processed(spark, sf_dir), MONTHS, drop_last=True)
     return wide.select("sku", "model_type", *[F.col(f"`{m}`").alias("m" + m.replace("-", "_")) for m in MONTHS[:-1]])
@@ -165,6 +181,9 @@ QUERIES = {
     "postprocess_forecast": Query(
         _processed, "sku:l date:s predicted_qty:l model_type:l", f"{PROCESSED_SQL} SELECT * FROM processed"
     ),
+    "forecast_routes": Query(
+        _routes, "sku:l date:s predicted_qty:l model_type:l", f"{ROUTES_SQL} SELECT * FROM processed"
+    ),
     "forecast_by_month": Query(
         lambda s, d: fc.forecast_months(_processed(s, d)), "sku:l model_type:l month:s value:l", f"{WIDE_SQL} SELECT * FROM months"
     ),

@@ -11,7 +11,6 @@ from merch.operators import history as h
 from merch.operators import stockout as so
 from merch.plans import binding as b
 from merch.plans.query import Query
-from merch.session import staged
 
 START, END = "1995-01-01", "2001-11-30"
 WINDOW = f"sales_date BETWEEN DATE '{START}' AND DATE '{END}'"

@@ -79,6 +79,13 @@ def test_post_processing_rounds_by_sales_level(spark):
     assert [r["predicted_qty"] for r in rows] == [0, 10, 10, 0, 11, 10]
 
 
+def test_fading_ends_exactly_at_its_last_weight(spark):
+    pred = spark.createDataFrame([("a", date(2024, m, 1), 100.0) for m in range(1, 7)], "sku string, date date, forecast double")
+    models = spark.createDataFrame([("a", 1.0, 0)], "sku string, mean_daily double, model_type int")
+    rows = fc.postprocess_forecast(pred, models).orderBy("date").collect()
+    assert [r["predicted_qty"] for r in rows] == np.ceil(100 * np.linspace(1.0, 0.95, 6)).astype(int).tolist()
+
+
 def test_wide_and_long(spark):
     pred = spark.createDataFrame(
         [("a", 0, date(2024, 1, 31), 3), ("a", 0, date(2024, 1, 7), 2), ("b", 1, date(2024, 2, 4), 5)],
