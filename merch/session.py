@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cpus: int = 8, name: str = "merch", memory: str = "8g") -> SparkSession:
     """A local session for tests and the benchmark; clusters bring their own."""
@@ -74,5 +76,11 @@ def staged(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
     writer = df.write.mode("errorifexists")
     if by:
         writer = writer.partitionBy(*by)
-    writer.parquet(path)
+    # once the table is written nothing reads the shuffle files behind it
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
