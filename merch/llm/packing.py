@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,52 +31,100 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PARTITION = 50_000
 ROUNDS = 12
-CHUNK_CHARS = 4 << 20  # words are looked up for about so much text at once
+CHUNK_CHARS = 6 << 20  # words are looked up for about so much text at once
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
 
 
+MARK = "\x01"  # stands between the pieces of a call; a piece that has it is encoded alone
+TAILS = "!#$%&*+,.:;=?"
+
+
 class WordTokenizer:
-    """Token ids through the distinct words of a batch.
+    """Token ids through the distinct word pieces of a batch.
 
-    The vocabulary drops white space and merges nothing across it, so the ids of a text are those of its words in a row; a
-    word is encoded once while it stays in the table, which is emptied when it has grown to ``keep`` words.
+    The vocabulary drops white space, merges nothing across it, nor across a letter and a following punctuation mark, and
+    lowers case. So the ids of a text are those of its words in a row, and those of a word the ids of its letters and of its
+    closing punctuation. A piece is encoded once while it stays in the table, which is emptied when it has grown to ``keep``.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 600_000, at_once: int = 200):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.keep, self.known = keep, {}
+        self.keep, self.at_once = keep, at_once
+        self.mark = self.model.encode(MARK, add_special_tokens=False).ids
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {"": 0}
+        self.ids, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+
+    @staticmethod
+    def split(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Each word without closing punctuation behind a letter, in ASCII lower case, and that punctuation."""
+        parts = pc.extract_regex(words, rf"^(?s)(?P<core>.*\p{{L}})(?P<tail>[{TAILS}]+)$")
+        core = pc.coalesce(pc.struct_field(parts, "core"), words)
+        tail = pc.coalesce(pc.struct_field(parts, "tail"), pa.scalar("", words.type))
+        plain = pc.and_(pc.string_is_ascii(core), pc.invert(pc.match_substring(core, "<")))
+        return pc.if_else(plain, pc.ascii_lower(core), core), tail
+
+    def learn(self, pieces: list[str]) -> None:
+        """Add new pieces to the table; many are encoded in one call, with a mark between them."""
+        plain = [p for p in pieces if MARK not in p]
+        calls = [plain[i : i + self.at_once] for i in range(0, len(plain), self.at_once)] if len(self.mark) == 1 else [[p] for p in plain]
+        calls += [[p] for p in pieces if MARK in p]
+        coded = self.model.encode_batch_fast([f" {MARK} ".join(c) for c in calls], add_special_tokens=False)
+        for call, code in zip(calls, coded):
+            ids = np.array(code.ids, dtype=np.uint32)
+            if len(call) > 1:
+                cuts = np.flatnonzero(ids == self.mark[0])
+                if len(cuts) != len(call) - 1:
+                    raise ValueError("a mark between pieces was lost")
+                sizes = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+                ids = np.delete(ids, cuts)
+            else:
+                sizes = np.array([len(ids)])
+            self.ids.append(ids)
+            self.sizes.append(sizes)
+            for piece in call:
+                self.known[piece] = len(self.known)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
         words = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
         flat = words.flatten().dictionary_encode()
         if len(self.known) > self.keep:
-            self.known = {}
-        distinct = flat.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.known]
-        for word, code in zip(new, self.model.encode_batch(new, add_special_tokens=False)):
-            self.known[word] = np.array(code.ids, dtype=np.uint32)
-        coded = [self.known[w] for w in distinct]
-        sizes = np.array([len(c) for c in coded], dtype=np.int64)
-        table = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
+            self.forget()
+        core, tail = self.split(flat.dictionary)
+        halves = pa.concat_arrays([core, tail]).dictionary_encode()
+        pieces = halves.dictionary.to_pylist()
+        self.learn([p for p in pieces if p not in self.known])
+        table, sizes = np.concatenate(self.ids), np.concatenate(self.sizes)
+        self.ids, self.sizes = [table], [sizes]
         firsts = np.cumsum(sizes) - sizes
-        at = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        per_word = sizes[at]
-        ends = np.cumsum(per_word)
+        place = np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        pair = place[halves.indices.to_numpy(zero_copy_only=False)].reshape(2, -1).T
+        at = pair[flat.indices.to_numpy(zero_copy_only=False)].ravel()  # two pieces for every word
+        per = sizes[at]
+        ends = np.cumsum(per)
         total = int(ends[-1]) if len(ends) else 0
-        ids = table[np.repeat(firsts[at] - (ends - per_word), per_word) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.asarray(words.offsets)]
+        ids = table[np.repeat(firsts[at] - (ends - per), per) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[2 * np.asarray(words.offsets)]
         return ids, np.diff(bounds)
 
 
+@lru_cache(maxsize=2)
+def tokenizer(path: str) -> WordTokenizer:
+    """One for each Python worker, which keeps it from task to task."""
+    return WordTokenizer(path)
+
+
 def token_pieces(docs: DataFrame, vocabulary: str, *, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece of every document row: its key, doc_id, piece, start, length, ids_crc32, ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordTokenizer(vocabulary)
+        coder = tokenizer(vocabulary)
         for batch in batches:
             chars = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
             at = 0
