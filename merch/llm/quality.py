@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ from merch.session import staged
 ORDER = 4
 BITS = 12
 PAD, END = 1, 2
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 16 << 20
 PRIOR = 60
 QUANTILE, SLACK, LEAST = 0.99, 1.25, 30
 HELD_OUT, SEED = 10, 9  # one trusted document in ten judges
@@ -72,8 +73,13 @@ def ngrams(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray
     return codes[keep], counts
 
 
+def unpacked(frame: pd.DataFrame) -> list[str]:
+    pairs = zip(frame["packed"], frame["size"].tolist())
+    return [pa.decompress(p, decompressed_size=n, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass") if n else "" for p, n in pairs]
+
+
 def _chunks(frame: pd.DataFrame, chars: int = 2 << 20) -> Iterator[pd.DataFrame]:
-    sizes = frame["text"].str.len().to_numpy().cumsum()
+    sizes = frame["size"].to_numpy().cumsum()
     at = 0
     while at < len(frame):
         stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + chars)))
@@ -104,7 +110,7 @@ def count_ngrams(docs: DataFrame, trusted: DataFrame, *, order: int = ORDER) ->
 
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     known = trusted.withColumn("trusted", F.lit(True))
-    flagged = rows.join(known, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    flagged = rows.join(known, "doc_id", "left").select("text", F.octet_length("text").alias("size"), F.coalesce("trusted", F.lit(False)).alias("trusted"))
     counted = flagged.mapInPandas(count, "code bigint, seen bigint, all bigint")
     return counted.groupBy("code").agg(F.sum("seen").alias("seen"), F.sum("all").alias("all"))
 
@@ -147,14 +153,21 @@ def probabilities(counts: DataFrame, *, order: int = ORDER) -> DataFrame:
 
 def surprises(docs: DataFrame, model: DataFrame, blocks: int, *, order: int = ORDER) -> DataFrame:
     """key, doc_id, lang, places and total surprise (natural log) of every document row."""
-    rows = keyed(docs, {"doc_id": F.col("doc_id"), "lang": F.col("lang").cast("string"), "text": text_or_empty()})
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64(*KEY), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    @F.pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        return pd.Series([pa.compress(t.encode("utf-8", "surrogatepass"), codec="zstd", asbytes=True) for t in texts])
+
+    text = text_or_empty()
+    rows = keyed(docs, {"doc_id": F.col("doc_id").cast("string"), "lang": F.col("lang").cast("string"), "text": text, "size": F.octet_length(text)})
+    # both the questions and the answers read this one exchange, so they take the same columns
+    dealt = rows.select(*KEY, "doc_id", "lang", "size", packed("text").alias("packed"), F.pmod(F.xxhash64(*KEY), F.lit(blocks)).cast("int").alias("block"))
+    dealt = dealt.repartition("block")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for block, some in batch.groupby("block"):
-                found = [pd.unique(ngrams(part["text"].tolist(), order)[0]) for part in _chunks(some)]
+                found = [pd.unique(ngrams(unpacked(part), order)[0]) for part in _chunks(some)]
                 held.setdefault(int(block), []).extend(found)
                 if len(held[block]) > 8:
                     held[block] = [pd.unique(np.concatenate(held[block]))]
@@ -168,7 +181,7 @@ def surprises(docs: DataFrame, model: DataFrame, blocks: int, *, order: int = OR
         codes, cost = codes[by], -np.log(told["p"].to_numpy()[by])
         out = []
         for part in _chunks(frame):
-            places, counts = ngrams(part["text"].tolist(), order)
+            places, counts = ngrams(unpacked(part), order)
             at, distinct = pd.factorize(places)
             spot = np.searchsorted(codes, distinct)
             if len(distinct) and (spot.max() >= len(codes) or (codes[spot] != distinct).any()):
@@ -178,10 +191,9 @@ def surprises(docs: DataFrame, model: DataFrame, blocks: int, *, order: int = OR
             out.append(part[[*KEY, "doc_id", "lang"]].assign(places=counts, surprise=total))
         return pd.concat(out) if out else pd.DataFrame(columns=[*KEY, "doc_id", "lang", "places", "surprise"])
 
-    asked = dealt.select("block", "text").mapInPandas(ask, "block int, code bigint")
+    asked = dealt.mapInPandas(ask, "block int, code bigint")
     told = asked.join(model, "code").select("block", "code", "p")
-    kept = dealt.select(*KEY, F.col("doc_id").cast("string").alias("doc_id"), "lang", "block", "text")
-    scored = kept.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
+    scored = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
         answer, f"{KEY[0]} bigint, {KEY[1]} bigint, doc_id string, lang string, places bigint, surprise double"
     )
     return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
