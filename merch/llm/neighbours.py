@@ -81,7 +81,8 @@ def keep_best(u: np.ndarray, v: np.ndarray, s: np.ndarray, k: int, threshold: fl
     keep = (rank < k) | (s >= threshold)
     u, v, s = u[keep], v[keep], s[keep]
     firsts = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]])) if len(u) else np.zeros(0, np.int64)
-    return pd.DataFrame({"u": u[firsts], "ids": np.split(v, firsts[1:]) if len(u) else [], "sims": np.split(s, firsts[1:]) if len(u) else []})
+    lists = lambda x: pd.Series(np.split(x, firsts[1:]) if len(u) else [], dtype=object)
+    return pd.DataFrame({"u": u[firsts], "ids": lists(v), "sims": lists(s)})
 
 
 def merge(lists: DataFrame, k: int, threshold: float) -> DataFrame:
