@@ -2,17 +2,18 @@
 
 Every person has a remaining [low, high] target in money. SKUs are served in
 order and each one depletes those targets, so inside one budget the result
-depends on the order and is computed by an ordered fold. To keep every fold
-bounded, a group of SKUs with more than ``shard_rows`` rows is cut by hash into
-shards of about that size and its targets are divided evenly among them: each
-shard is a thinned copy of the group with its share of the budget. Groups up to
-``shard_rows`` follow the plain sequence exactly. Nothing is dropped either way.
+depends on the order and is computed by an ordered fold. Budgets are territories
+(``partition_cols``, required): each has its own targets and its own order, the
+rule is the same at every size, and a finer split means finer territories. The
+fold streams the SKUs of a territory and holds two numbers per person.
 
 Money is held in cents, so depletion is exact.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,6 @@ from merch.functions.numbers import capped_at, half_even, half_up, split_units
 from merch.functions.text import present_names
 from merch.session import staged
 
-SHARD_ROWS = 200_000
 BASE_SHARE = 0.2
 NEW_LEVEL = 6
 
@@ -74,34 +74,19 @@ def gradient_split(skus: DataFrame, units: str = "units", people: str = "princip
     )
 
 
-# --- groups, shards and state -----------------------------------------------
+# --- territories and state --------------------------------------------------
 
 
-def shard_skus(skus: DataFrame, partition_cols: list[str] | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Add ``shards`` (how many its group is cut into) and ``shard`` by hash of the SKU."""
-    keys = partition_cols or []
-    shards = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)), F.lit(1)).cast("bigint")
-    if keys:
-        counted = skus.join(skus.groupBy(*keys).agg(shards.alias("shards")), keys)
-    else:
-        counted = skus.withColumn("shards", F.lit(skus.agg(shards.alias("n")).first()["n"]))
-    return counted.withColumn("shard", F.pmod(F.xxhash64("sku"), F.col("shards")))
+def territory(keys: list[str]) -> Column:
+    """One text per combination of the keys; a NULL key is a territory too."""
+    if not keys:
+        raise ValueError("name the columns of a territory; the targets belong to territories")
+    return F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
 
 
-def open_state(targets: DataFrame, sharded: DataFrame, partition_cols: list[str] | None = None) -> DataFrame:
-    """Remaining targets per shard: each target split evenly, odd cents to the first shards."""
-    keys = partition_cols or []
-    if keys:
-        spread = targets.join(sharded.select(*keys, "shards").distinct(), keys)
-    else:
-        spread = targets.withColumn("shards", F.lit(sharded.agg(F.max("shards").alias("n")).first()["n"]))
-    rows = spread.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)))
-    return rows.select(
-        *keys,
-        "shard",
-        "principal",
-        *[split_units(cents(F.col(c)), F.col("shards"), F.col("shard") + 1).cast("bigint").alias(c) for c in ("low", "high")],
-    )
+def open_state(targets: DataFrame, keys: list[str]) -> DataFrame:
+    """Remaining targets in cents per territory and person."""
+    return targets.select(*keys, "principal", *[cents(F.col(c)).alias(c) for c in ("low", "high")])
 
 
 # --- the ordered fold -------------------------------------------------------
@@ -149,46 +134,76 @@ def _even(units: int, price: int, who: list[int], low: list[int], high: list[int
     return dealt, spent
 
 
+STATE = "array<struct<principal:string,low:bigint,high:bigint>>"
+
+
 def _fold(step, drop_spent=False):
-    """Serve the SKUs of one shard in order against that shard's state."""
-
-    def run(skus: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        skus = skus.sort_values(
-            ["level", "priority", "priority_tie", "sku"], ascending=[True, False, False, True], kind="stable"
-        )
-        state = state.sort_values("principal")
-        spot = {p: i for i, p in enumerate(state["principal"])}
-        low, high = state["low"].tolist(), state["high"].tolist()
-        people, qty, spend = [], [], []
-        for units, price, names in zip(skus["units"].tolist(), skus["price_cents"].tolist(), skus["principals"]):
-            names = [p for p in names if p in spot]
-            who = [spot[p] for p in names]
-            given, charged = step(units, price, who, low, high) if who else ([], [])
-            if drop_spent:
-                given = [None if high[w] <= 0 else g for w, g in zip(who, given)]
-            people.append(names)
-            qty.append(given)
-            spend.append(charged)
-        return skus.assign(principals=people, qty=qty, spend=spend)
+    """Serve the SKUs of each territory in order; the last row of a territory carries its closing state."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, spot, low, high, blank = None, {}, [], [], None
+
+        def closing():
+            left = [{"principal": p, "low": low[i], "high": high[i]} for p, i in spot.items()]
+            return blank.assign(_territory=[now], closing=pd.Series([left], dtype=object))
+
+        for batch in batches:
+            if blank is None:
+                blank = pd.DataFrame({c: [None] for c in batch.columns if c != "opening"}, dtype=object).assign(qty=None, spend=None)
+            cuts = (batch["_territory"] != batch["_territory"].shift()).to_numpy().nonzero()[0].tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(batch)]):
+                part = batch.iloc[a:b]
+                if part["_territory"].iloc[0] != now:
+                    if now is not None:
+                        yield closing()
+                    now, opening = part["_territory"].iloc[0], part["opening"].iloc[0]
+                    spot = {p["principal"]: i for i, p in enumerate(opening)}
+                    low, high = [p["low"] for p in opening], [p["high"] for p in opening]
+                qty, spend = [], []
+                for units, price, names in zip(part["units"].tolist(), part["price_cents"].tolist(), part["principals"]):
+                    at = [i for i, p in enumerate(names) if p in spot]
+                    who = [spot[names[i]] for i in at]
+                    given, charged = step(units, price, who, low, high) if who else ([], [])
+                    if drop_spent:
+                        given = [None if high[w] <= 0 else g for w, g in zip(who, given)]
+                    # a person without a target stays in the list, without a cell
+                    cells_, paid = [None] * len(names), [0] * len(names)
+                    for i, g, c in zip(at, given, charged):
+                        cells_[i], paid[i] = g, c
+                    qty.append(cells_)
+                    spend.append(paid)
+                yield part.drop(columns="opening").assign(qty=qty, spend=spend, closing=None)
+        if now is not None:
+            yield closing()
 
     return run
 
 
-def _apply(rows: DataFrame, state: DataFrame, keys: list[str], fold) -> DataFrame:
+def _apply(rows: DataFrame, state: DataFrame, keys: list[str], fold) -> tuple[DataFrame, DataFrame]:
+    """The folded rows and the closing state; territories without a SKU keep their opening one."""
+    opening = state.select(territory(keys).alias("_territory"), F.struct("principal", "low", "high").alias("_p"))
+    opening = opening.groupBy("_territory").agg(F.sort_array(F.collect_list("_p")).alias("opening"))
+    met = rows.withColumn("_territory", territory(keys)).join(opening, "_territory", "left")
+    met = met.withColumn("opening", F.coalesce("opening", F.array().cast(STATE)))
+    order = ["_territory", "level", F.col("priority").desc(), F.col("priority_tie").desc(), "sku"]
+    plain = [f for f in met.schema.fields if f.name != "opening"]
     schema = T.StructType(
-        rows.schema.fields
+        [T.StructField(f.name, f.dataType) for f in plain]
         + [T.StructField("qty", T.ArrayType(T.LongType())), T.StructField("spend", T.ArrayType(T.LongType()))]
+        + [T.StructField("closing", met.schema["opening"].dataType)]
     )
-    by = [*keys, "shard"]
-    return rows.groupBy(*by).cogroup(state.groupBy(*by)).applyInPandas(fold, schema)
+    both = staged(met.repartition("_territory").sortWithinPartitions(*order).mapInPandas(fold, schema), "folded")
+    folded = both.where("closing IS NULL").drop("closing", "_territory")
+    ends = both.where("closing IS NOT NULL").select(F.col("_territory").alias("_t"), F.explode("closing").alias("_p"))
+    ends = ends.select("_t", F.col("_p.principal").alias("_who"), F.col("_p.low").alias("_low"), F.col("_p.high").alias("_high"))
+    after = state.join(ends, (territory(keys) == F.col("_t")) & (F.col("principal") == F.col("_who")), "left")
+    return folded, after.select(*keys, "principal", F.coalesce("_low", "low").alias("low"), F.coalesce("_high", "high").alias("high"))
 
 
 def _rows(df: DataFrame, keys: list[str]) -> DataFrame:
     tie = F.col("priority_tie") if "priority_tie" in df.columns else F.lit(0)
     return df.select(
         *keys,
-        "shard",
-        "shards",
         "sku",
         F.col("level").cast("bigint").alias("level"),
         cents(F.col("unit_price")).alias("price_cents"),
@@ -214,45 +229,21 @@ def cells(assigned: DataFrame, *keep: str) -> DataFrame:
     ).select(*keep, "sku", F.col("_c.principals").alias("principal"), F.col("_c.qty").alias("qty"), F.col("_c.spend").alias("spend"))
 
 
-def next_state(state: DataFrame, assigned: DataFrame, keys: list[str], clamp_low: bool, clamp_high: bool) -> DataFrame:
-    """State after a round: charges only ever lower a target, so their sum is enough."""
-    by = [*keys, "shard", "principal"]
-    spent = cells(assigned, *keys, "shard").groupBy(*by).agg(F.sum("spend").alias("_spent"))
-    after = state.join(spent, by, "left")
-    paid = F.coalesce("_spent", F.lit(0))
-
-    def left(c, clamp):
-        rest = F.col(c) - paid
-        return F.when(F.lit(clamp) & (paid > 0), F.greatest(rest, F.lit(0))).otherwise(rest).cast("bigint").alias(c)
-
-    return after.select(*by, left("low", clamp_low), left("high", clamp_high))
-
-
-def allocate_targets(
-    skus: DataFrame, targets: DataFrame, partition_cols: list[str] | None = None, shard_rows: int = SHARD_ROWS
-) -> tuple[DataFrame, DataFrame]:
+def allocate_targets(skus: DataFrame, targets: DataFrame, partition_cols: list[str]) -> tuple[DataFrame, DataFrame]:
     """First round: SKU targets by base share and remaining-target weight.
 
     Returns the assigned rows (one per SKU, with aligned lists ``principals``,
     ``qty``, ``spend``) and the state left for the next round. A SKU without
-    anyone responsible keeps its whole target as leftover.
+    anyone responsible keeps its whole target as leftover; a person without a
+    target has a NULL cell.
     """
-    keys = partition_cols or []
-    sharded = shard_skus(skus, keys, shard_rows)
-    ready = sharded.withColumns({"units": F.col("sku_target"), "priority": F.col("sku_target")})
-    state = staged(open_state(targets, sharded, keys), "state")
-    folded = _apply(_rows(ready, keys), state, keys, _fold(_weighted))
-    assigned = staged(_result(folded), "assigned")
-    return assigned, staged(next_state(state, assigned, keys, True, False), "state")
+    ready = skus.withColumns({"units": F.col("sku_target"), "priority": F.col("sku_target")})
+    folded, state = _apply(_rows(ready, partition_cols), open_state(targets, partition_cols), partition_cols, _fold(_weighted))
+    return _result(folded), staged(state, "state")
 
 
 def allocate_round(
-    residual_rows: DataFrame,
-    state: DataFrame,
-    who: str = "all",
-    clamp: bool = False,
-    by_high: bool = True,
-    partition_cols: list[str] | None = None,
+    residual_rows: DataFrame, state: DataFrame, partition_cols: list[str], who: str = "all", clamp: bool = False, by_high: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """A later round: deal the ``units`` of each residual SKU evenly, most remaining first.
 
@@ -261,26 +252,21 @@ def allocate_round(
     everyone. ``clamp`` is the older rule: targets stop at 0 and the cell of a
     person whose high target is used up is dropped although it was charged.
     """
-    keys = partition_cols or []
 
     def step(*args):
         return _even(*args, whom=who, by_high=by_high, clamp=clamp)
 
-    folded = _apply(_rows(residual_rows, keys), state, keys, _fold(step, drop_spent=clamp))
+    folded, after = _apply(_rows(residual_rows, partition_cols), state, partition_cols, _fold(step, drop_spent=clamp))
     if who == "unmet_only":
         folded = folded.where(F.exists("qty", lambda q: q.isNotNull()))
-    assigned = staged(_result(folded), "assigned")
-    return assigned, staged(next_state(state, assigned, keys, clamp, clamp), "state")
+    return _result(folded), staged(after, "state")
 
 
-def allocate_one_each(
-    assigned: DataFrame, state: DataFrame, partition_cols: list[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
+def allocate_one_each(assigned: DataFrame, state: DataFrame, partition_cols: list[str]) -> tuple[DataFrame, DataFrame]:
     """One unit for every responsible person who got none, for SKUs in stock.
 
     The quantity needs no order and the charge is a plain sum, so no fold.
     """
-    keys = partition_cols or []
     gap = F.transform("qty", lambda q: F.when(q == 0, F.lit(1).cast("bigint")))
     price = cents(F.col("unit_price"))
     given = (
@@ -288,26 +274,32 @@ def allocate_one_each(
         .withColumn("qty", gap)
         .withColumn("spend", F.transform("qty", lambda q: F.coalesce(q, F.lit(0)) * price))
     )
-    return given, next_state(state, given, keys, True, False)
+    spent = cells(given, *partition_cols).groupBy(territory(partition_cols).alias("_t"), F.col("principal").alias("_who")).agg(F.sum("spend").alias("_spent"))
+    after = state.join(spent, (territory(partition_cols) == F.col("_t")) & (F.col("principal") == F.col("_who")), "left")
+    paid = F.coalesce("_spent", F.lit(0))
+    low = F.when(paid > 0, F.greatest(F.col("low") - paid, F.lit(0))).otherwise(F.col("low"))
+    return given, after.select(*partition_cols, "principal", low.cast("bigint").alias("low"), (F.col("high") - paid).cast("bigint").alias("high"))
 
 
-def target_attainment(state: DataFrame, targets: DataFrame, partition_cols: list[str] | None = None) -> DataFrame:
-    """Target, remaining low and high, and sold value per person."""
-    keys = partition_cols or []
-    by = [*keys, "principal"]
-    left = state.groupBy(*by).agg(*[money_of(F.sum(c)).alias(f"{c}_left") for c in ("low", "high")])
-    return targets.join(left, by).withColumn("sold", F.col("high") - F.col("high_left"))
+def target_attainment(state: DataFrame, targets: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Target, remaining low and high, and sold value per territory and person, with or without SKUs."""
+    left = state.select(
+        territory(partition_cols).alias("_t"), F.col("principal").alias("_who"), *[money_of(F.col(c)).alias(f"{c}_left") for c in ("low", "high")]
+    )
+    met = targets.join(left, (territory(partition_cols) == F.col("_t")) & (F.col("principal") == F.col("_who")), "left").drop("_t", "_who")
+    return met.withColumn("sold", F.col("high") - F.col("high_left"))
 
 
 # --- residual rules ---------------------------------------------------------
 
 
-def assigned_total(*rounds: DataFrame) -> DataFrame:
-    """Units per SKU over several rounds."""
-    stacked = rounds[0].select("sku", "assigned")
+def assigned_total(*rounds: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Units per territory and SKU over several rounds."""
+    by = [*partition_cols, "sku"]
+    stacked = rounds[0].select(*by, "assigned")
     for r in rounds[1:]:
-        stacked = stacked.unionByName(r.select("sku", "assigned"))
-    return stacked.groupBy("sku").agg(F.sum("assigned").alias("assigned"))
+        stacked = stacked.unionByName(r.select(*by, "assigned"))
+    return stacked.groupBy(*by).agg(F.sum("assigned").alias("assigned"))
 
 
 def months_kept(months: int = 4) -> Column:
@@ -315,18 +307,23 @@ def months_kept(months: int = 4) -> Column:
     return F.when(F.col("forecast") == 0, F.col("sku_target") * months).otherwise(F.col("forecast") * months)
 
 
-def residual(first: DataFrame, rule: str, later: tuple[DataFrame, ...] = (), soft: bool = False) -> DataFrame:
+def residual(
+    first: DataFrame, rule: str, later: tuple[DataFrame, ...] = (), soft: bool = False, *, partition_cols: list[str] | None = None
+) -> DataFrame:
     """SKUs with something left to deal out: ``units``, with ``priority`` for the order.
 
     ``first`` is the first round's result, ``later`` the rounds after it that
-    count as assigned too. Rules: "surplus" stock beyond what is kept, at most
+    count as assigned too, within the SKU's territory (``partition_cols``, needed with ``later``). Rules: "surplus" stock beyond what is kept, at most
     the target; "coverage" the same uncapped, for stock over five times the
     target; "target" the unassigned target; "fifth" a fifth of the stock
     (``soft``: only where stock also exceeds four months of forecast).
     """
     df = first.drop("units", "qty", "spend", "leftover")
     if later:
-        df = df.drop("assigned").join(assigned_total(first, *later), "sku")
+        total = assigned_total(first, *later, partition_cols=partition_cols).withColumnRenamed("assigned", "_total").withColumnRenamed("sku", "_sku")
+        total = total.select(territory(partition_cols).alias("_t"), "_sku", "_total")
+        df = df.join(total, (territory(partition_cols) == F.col("_t")) & (F.col("sku") == F.col("_sku")))
+        df = df.withColumn("assigned", F.col("_total")).drop("_t", "_sku", "_total")
     over = F.col("stock") - F.col("assigned") - months_kept()
     if rule == "surplus":
         df = df.withColumn("priority", over).where("priority > 0")

@@ -47,8 +47,9 @@ def entropy_weights(df: DataFrame, cols: list[str] = MEASURES, eps: float = 1e-1
     gain = {}
     for c in cols:
         total = F.col(f"{c}_sum")
-        entropy = F.col(f"{c}_xlnx") / total - F.ln(total) + F.col(f"{c}_zeros") * F.lit(eps) * F.ln(F.lit(eps))
-        gain[f"_d_{c}"] = F.lit(1.0) + F.when(F.col("n") > 1, entropy / F.ln(F.col("n").cast("double"))).otherwise(0.0)
+        # a measure that is 0 everywhere has no shares, and all its weight is information-free
+        entropy = F.try_divide(F.col(f"{c}_xlnx"), total) - F.ln(total) + F.col(f"{c}_zeros") * F.lit(eps) * F.ln(F.lit(eps))
+        gain[f"_d_{c}"] = F.lit(1.0) + F.coalesce(F.when(F.col("n") > 1, F.try_divide(entropy, F.ln(F.col("n").cast("double")))), F.when(total == 0, F.lit(-1.0)), F.lit(0.0))
     wide = stats.withColumns(gain)
     whole = sum((F.col(f"_d_{c}") for c in cols[1:]), F.col(f"_d_{cols[0]}"))
     even = F.lit(1.0 / len(cols))
@@ -78,7 +79,7 @@ def column_shares(df: DataFrame, cols: list[str] = MEASURES, eps: float = 1e-10)
     totals = measure_stats(df, cols).first()
     return df.withColumns(
         {
-            f"p_{c}": F.when(F.col(c) == 0, F.lit(eps)).otherwise(F.col(c).cast("double") / F.lit(totals[f"{c}_sum"]))
+            f"p_{c}": F.when(F.col(c) == 0, F.lit(eps)).otherwise(F.try_divide(F.col(c).cast("double"), F.lit(totals[f"{c}_sum"])))
             for c in cols
         }
     )

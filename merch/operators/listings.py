@@ -161,22 +161,34 @@ def listing_attributes(pages: DataFrame, rules: list = RULES, quote_twice: bool
 
 
 def listing_details(pages: DataFrame, category_rules: dict | None = None) -> DataFrame:
-    """Attributes of all categories; columns a category does not have are NULL."""
+    """Attributes of all categories; columns a category does not have are NULL.
+
+    Every page is read once and the rules are chosen by its category. Categories without rules give no
+    attributes: ``listing_deadletter`` reports their pages.
+    """
     by_rules: dict[int, tuple[list, list[str]]] = {}
-    for category, rules in (category_rules or CATEGORY_RULES).items():
+    known = category_rules or CATEGORY_RULES
+    for category, rules in known.items():
         by_rules.setdefault(id(rules), (rules, []))[1].append(category)
-    parts = [
-        listing_attributes(pages.where(F.col("category").isin(*names)), rules) for rules, names in by_rules.values()
-    ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part, allowMissingColumns=True)
-    return whole
+    read = pages.where(has_container(F.col("html")) & F.col("category").isin(*known))
+    read = read.withColumn("_pairs", label_values(F.col("html")))
+    read = read.withColumn("_labels", F.array_distinct(F.transform("_pairs", lambda p: p["label"])))
+    columns: dict[str, Column] = {}
+    for rules, names in by_rules.values():
+        for name, _, size in rules:
+            picked = _pick(F.col("_pairs"), F.col("_labels"), rules, name, size)
+            before = columns.get(name, F.lit(None).cast("string"))
+            columns[name] = F.when(F.col("category").isin(*names), picked).otherwise(before)
+    return read.withColumns(columns).select(
+        *[c for c in pages.columns if c not in ("url", "html")], F.col("url").alias("vc_item_link"), *columns
+    )
 
 
-def listing_deadletter(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pages to read, failed links)."""
-    good = has_container(F.col("html"))
+def listing_deadletter(pages: DataFrame, category_rules: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pages to read, failed links): pages without the container, and of categories without rules where ``pages`` has one."""
+    good = F.coalesce(has_container(F.col("html")), F.lit(False))
+    if "category" in pages.columns:
+        good = good & F.coalesce(F.col("category").isin(*(category_rules or CATEGORY_RULES)), F.lit(False))
     return pages.where(good), pages.where(~good).select(*[c for c in pages.columns if c != "html"])
 
 

@@ -67,7 +67,7 @@ def targets_sql(group, scale=1):
 _FLAGS = "list_transform(range(1, 15), lambda i: list_contains(principals, 'a' || lpad(i::VARCHAR, 3, '0')))"
 
 
-def queue_sql(name, source, group="0", where="TRUE", units="units", order="priority DESC"):
+def queue_sql(name, source, group="brand", where="TRUE", units="units", order="priority DESC"):
     """A numbered queue of SKUs per group with responsibility flags ``m``."""
     return f"""{name} AS (SELECT sku, grp, row_number() OVER (PARTITION BY grp ORDER BY level, {order}, sku) AS rn, price,
       {units} AS units, {_FLAGS} AS m, len(principals) AS n FROM (SELECT *, {group} AS grp FROM {source}) WHERE {where})"""
@@ -130,7 +130,7 @@ def cells_sql(source, where="TRUE"):
 KEEP4 = "CASE WHEN forecast = 0 THEN sku_target * 4 ELSE forecast * 4 END"
 
 
-def first_sql(group="0", scale=1):
+def first_sql(group="brand", scale=1):
     return ", ".join([
         DIM_SQL, targets_sql(group, scale), queue_sql("q1", "dim", group, "len(principals) > 0", "sku_target", "sku_target DESC"),
         weighted_sql("w1", "q1", "opening"), final_sql("s1", "w1"), rows_sql("r1", "w1"),
@@ -175,32 +175,35 @@ def attainment_sql(state):
 # --- Spark side -------------------------------------------------------------
 
 
-def first_round(spark, sf_dir, keys=None, scale=1):
+TERRITORY = ["brand"]
+
+
+def first_round(spark, sf_dir, scale=1):
     dim = staged(sku_dim(spark, sf_dir), "dim")
-    goal = staged(targets(dim, keys or [], scale), "targets")
-    assigned, state = al.allocate_targets(dim, goal, keys)
+    goal = staged(targets(dim, TERRITORY, scale), "targets")
+    assigned, state = al.allocate_targets(dim, goal, TERRITORY)
     return dim, goal, assigned, state
 
 
 def surplus_rounds(spark, sf_dir, scale=1):
     dim, goal, first, state = first_round(spark, sf_dir, scale=scale)
     surplus = al.residual(first, "surplus")
-    third, state = al.allocate_round(surplus.where(F.col("level") != al.NEW_LEVEL), state, "unmet")
-    second, state = al.allocate_round(surplus.where(F.col("level") == al.NEW_LEVEL), state, "all")
+    third, state = al.allocate_round(surplus.where(F.col("level") != al.NEW_LEVEL), state, TERRITORY, "unmet")
+    second, state = al.allocate_round(surplus.where(F.col("level") == al.NEW_LEVEL), state, TERRITORY, "all")
     return dim, goal, first, second, third, state
 
 
 def last_round(spark, sf_dir, soft):
     dim, goal, first, second, third, state = surplus_rounds(spark, sf_dir, SOFT_SCALE if soft else 1)
-    rest = al.residual(first, "fifth", (second, third), soft)
-    return goal, *al.allocate_round(rest, state, "unmet_only" if soft else "all", by_high=False)
+    rest = al.residual(first, "fifth", (second, third), soft, partition_cols=TERRITORY)
+    return goal, *al.allocate_round(rest, state, TERRITORY, "unmet_only" if soft else "all", by_high=False)
 
 
-def first_version(spark, sf_dir):
-    dim, goal, first, state = first_round(spark, sf_dir)
-    ones, state = al.allocate_one_each(first, state)
+def first_version(spark, sf_dir, scale=1):
+    dim, goal, first, state = first_round(spark, sf_dir, scale)
+    ones, state = al.allocate_one_each(first, state, TERRITORY)
     state = staged(state, "state")
-    return goal, first, ones, *al.allocate_round(al.available_stock(first), state, "all", clamp=True)
+    return goal, first, ones, *al.allocate_round(al.available_stock(first), state, TERRITORY, "all", clamp=True)
 
 
 def _dealt(assigned):
@@ -259,7 +262,7 @@ def _listed_people(spark, sf_dir):
 def _ranked_people(spark, sf_dir):
     """Each SKU's people by remaining low, then high, target after the first round."""
     _, _, first, state = first_round(spark, sf_dir)
-    rows = al.cells(first).join(state.select("principal", "low", "high"), "principal")
+    rows = al.cells(first, "brand").join(state, ["brand", "principal"])
     by = Window.partitionBy("sku").orderBy(F.col("low").desc(), F.col("high").desc(), "principal")
     return rows.withColumn("place", F.row_number().over(by))
 
@@ -289,27 +292,32 @@ def _available(spark, sf_dir):
 
 def _fifths(spark, sf_dir, soft):
     _, _, first, second, third, _ = surplus_rounds(spark, sf_dir)
-    return al.residual(first, "fifth", (second, third), soft)
+    return al.residual(first, "fifth", (second, third), soft, partition_cols=TERRITORY)
 
 
 def _second_version(spark, sf_dir):
     _, _, first, state = first_round(spark, sf_dir, scale=CLAMP_SCALE)
-    return al.allocate_round(al.residual(first, "coverage"), state, "all", clamp=True)
+    return al.allocate_round(al.residual(first, "coverage"), state, TERRITORY, "all", clamp=True)
+
+
+def _clamped_state(spark, sf_dir):
+    """What is left to each person after the clamped round; people served 0 units are clamped too."""
+    return _second_version(spark, sf_dir)[1]
 
 
 def _by_brand(spark, sf_dir):
-    _, _, first, _ = first_round(spark, sf_dir, ["brand"])
+    _, _, first, _ = first_round(spark, sf_dir)
     return _dealt(first)
 
 
 def _brand_attainment(spark, sf_dir):
-    _, goal, _, state = first_round(spark, sf_dir, ["brand"])
-    return al.target_attainment(state, goal, ["brand"])
+    _, goal, _, state = first_round(spark, sf_dir)
+    return al.target_attainment(state, goal, TERRITORY)
 
 
 def _final_attainment(spark, sf_dir):
     goal, _, state = last_round(spark, sf_dir, soft=False)
-    return al.target_attainment(state, goal)
+    return al.target_attainment(state, goal, TERRITORY)
 
 
 CELLS = "sku:l principal:s qty:l"
@@ -365,11 +373,11 @@ QUERIES = {
         _available, REST + " available:l", f"{R}{first_sql()}, {AVAILABLE_SQL} SELECT *, avail AS available FROM available",
     ),
     "allocate_clamped_first_version": Query(
-        lambda s, d: _dealt(first_version(s, d)[3]), CELLS,
-        f"""{R}{first_sql()}, {AVAILABLE_SQL}, ones AS (SELECT i, sum(price)::BIGINT AS paid FROM given1, range(1, 15) AS r(i)
-              WHERE stock <> 0 AND list_contains(principals, 'a' || lpad(i::VARCHAR, 3, '0')) AND qty[i] = 0 GROUP BY 1),
+        lambda s, d: _dealt(first_version(s, d, CLAMP_SCALE)[3]), CELLS,
+        f"""{R}{first_sql(scale=CLAMP_SCALE)}, {AVAILABLE_SQL}, ones AS (SELECT brand AS grp, i, sum(price)::BIGINT AS paid FROM given1, range(1, 15) AS r(i)
+              WHERE stock <> 0 AND list_contains(principals, 'a' || lpad(i::VARCHAR, 3, '0')) AND qty[i] = 0 GROUP BY 1, 2),
             s0 AS (SELECT grp, list(greatest(low[i] - coalesce(paid, 0), 0) ORDER BY i) AS low, list(high[i] - coalesce(paid, 0) ORDER BY i) AS high
-              FROM s1, range(1, 15) AS r(i) LEFT JOIN ones USING (i) GROUP BY 1),
+              FROM (SELECT * FROM s1, range(1, 15) AS r(i)) LEFT JOIN ones USING (grp, i) GROUP BY 1),
             {queue_sql("q9", "available", order="priority DESC, avail DESC")}, {even_sql("w9", "q9", "s0", "all", clamp=True)}, {rows_sql("r9", "w9")}
             {cells_sql("r9")}""",
     ),
@@ -393,7 +401,13 @@ QUERIES = {
     "allocate_surplus_even": Query(lambda s, d: _dealt(surplus_rounds(s, d)[3]), CELLS, f"{R}{third_sql()} {cells_sql('r2')}"),
     "allocate_fifth": Query(lambda s, d: _dealt(last_round(s, d, False)[1]), CELLS, f"{R}{last_sql(False)} {cells_sql('r4')}"),
     "allocate_fifth_soft": Query(lambda s, d: _dealt(last_round(s, d, True)[1]), CELLS, f"{R}{last_sql(True)} {cells_sql('r4')}"),
-    "target_attainment": Query(_final_attainment, LEFT, f"{R}{last_sql(False)} {attainment_sql('s4')}"),
+    "target_attainment": Query(_final_attainment, "brand:s " + LEFT, f"{R}{last_sql(False)} SELECT *, grp AS brand FROM ({attainment_sql('s4')})"),
+    "clamped_state": Query(
+        _clamped_state, "brand:s principal:s low:l high:l",
+        f"""{R}{first_sql(scale=CLAMP_SCALE)}, {COVERAGE_SQL}, {queue_sql("q9", "coverage", where="len(principals) > 0")},
+            {even_sql("w9", "q9", "s1", "all", clamp=True)}, {final_sql("s9", "w9")}
+            SELECT grp AS brand, 'a' || lpad(i::VARCHAR, 3, '0') AS principal, low[i] AS low, high[i] AS high FROM s9, range(1, 15) AS r(i)""",
+    ),
     "combined_rounds": Query(
         _combined, "sku:l level:l forecast:l total:l cells:s",
         f"""{R}{third_sql()} SELECT d.sku, level, forecast, assigned AS total, array_to_string(list_transform(range(1, 15), lambda i:
@@ -408,7 +422,7 @@ QUERIES = {
         _ranked_people, "sku:l principal:s place:l",
         f"""{R}{first_sql()} SELECT sku, principal, row_number() OVER (PARTITION BY sku ORDER BY low DESC, high DESC, principal) AS place
             FROM (SELECT r.sku, 'a' || lpad(i::VARCHAR, 3, '0') AS principal, s1.low[i] AS low, s1.high[i] AS high
-                  FROM r1 r, s1, range(1, 15) AS x(i) WHERE r.qty[i] IS NOT NULL)""",
+                  FROM r1 r JOIN s1 USING (grp), range(1, 15) AS x(i) WHERE r.qty[i] IS NOT NULL)""",
     ),
     "sorted_quantities": Query(
         _sorted_lists, "sku:l quantities:s",

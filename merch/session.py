@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -31,21 +31,17 @@ def local_session(cpus: int = 8, name: str = "merch", memory: str = "8g") -> Spa
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
+    SparkContext._ensure_initialized()  # so that the installation's own settings are known
+    if not SparkConf().get("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     return builder.getOrCreate()
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder for staged tables, from ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a folder of its own; on a cluster a
-    missing setting is an error, because other machines could not read it.
-    """
+    """The shared folder for staged tables, from ``spark.checkpoint.dir``; without it other machines could not read them."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp" if os.path.isdir("/tmp") else None)
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError("set spark.checkpoint.dir, when the session is built, to a folder every executor can reach")
     return root
 
 

@@ -60,14 +60,25 @@ def envelope(result: T.DataType) -> T.StructType:
 
 
 def unwrap_envelope(df: DataFrame, body: str, item: T.DataType) -> DataFrame:
-    """One row per item of each good reply (code 200); other replies give nothing."""
-    parsed = df.withColumn("_e", F.from_json(body, envelope(T.ArrayType(item))))
+    """One row per item of each good reply (code 200); a result that is one object is one item."""
+    parsed = df.withColumns(
+        {"_e": F.from_json(body, envelope(T.ArrayType(item))), "_one": F.get_json_object(body, "$.result")}
+    )
+    single = F.when(F.trim("_one").startswith("{"), F.array(F.from_json("_one", item)))
     return (
         parsed.where(F.col("_e.code") == OK_CODE)
-        .select(*[c for c in df.columns if c != body], F.explode("_e.result").alias("item"))
+        .select(*[c for c in df.columns if c != body], F.explode(F.coalesce(single, F.col("_e.result"))).alias("item"))
     )
 
 
+def failed_replies(df: DataFrame, body: str) -> DataFrame:
+    """Replies that give no items: not JSON, another code, or no readable result."""
+    code = F.get_json_object(body, "$.code").try_cast("int")
+    result = F.trim(F.get_json_object(body, "$.result"))
+    good = (code == OK_CODE) & (result.startswith("{") | result.startswith("["))
+    return df.where(~F.coalesce(good, F.lit(False)))
+
+
 def read_dimension(replies: DataFrame, feed: str, body: str = "body") -> DataFrame:
     """Items of one reference-data feed."""
     if feed not in FEEDS:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from merch.operators import allocate as al
 
+TEAM = ["team"]
 PEOPLE = [f"a{i:03d}" for i in range(1, 7)]
 SKUS = (
     "sku bigint, level bigint, unit_price decimal(18,2), stock bigint, sku_target bigint, forecast bigint, principals array<string>"
@@ -31,8 +32,8 @@ def budgets():
 
 @pytest.fixture(scope="module")
 def frames(spark):
-    skus = spark.createDataFrame(catalogue(), SKUS)
-    goal = spark.createDataFrame(budgets(), "principal string, low decimal(18,2), high decimal(18,2)")
+    skus = spark.createDataFrame(catalogue(), SKUS).withColumn("team", F.lit("x"))
+    goal = spark.createDataFrame(budgets(), "principal string, low decimal(18,2), high decimal(18,2)").withColumn("team", F.lit("x"))
     return skus, goal
 
 
@@ -102,7 +103,7 @@ def queue_of(residual):
 
 def test_first_round_equals_the_sequence(frames):
     skus, goal = frames
-    assigned, state = al.allocate_targets(skus, goal)
+    assigned, state = al.allocate_targets(skus, goal, TEAM)
     given, left = first_by_hand(catalogue(), budgets())
     assert as_cells(assigned) == given
     assert as_state(state) == left
@@ -114,10 +115,10 @@ def test_first_round_equals_the_sequence(frames):
 @pytest.mark.parametrize("who,by_high,clamp", [("unmet", True, False), ("all", True, False), ("all", False, False), ("unmet_only", False, False), ("all", True, True)])
 def test_later_rounds_equal_the_sequence(frames, who, by_high, clamp):
     skus, goal = frames
-    assigned, state = al.allocate_targets(skus, goal)
+    assigned, state = al.allocate_targets(skus, goal, TEAM)
     left = as_state(state)
     rest = al.residual(assigned, "fifth")
-    dealt, after = al.allocate_round(rest, state, who, clamp, by_high)
+    dealt, after = al.allocate_round(rest, state, TEAM, who, clamp, by_high)
     want = round_by_hand(queue_of(rest), left, who, by_high, clamp)
     assert as_cells(dealt) == {s: c for s, c in want.items() if c}
     assert as_state(after) == left
@@ -128,8 +129,8 @@ def test_later_rounds_equal_the_sequence(frames, who, by_high, clamp):
 
 def test_one_each(frames):
     skus, goal = frames
-    assigned, state = al.allocate_targets(skus, goal)
-    ones, after = al.allocate_one_each(assigned, state)
+    assigned, state = al.allocate_targets(skus, goal, TEAM)
+    ones, after = al.allocate_one_each(assigned, state, TEAM)
     zero = [(r["sku"], p, cents(r["unit_price"])) for r in assigned.collect() for p, q in zip(r["principals"], r["qty"]) if q == 0 and r["stock"]]
     assert {(s, p) for s, cells in as_cells(ones).items() for p in cells} == {(s, p) for s, p, _ in zero}
     left = as_state(state)
@@ -138,32 +139,53 @@ def test_one_each(frames):
     assert as_state(after) == left
 
 
-def test_shards_keep_every_unit_and_every_cent(frames):
+def test_groups_are_independent(spark, frames):
     skus, goal = frames
-    sharded = al.shard_skus(skus, shard_rows=10)
-    assert sharded.first()["shards"] == 6
-    state = al.open_state(goal, sharded)
-    sums = state.groupBy("principal").agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
-    assert as_state(sums) == {p: [cents(lo), cents(hi)] for p, lo, hi in budgets()}
-    assigned, after = al.allocate_targets(skus, goal, shard_rows=10)
-    assert assigned.count() == 60
-    assert assigned.where("assigned + leftover <> sku_target").count() == 0
-    spent = al.cells(assigned).agg(F.sum("spend").alias("s")).first()["s"]
-    opened = sum(cents(hi) for _, _, hi in budgets())
-    assert opened - sum(r["high"] for r in after.collect()) == spent
+    both = skus.unionByName(skus.withColumn("team", F.lit("y")))
+    goals = goal.unionByName(goal.withColumn("team", F.lit("y")))
+    assigned, state = al.allocate_targets(both, goals, TEAM)
+    alone = as_cells(al.allocate_targets(skus, goal, TEAM)[0])
+    for team in "xy":
+        assert as_cells(assigned.where(F.col("team") == team)) == alone
+    rows = al.target_attainment(state, goals, TEAM).collect()
+    assert len(rows) == 2 * len(PEOPLE) and all(r["low_left"] <= r["low"] for r in rows)
+    # a SKU that two teams share keeps a residual in each of them
+    first, later = al.residual(assigned, "surplus"), assigned.where("sku < 30")
+    rest = al.residual(assigned, "fifth", (later,), partition_cols=TEAM)
+    counts = {r["team"]: r["n"] for r in rest.groupBy("team").agg(F.count("sku").alias("n")).collect()}
+    assert first.count() and counts["x"] == counts["y"] == al.residual(assigned.where("team = 'x'"), "fifth", (later.where("team = 'x'"),), partition_cols=TEAM).count()
 
 
-def test_groups_are_independent(spark, frames):
+def test_same_result_for_any_batch_and_partition_count(spark, frames):
     skus, goal = frames
-    both = skus.withColumn("team", F.lit("x")).unionByName(skus.withColumn("sku", F.col("sku") + 1000).withColumn("team", F.lit("y")))
-    goals = goal.withColumn("team", F.lit("x")).unionByName(goal.withColumn("team", F.lit("y")))
-    assigned, state = al.allocate_targets(both, goals, ["team"])
-    alone = as_cells(al.allocate_targets(skus, goal)[0])
-    cells = as_cells(assigned)
-    assert {s: c for s, c in cells.items() if s < 1000} == alone
-    assert {s - 1000: c for s, c in cells.items() if s >= 1000} == alone
-    rows = al.target_attainment(state, goals, ["team"]).collect()
-    assert len(rows) == 2 * len(PEOPLE) and all(r["low_left"] <= r["low"] for r in rows)
+    want = as_cells(al.allocate_targets(skus, goal, TEAM)[0])
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "7"), ("spark.sql.shuffle.partitions", "3")):
+        before = spark.conf.get(key)
+        spark.conf.set(key, value)
+        try:
+            assert as_cells(al.allocate_targets(skus, goal, TEAM)[0]) == want
+        finally:
+            spark.conf.set(key, before)
+
+
+def test_people_without_targets_and_territories_without_skus(spark):
+    skus = spark.createDataFrame([(1, 1, Decimal("1.00"), 9, 10, 0, ["a001", "a002"])], SKUS).withColumn("team", F.lit("x"))
+    goal = spark.createDataFrame([("x", "a001", Decimal(5), Decimal(6)), ("z", "a009", Decimal(3), Decimal(4))], "team string, principal string, low decimal(18,2), high decimal(18,2)")
+    assigned, state = al.allocate_targets(skus, goal, TEAM)
+    row = assigned.first()
+    assert row["principals"] == ["a001", "a002"] and row["qty"][1] is None and row["assigned"] + row["leftover"] == 10
+    got = {(r["team"], r["principal"]): r["sold"] for r in al.target_attainment(state, goal, TEAM).collect()}
+    assert set(got) == {("x", "a001"), ("z", "a009")} and got["z", "a009"] == 0
+    with pytest.raises(ValueError):
+        al.allocate_targets(skus, goal, [])
+
+
+def test_clamped_state_also_without_units(spark):
+    """Someone served 0 units is clamped too: an opening high of -700 closes at 0."""
+    rows = [(1, 1, Decimal("1.00"), 0, 0, 0, ["a001"], 0, 0)]
+    rest = spark.createDataFrame(rows, SKUS + ", units bigint, priority bigint").withColumn("team", F.lit("x"))
+    state = spark.createDataFrame([("x", "a001", 0, -700)], "team string, principal string, low bigint, high bigint")
+    assert as_state(al.allocate_round(rest, state, TEAM, "all", clamp=True)[1]) == {"a001": [0, 0]}
 
 
 def test_gradient_split_examples(spark):

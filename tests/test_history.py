@@ -1,6 +1,5 @@
 from datetime import date, timedelta
 
-import numpy as np
 import pytest
 
 from merch.operators import history as h
@@ -9,24 +8,6 @@ from merch.operators import stockout as so
 START = date(2024, 1, 1)
 
 
-def correct_by_hand(qty, stock, window=14, drop=0.5, inv_frac=0.3):
-    """Day-by-day rule on one filled history; ``stock`` has None where unknown."""
-    out = list(map(float, qty))
-    for i in range(window, len(out)):
-        if stock[i] is None:
-            continue
-        before = out[i - window : i]
-        mean = sum(before) / window
-        known = [s for s in stock[i - window : i] if s is not None and s > 0]
-        if mean == 0 or len(known) < window / 2:
-            continue
-        if (mean - out[i]) / mean > drop and stock[i] < sum(known) / len(known) * inv_frac:
-            sold = [q for q in before if q > 0]
-            if sold:
-                out[i] = float(np.average(sold, weights=np.linspace(0.5, 1.0, len(sold))))
-    return out
-
-
 def daily(spark, histories):
     """Rows from {sku: (qty, stock)}; a day without sales and stock has no row."""
     rows = [
@@ -45,26 +26,16 @@ def run(spark, histories):
     return got
 
 
-def random_history(rng, days=120):
-    qty, stock = [], []
-    for i in range(days):
-        low = rng.random() < 0.2
-        stock.append(None if rng.random() < 0.15 else int(rng.integers(0, 4) if low else rng.integers(20, 90)))
-        qty.append(int(rng.integers(0, 2) if low and rng.random() < 0.7 else rng.integers(0, 20)))
-    qty[0] = max(qty[0], 1)
-    return qty, stock
-
-
-def test_correction_equals_the_day_by_day_rule(spark):
-    rng = np.random.default_rng(3)
-    histories = {f"s{k}": random_history(rng) for k in range(12)}
-    got, changed = run(spark, histories), 0
-    for sku, (qty, stock) in histories.items():
-        want = correct_by_hand(qty, stock)
-        changed += sum(a != b for a, b in zip(want, qty))
-        for i, value in got[sku].items():
-            assert value == pytest.approx(want[i], abs=1e-9), (sku, i)
-    assert changed > 50
+def test_worked_corrections(spark):
+    """Expected numbers come from the rule's weights: 14 rising days 1..14 average 25/3, and days without sales do not count."""
+    rising = [*range(1, 15), 2], [50] * 14 + [2]
+    half_idle = [0] * 7 + [6] * 7 + [0], [50] * 14 + [1]
+    at_limit = [10] * 14 + [1], [50] * 14 + [15]
+    below_limit = [10] * 14 + [1], [50] * 14 + [14]
+    half_drop = [10] * 14 + [5], [50] * 14 + [2]
+    got = run(spark, {"rising": rising, "idle": half_idle, "limit": at_limit, "below": below_limit, "half": half_drop})
+    assert got["rising"][14] == pytest.approx(25 / 3) and got["idle"][14] == pytest.approx(6.0)
+    assert got["limit"][14] == 1.0 and got["below"][14] == pytest.approx(10.0) and got["half"][14] == 5.0
 
 
 def steady(qty=10, stock=50, days=20):

@@ -16,16 +16,16 @@ def grid_row(day, shop, *fees):
 
 def test_adfee_rerun_leaves_the_same_rows(spark):
     raw = spark.createDataFrame(
-        [(0, grid_row("2025-03-17", "total", "￥1,234.50", "￥0.00", "￥0.00")),
-         (1, grid_row("2025-03-17", "H12A", "￥1,234.50", "0.00", "40.17")), (2, grid_row(" 2025-03-17", "H12B", "", "x", "40.1789"))],
+        [(0, grid_row("2031-05-02", "total", "￥7,008.25", "￥0.00", "￥0.00")),
+         (1, grid_row("2031-05-02", "Q7", "￥7,008.25", "0.00", "3.5")), (2, grid_row(" 2031-05-02", "Q8", "", "x", "3.0625"))],
         "position int, cells array<string>",
     )
     path = stage_path(spark, "fees")
     for _ in range(2):
-        fd.adfee_daily_replace(raw, path, ["2025-03-17"])
+        fd.adfee_daily_replace(raw, path, ["2031-05-02"])
     rows = spark.read.parquet(path).orderBy("shop").collect()
-    assert [(r["shop"], r["plp_ad_rate"], r["po_ad_rate"], r["plg_ad_rate"]) for r in rows] == [("H12A", 1234.5, 0.0, 40.17), ("H12B", None, None, 40.1789)]
-    assert {r["d_date"] for r in rows} == {date(2025, 3, 17)}
+    assert [(r["shop"], r["plp_ad_rate"], r["po_ad_rate"], r["plg_ad_rate"]) for r in rows] == [("Q7", 7008.25, 0.0, 3.5), ("Q8", None, None, 3.0625)]
+    assert {r["d_date"] for r in rows} == {date(2031, 5, 2)}
 
 
 def test_replace_day_also_empties_a_day(spark):
@@ -64,8 +64,8 @@ def test_labels_become_columns(spark):
 
 
 def test_money_text(spark):
-    df = spark.createDataFrame([("￥1,234.50",), ("free",), (None,)], "t string")
-    assert [r["m"] for r in df.select(tx.money(F.col("t")).alias("m")).collect()] == [1234.5, None, None]
+    df = spark.createDataFrame([("￥7,008.25",), ("free",), (None,)], "t string")
+    assert [r["m"] for r in df.select(tx.money(F.col("t")).alias("m")).collect()] == [7008.25, None, None]
 
 
 def test_order_without_goods_keeps_its_line(spark):
@@ -87,3 +87,10 @@ def test_staged_rows_survive_and_spread_only_when_few(spark):
     assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, 1, 32)
     assert spread(wide).rdd.getNumPartitions() == 32
+
+
+def test_single_results_and_failed_replies(spark):
+    bodies = ['{"code":200,"result":{"id":"a"}}', '{"code":200,"result":[{"id":"b"},{"id":"c"}]}', '{"code":500,"result":[]}', "not json", None, '{"code":200,"result":[]}']
+    replies = spark.createDataFrame(list(enumerate(bodies)), "n int, body string")
+    assert [r["item"]["id"] for r in fd.unwrap_envelope(replies, "body", fd.ITEM).orderBy("n", "item.id").collect()] == ["a", "b", "c"]
+    assert sorted(r["n"] for r in fd.failed_replies(replies, "body").collect()) == [2, 3, 4]
