@@ -91,7 +91,7 @@ def _table(spark, sf_dir):
     path = stage_path(spark, "listings")
     ls.write_listings(listings(spark, sf_dir), path)
     back = spark.read.parquet(path)
-    return back.where("category = 'wheelhub'").unionByName(back.where("category = 'abssensor' AND d_num1 IS NOT NULL"))
+    return back.where("category = 'wheelhub'").unionByName(back.where("category = 'abssensor'"))
 
 
 ATTRIBUTES_SQL = f"""SELECT '{LINK}' || p_partkey AS vc_item_link, {CATEGORY} AS category, p_brand AS vc_brand,
@@ -118,8 +118,7 @@ QUERIES = {
     ),
     "listing_table": Query(
         _table, "vc_item_link:s category:s vc_item:s vc_brand:s",
-        f"""SELECT '{LINK}' || p_partkey AS vc_item_link, {CATEGORY} AS category, p_name AS vc_item, NULL AS vc_brand FROM part
-            WHERE p_size % 2 = 0 OR p_size % 3 < 2""",
+        f"""SELECT '{LINK}' || p_partkey AS vc_item_link, {CATEGORY} AS category, p_name AS vc_item, NULL AS vc_brand FROM part""",
     ),
     "listing_deadletter": Query(
         _split, "url:s target:s",

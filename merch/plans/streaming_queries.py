@@ -40,7 +40,7 @@ def _daily(spark, sf_dir):
     sales = _table_stream(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("sku"), F.col("l_shipdate").cast("timestamp").alias("ts"), F.col("l_quantity").cast("bigint").alias("sales_qty")
     )
-    return st.drain(st.stream_daily_totals(sales), stage_path(spark, "daily"))
+    return st.drain_updates(st.stream_daily_totals(sales), stage_path(spark, "daily"), ["sku", "sales_date"])
 
 
 def _frontier(spark, sf_dir):
@@ -75,7 +75,7 @@ QUERIES = {
     "stream_daily_totals": Query(
         _daily, "sku:l sales_date:s total_sales_qty:l",
         """SELECT l_suppkey AS sku, l_shipdate::DATE AS sales_date, sum(l_quantity::BIGINT) AS total_sales_qty FROM lineitem
-            WHERE l_shipdate::DATE + 1 <= (SELECT max(l_shipdate) - INTERVAL 1 DAY FROM lineitem) GROUP BY 1, 2""",
+            GROUP BY 1, 2""",
     ),
     "stream_frontier": Query(
         _frontier, "vc_item_link:s",

@@ -41,6 +41,30 @@ def drain(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def drain_updates(stream: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Run over what is there now and read back the last state of each key, also of keys that are not final yet.
+
+    A batch is a folder of its own and is overwritten when it runs again.
+    """
+    spark = stream.sparkSession
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/_batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(put)
+        .outputMode("update")
+        .option("checkpointLocation", stage_path(spark, "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    values = [c for c in stream.columns if c not in keys]
+    schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType())])
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.groupBy(*keys).agg(*[F.max_by(c, "_batch").alias(c) for c in values]).select(*stream.columns)
+
+
 def drain_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None]) -> None:
     query = (
         stream.writeStream.foreachBatch(handle)
@@ -64,7 +88,7 @@ def stream_adfee_days(raw: DataFrame, path: str) -> None:
 
 
 def stream_daily_totals(sales: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Sales per SKU and day, final once the watermark has passed the day."""
+    """Sales per SKU and day; a day is final, and leaves the state, once the watermark has passed it."""
     return (
         sales.withWatermark("ts", delay)
         .groupBy("sku", F.window("ts", "1 day"))
