@@ -48,11 +48,11 @@ class WordTokenizer:
     closing punctuation. A piece is encoded once while it stays in the table, which is emptied when it has grown to ``keep``.
     """
 
-    def __init__(self, path: str, keep: int = 600_000, at_once: int = 200):
+    def __init__(self, path: str, keep: int = 600_000, at_once: int = 200, held: int = 64):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.keep, self.at_once = keep, at_once
+        self.keep, self.at_once, self.held = keep, at_once, held
         self.mark = self.model.encode(MARK, add_special_tokens=False).ids
         self.forget()
 
@@ -74,7 +74,12 @@ class WordTokenizer:
         plain = [p for p in pieces if MARK not in p]
         calls = [plain[i : i + self.at_once] for i in range(0, len(plain), self.at_once)] if len(self.mark) == 1 else [[p] for p in plain]
         calls += [[p] for p in pieces if MARK in p]
-        coded = self.model.encode_batch_fast([f" {MARK} ".join(c) for c in calls], add_special_tokens=False)
+        # the model's results take far more room than their ids, so only those of some calls are held
+        coded = (
+            code
+            for i in range(0, len(calls), self.held)
+            for code in self.model.encode_batch_fast([f" {MARK} ".join(c) for c in calls[i : i + self.held]], add_special_tokens=False)
+        )
         for call, code in zip(calls, coded):
             ids = np.array(code.ids, dtype=np.uint32)
             if len(call) > 1:
