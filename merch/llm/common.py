@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merch.session import staged
@@ -49,6 +53,28 @@ def fresh(df: DataFrame, stem: str) -> str:
     return stem if stem not in taken else f"{stem}_{uuid.uuid4().hex}"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def text_batches(spark: SparkSession, most: str = "8m") -> Iterator[None]:
+    """What is staged inside sends Python batches of at most so many bytes, or of one row, however long the texts are."""
+    before = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_BYTES) if before is None else spark.conf.set(BATCH_BYTES, before)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as Python workers stay and go on to tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
+    if trim:
+        trim(0)
+
+
 def lower_ascii(text: str | None) -> bytes:
     """UTF-8 of the text with A-Z in lower case; null is empty."""
     return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)

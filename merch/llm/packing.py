@@ -24,14 +24,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merch.llm.common import KEY, keyed, text_or_empty
+from merch.llm.common import KEY, give_back, keyed, text_batches, text_or_empty
 from merch.session import staged
 
 CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PARTITION = 50_000
 ROUNDS = 12
-CHUNK_CHARS = 6 << 20  # words are looked up for about so much text at once
+CHUNK_CHARS = 3 << 20  # words are looked up for about so much text at once
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
 
@@ -137,6 +137,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, *, capacity: int = CAPACITY,
                 stop = max(at + 1, int(np.searchsorted(chars, (chars[at - 1] if at else 0) + CHUNK_CHARS)))
                 yield pieces_of(coder, batch.slice(at, stop - at), capacity, end_id)
                 at = stop
+        give_back()
 
     rows = keyed(docs, {"doc_id": F.col("doc_id").cast("bigint"), "text": text_or_empty()})
     return rows.mapInArrow(cut, f"{KEY[0]} bigint, {KEY[1]} bigint, {PIECE}")
@@ -281,6 +282,7 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, per_partition: int = PI
 
 def packed_sequences(docs: DataFrame, vocabulary: str, *, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Every piece of every document with its ids and its place: sequence_id and offset."""
-    pieces = staged(token_pieces(docs, vocabulary, capacity=capacity, end_id=end_id), "pieces")
+    with text_batches(docs.sparkSession):
+        pieces = staged(token_pieces(docs, vocabulary, capacity=capacity, end_id=end_id), "pieces")
     places = pack(pieces, capacity=capacity)
     return pieces.join(places.drop("length"), [*KEY, "piece"]).drop(*KEY)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from merch.llm.common import KEY, keyed, text_or_empty
+from merch.llm.common import KEY, give_back, keyed, text_batches, text_or_empty
 from merch.session import staged
 
 ORDER = 4
@@ -114,6 +114,7 @@ def count_ngrams(docs: DataFrame, trusted: DataFrame, *, order: int = ORDER) ->
                         yield held
                         held = held.iloc[:0]
         yield held.groupby("code", as_index=False, sort=False).sum()
+        give_back()
 
     text = text_or_empty()
     rows = docs.select("doc_id", F.octet_length(text).alias("size"), packed(text).alias("packed"))
@@ -179,12 +180,14 @@ def surprises(docs: DataFrame, model: DataFrame, blocks: int, *, order: int = OR
         for block, found in held.items():
             codes = pd.unique(np.concatenate(found))
             yield pd.DataFrame({"block": np.full(len(codes), block, np.int32), "code": codes})
+        give_back()
 
     def answer(frame: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         codes = told["code"].to_numpy()
         by = np.argsort(codes)
         codes, cost = codes[by], -np.log(told["p"].to_numpy()[by])
         out = []
+        give_back()
         for part in _chunks(frame):
             places, counts = ngrams(unpacked(part), order)
             at, distinct = pd.factorize(places)
@@ -223,10 +226,12 @@ def judge(
 ) -> DataFrame:
     """key, doc_id, lang, places, perplexity, trusted, threshold, keep for every document row."""
     trusted = trusted_ids(labels)
-    counts = staged(count_ngrams(docs, trusted.where("NOT judging").select("doc_id"), order=order), "counts")
+    with text_batches(docs.sparkSession):
+        counts = staged(count_ngrams(docs, trusted.where("NOT judging").select("doc_id"), order=order), "counts")
     total = counts.agg(F.sum("all")).first()[0] or 0
     model = probabilities(counts, order=order)
-    costs = staged(surprises(docs, model, max(1, -(-total // block_chars)), order=order), "surprise")
+    with text_batches(docs.sparkSession):
+        costs = staged(surprises(docs, model, max(1, -(-total // block_chars)), order=order), "surprise")
 
     flagged = costs.join(trusted, "doc_id", "left").withColumns(
         {"trusted": F.col("judging").isNotNull(), "judging": F.coalesce("judging", F.lit(False))}

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merch.llm.common import KEY, keyed, lower_ascii, text_or_empty
+from merch.llm.common import KEY, keyed, lower_ascii, text_batches, text_or_empty
 from merch.llm.components import components
 from merch.session import staged
 
@@ -198,7 +198,8 @@ def near_links(distinct: DataFrame, *, radius: int = RADIUS, shard_size: int = S
 
 def near_copies(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, shard_size: int = SHARD_SIZE) -> DataFrame:
     """key, doc_id, fp, component_id, kept (one row of each group) for every row."""
-    rows = staged(fingerprints(docs, shingle=shingle), "fingerprints")
+    with text_batches(docs.sparkSession):
+        rows = staged(fingerprints(docs, shingle=shingle), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *KEY))
     distinct = staged(rows.groupBy("fp").agg(first.alias("first")), "distinct")
     groups = components(near_links(distinct.select("fp"), radius=radius, shard_size=shard_size))
