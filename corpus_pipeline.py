@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merch.llm import mixing, packing, quality, simhash, toxicity
-from merch.llm.common import KEY, from_files, fresh
+from merch.llm.common import KEY, from_files, fresh, text_batches
 from merch.llm.queries import table, vocabulary
 from merch.session import staged
 
@@ -34,10 +34,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more go."""
+    docs = from_files(docs)
     model = staged(toxicity.train(docs, table(spark, sf_dir, "labels")), "toxicity")
-    name = fresh(docs, "score")
-    scored = toxicity.score_texts(docs, model, score=name, flag=None)
-    return scored.where(F.col(name) < 0.3).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = toxicity.score_texts(_with_key(docs).select(*KEY, "text"), model, flag=None)
+    with text_batches(spark):
+        rejected = staged(scored.where("score >= 0.3").select(*KEY), "toxic")
+    return _with_key(docs).join(rejected, KEY, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
