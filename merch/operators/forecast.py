@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from merch.functions import dates as dt
 from merch.functions.numbers import half_even, line_weight
-from merch.operators.history import FEATURES, model_type
+from merch.operators.history import model_type
 
 SEASON = 12
 BLOCK = 128  # rows smoothed together; keeps the working arrays in cache
@@ -157,24 +157,28 @@ def forecast_ets(series: DataFrame, h: int = 6, grid: dict | None = None, clip_b
 MODEL_INPUTS = ["last", "mean4", "mean13", "mean36", "peak", "last_near", "mean_far", "year_sin", "year_cos", "ahead"]
 
 
-def _model_rows(df: DataFrame, h: int) -> DataFrame:
-    """One row per sample and horizon with the regressors of the weekly model (and ``label``, if known)."""
-    level = F.transform("inputs", lambda r: F.get(r, F.lit(FEATURES.index("qty_smooth"))))
-    recent = df.withColumn("_q", level).withColumns(
-        {
-            "last": F.element_at("_q", -1),
-            **{
-                f"mean{k}": F.aggregate(F.slice("_q", -k, k), F.lit(0.0), lambda a, x: a + x) / F.lit(float(k))
-                for k in (4, 13, 36)
-            },
-            "peak": F.array_max("_q"),
-        }
-    )
-    if "targets" in df.columns:
-        spread = recent.select(*recent.columns, F.posexplode("targets").alias("_ahead", "label"))
-        rows = spread.withColumn("horizon", F.col("_ahead") + 1)
-    else:
-        rows = recent.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(h))))
+def model_weeks(features: DataFrame, h: int, n_in: int = 36) -> DataFrame:
+    """Every week with ``n_in`` weeks up to it: levels looked back on, and the ``h`` scaled quantities after it.
+
+    ``y1`` .. ``yh`` are NULL beyond the last week of the SKU, which ``newest`` marks.
+    """
+    weeks = Window.partitionBy("sku").orderBy("week_end")
+    q = F.col("qty_smooth_scaled")
+
+    def back(k):
+        return weeks.rowsBetween(1 - k, 0)
+
+    levels = {f"mean{k}": F.avg(q).over(back(k)) for k in (4, 13, 36)}
+    ahead = {f"y{k}": F.lead(q, k).over(weeks) for k in range(1, h + 1)}
+    return features.select(
+        "sku", F.col("week_end").alias("sample_end"), "qty_min", "qty_max", F.row_number().over(weeks).alias("_n"),
+        F.lead("week_end").over(weeks).isNull().alias("newest"), q.alias("last"), F.max(q).over(back(36)).alias("peak"),
+        *[c.alias(name) for name, c in {**levels, **ahead}.items()],
+    ).where(F.col("_n") >= n_in)
+
+
+def _regressors(rows: DataFrame) -> DataFrame:
+    """The regressors that depend on the horizon."""
     angle = F.dayofyear(F.date_add("sample_end", F.col("horizon") * 7)) * F.lit(2 * np.pi / 365.25)
     near = F.exp(-F.col("horizon") / F.lit(6.0))
     return rows.withColumns(
@@ -188,61 +192,54 @@ def _model_rows(df: DataFrame, h: int) -> DataFrame:
     )
 
 
-def fit_weekly_model(samples: DataFrame, h: int = 27, ridge: float = 1e-6) -> dict[str, float]:
-    """Coefficients of one linear model for all SKUs, direct for every horizon.
+def weekly_model_sums(features: DataFrame, h: int = 27, n_in: int = 36) -> DataFrame:
+    """One row ``a__b``: sums of the products of label, one and regressors over all samples and horizons.
 
-    Least squares by its normal equations: one pass of partial sums over all
-    samples and horizons, of which a matrix as wide as the inputs comes back.
+    A sample is a week with ``n_in`` weeks up to it and ``h`` after it.
     """
+    pairs = ", ".join(f"{k}, y{k}" for k in range(1, h + 1))
+    whole = model_weeks(features, h, n_in).where(F.col(f"y{h}").isNotNull())
+    rows = _regressors(whole.select("*", F.expr(f"stack({h}, {pairs}) AS (horizon, label)")))
     terms = {"label": F.col("label"), "one": F.lit(1.0), **{c: F.col(c) for c in MODEL_INPUTS}}
     names = list(terms)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    sums = _model_rows(samples, h).agg(*[F.sum(terms[a] * terms[b]).alias(f"{a}|{b}") for a, b in pairs]).first()
-    inputs = names[1:]
-    if not sums["one|one"]:
+    return rows.agg(*[F.sum(terms[a] * terms[b]).alias(f"{a}__{b}") for i, a in enumerate(names) for b in names[i:]])
+
+
+def solve_weekly_model(sums: dict[str, float], ridge: float = 1e-6) -> dict[str, float]:
+    """Coefficients from the sums by the normal equations; all 0 without samples."""
+    inputs = ["one", *MODEL_INPUTS]
+    if not sums["one__one"]:
         return dict.fromkeys(inputs, 0.0)
-    gram = np.array([[sums[f"{a}|{b}" if (a, b) in pairs else f"{b}|{a}"] for b in inputs] for a in inputs])
-    right = np.array([sums[f"label|{a}"] for a in inputs])
-    weights = np.linalg.solve(gram + ridge * sums["one|one"] * np.eye(len(inputs)), right)
+    gram = np.array([[sums[f"{a}__{b}" if i <= j else f"{b}__{a}"] for j, b in enumerate(inputs)] for i, a in enumerate(inputs)])
+    right = np.array([sums[f"label__{a}"] for a in inputs])
+    weights = np.linalg.solve(gram + ridge * sums["one__one"] * np.eye(len(inputs)), right)
     return dict(zip(inputs, weights.tolist()))
 
 
-def predict_weekly(model: dict[str, float], windows: DataFrame, h: int = 27) -> DataFrame:
-    """Scaled predictions for each window (``inputs`` and ``sample_end``) and horizon."""
+def fit_weekly_model(features: DataFrame, h: int = 27, n_in: int = 36, ridge: float = 1e-6) -> dict[str, float]:
+    """Coefficients of one linear model for all SKUs, direct for every horizon.
+
+    Least squares: one pass of partial sums, of which one row comes back to the driver.
+    """
+    return solve_weekly_model(weekly_model_sums(features, h, n_in).first().asDict(), ridge)
+
+
+def forecast_weekly(features: DataFrame, model: dict[str, float], h: int = 27, n_in: int = 36) -> DataFrame:
+    """``h`` Sundays after the newest week of every SKU with ``n_in`` weeks; quantities in sales units, not below 0."""
+    newest = model_weeks(features, 0, n_in).where("newest")
+    rows = _regressors(newest.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(h)))))
     scaled = F.lit(model["one"])
     for c in MODEL_INPUTS:
         scaled = scaled + F.col(c) * F.lit(model[c])
-    return _model_rows(windows, h).withColumn("scaled", scaled)
-
-
-def last_windows(features: DataFrame, n_in: int = 36) -> DataFrame:
-    """The most recent ``n_in`` weeks of each SKU that has that many."""
-    newest = Window.partitionBy("sku").orderBy(F.col("week_end").desc())
-    row = F.array(*[F.col(f"{c}_scaled") for c in FEATURES])
-    return (
-        features.withColumn("_back", F.row_number().over(newest))
-        .where(F.col("_back") <= n_in)
-        .groupBy("sku")
-        .agg(
-            F.max("week_end").alias("sample_end"),
-            F.max("qty_min").alias("qty_min"),
-            F.max("qty_max").alias("qty_max"),
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("week_end", row.alias("row")))), lambda s: s["row"]
-            ).alias("inputs"),
-        )
-        .where(F.size("inputs") == n_in)
+    value = scaled * (F.col("qty_max") - F.col("qty_min")) + F.col("qty_min")
+    return rows.select(
+        "sku", F.date_add("sample_end", F.col("horizon") * 7).alias("date"), F.greatest(value, F.lit(0.0)).alias("forecast")
     )
 
 
-def forecast_weekly_ml(features: DataFrame, samples: DataFrame, h: int = 27, n_in: int = 36) -> DataFrame:
-    """``h`` Sundays per SKU from one global model; quantities in sales units, not below 0."""
-    model = fit_weekly_model(samples, h)
-    scaled = predict_weekly(model, last_windows(features, n_in), h)
-    value = F.col("scaled") * (F.col("qty_max") - F.col("qty_min")) + F.col("qty_min")
-    return scaled.select(
-        "sku", F.date_add("sample_end", F.col("horizon") * 7).alias("date"), F.greatest(value, F.lit(0.0)).alias("forecast")
-    )
+def forecast_weekly_ml(features: DataFrame, h: int = 27, n_in: int = 36) -> DataFrame:
+    """``forecast_weekly`` by the model fitted to the same features."""
+    return forecast_weekly(features, fit_weekly_model(features, h, n_in), h, n_in)
 
 
 # --- after the model --------------------------------------------------------

@@ -10,7 +10,7 @@ from merch.operators import forecast as fc
 from merch.operators import history as h
 from merch.operators import stockout as so
 from merch.plans import binding as b
-from merch.plans.history_queries import END, MODEL_SQL, MONTHLY_SQL, START, daily, history_sql
+from merch.plans.history_queries import END, FEATURE_SQL, MODEL_SQL, MONTHLY_SQL, START, WEEKLY_SQL, daily, history_sql
 from merch.plans.query import Query
 from merch.session import staged
 
@@ -96,7 +96,7 @@ def forecast_pipeline(days, end, horizon: int = 6):
     busy = series.where("model_type = 1").select("sku")
     weekly = h.weekly_totals(adjusted.join(busy, "sku", "left_semi"), end, "qty")
     features = staged(h.weekly_features(weekly), "features")
-    learned = fc.forecast_weekly_ml(features, h.weekly_samples(features))
+    learned = fc.forecast_weekly_ml(features)
     return fc.postprocess_forecast(flat.unionByName(ets).unionByName(learned), series)
 
 
@@ -108,10 +108,52 @@ def _flat(spark, sf_dir):
     return fc.forecast_flat(_series(spark, sf_dir, "order"))
 
 
-def _weekly_ml(spark, sf_dir):
+def _features(spark, sf_dir):
     weekly = h.weekly_totals(h.trim_to_first_sale(daily(spark, sf_dir, "supplier"), END), END)
-    features = staged(h.weekly_features(weekly), "features")
-    return fc.forecast_weekly_ml(features, h.weekly_samples(features))
+    return h.weekly_features(weekly)
+
+
+def _weekly_ml(spark, sf_dir):
+    return fc.forecast_weekly_ml(staged(_features(spark, sf_dir), "features"))
+
+
+def _model_sums(spark, sf_dir):
+    sums = fc.weekly_model_sums(_features(spark, sf_dir))
+    return sums.unpivot([], sums.columns, "pair", "value")
+
+
+#: Given coefficients of the weekly model, for a forecast that SQL can repeat.
+COEFFICIENTS = dict(zip(["one", *fc.MODEL_INPUTS], (0.02, 0.15, 0.1, 0.25, 0.3, -0.05, 0.2, 0.1, 0.03, -0.04, 0.001)))
+
+
+def model_rows_sql(h: int = 27) -> str:
+    """CTEs up to ``samples`` (with label) and ``newest``, both with a row per horizon and all regressors."""
+    mean = ", ".join(f"avg(qty_smooth_scaled) OVER (w ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS mean{k}" for k in (4, 13, 36))
+    angle = "dayofyear((week_end + 7 * k::INTEGER)::DATE) * (2 * pi() / 365.25::DOUBLE)"
+    regressors = f"""1::DOUBLE AS one, last * exp(-k / 6::DOUBLE) AS last_near, mean13 * (1 - exp(-k / 6::DOUBLE)) AS mean_far,
+  sin({angle}) AS year_sin, cos({angle}) AS year_cos, k::DOUBLE AS ahead"""
+    return f"""{history_sql(WEEKLY_SQL, FEATURE_SQL)},
+levels AS (SELECT sku, week_end, qty_smooth_scaled AS last, {mean},
+  max(qty_smooth_scaled) OVER (w ROWS BETWEEN 35 PRECEDING AND CURRENT ROW) AS peak, row_number() OVER w AS n,
+  count(*) OVER s AS weeks, min(qty_smooth) OVER s AS low, max(qty_smooth) OVER s AS high
+  FROM features WINDOW w AS (PARTITION BY sku ORDER BY week_end), s AS (PARTITION BY sku)),
+samples AS (SELECT a.*, {regressors}, label FROM (SELECT a.*, k, b.last AS label FROM levels a CROSS JOIN range(1, {h + 1}) AS r(k)
+  JOIN levels b ON b.sku = a.sku AND b.n = a.n + k WHERE a.n >= 36 AND a.n + {h} <= a.weeks) AS a),
+newest AS (SELECT a.*, {regressors} FROM (SELECT * FROM levels, range(1, {h + 1}) AS r(k) WHERE n >= 36 AND n = weeks) AS a)"""
+
+
+def model_sums_sql() -> str:
+    names = ["label", "one", *fc.MODEL_INPUTS]
+    pairs = [(x, y) for i, x in enumerate(names) for y in names[i:]]
+    sums = ", ".join(f"sum({x} * {y}) AS {x}__{y}" for x, y in pairs)
+    columns = ", ".join(f"{x}__{y}" for x, y in pairs)
+    return f"{model_rows_sql()}, sums AS (SELECT {sums} FROM samples) SELECT pair, value FROM sums UNPIVOT (value FOR pair IN ({columns}))"
+
+
+def weekly_forecast_sql() -> str:
+    scaled = " + ".join(f"{name} * {weight}::DOUBLE" for name, weight in COEFFICIENTS.items())
+    return f"""{model_rows_sql()}
+SELECT sku, (week_end + 7 * k::INTEGER)::DATE AS date, greatest(({scaled}) * (high - low) + low, 0) AS forecast FROM newest"""
 
 
 def _processed(spark, sf_dir):
@@ -178,6 +220,10 @@ QUERIES = {
         f"{ets_sql('order', FIXED)} SELECT sku, month_end AS date, forecast FROM ets",
     ),
     "forecast_weekly_ml": Query(_weekly_ml, "sku:l date:s forecast:d3"),
+    "weekly_model_sums": Query(_model_sums, "pair:s value:d4", model_sums_sql()),
+    "forecast_weekly_fixed_coefficients": Query(
+        lambda s, d: fc.forecast_weekly(_features(s, d), COEFFICIENTS), "sku:l date:s forecast:d4", weekly_forecast_sql()
+    ),
     "postprocess_forecast": Query(
         _processed, "sku:l date:s predicted_qty:l model_type:l", f"{PROCESSED_SQL} SELECT * FROM processed"
     ),

@@ -118,10 +118,28 @@ def test_weekly_model_beats_last_year_on_held_out_weeks(spark):
         .select("sku", F.date_add(F.lit(date(2020, 1, 5)), F.col("w")* 7).alias("week_end"), F.round(level + noise).cast("bigint").alias("qty"), "w")
     )
     known = h.weekly_features(weekly.where(F.col("w") < weeks - hold).drop("w"))
-    pred = fc.forecast_weekly_ml(known, h.weekly_samples(known), hold)
+    pred = fc.forecast_weekly_ml(known, hold)
     assert pred.count() == skus * hold and pred.where("forecast < 0").count() == 0
     smooth = h.smooth_weeks(weekly.drop("w")).select("sku", "week_end", "qty_smooth")
     year_ago = smooth.select("sku", F.date_add("week_end", 364).alias("week_end"), F.col("qty_smooth").alias("naive"))
     both = pred.withColumnRenamed("date", "week_end").join(smooth, ["sku", "week_end"]).join(year_ago, ["sku", "week_end"])
     row = both.agg(F.avg(F.abs(F.col("forecast") - F.col("qty_smooth"))).alias("m"), F.avg(F.abs(F.col("naive") - F.col("qty_smooth"))).alias("n")).first()
     assert row["m"] < row["n"]
+
+
+def test_weekly_model_solves_its_sums_and_needs_full_samples(spark):
+    weeks = spark.range(3).withColumnRenamed("id", "sku").withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(79))))
+    weekly = weeks.where("sku > 0 OR w < 20").select(
+        "sku", F.date_add(F.lit(date(2020, 1, 5)), F.col("w") * 7).alias("week_end"), (F.abs(F.hash("sku", "w")) % 50).cast("bigint").alias("qty"))
+    features = h.weekly_features(weekly)
+    sums = fc.weekly_model_sums(features).first().asDict()
+    assert sums["one__one"] == 2 * (80 - 36 - 27 + 1) * 27
+    model = fc.solve_weekly_model(sums, ridge=0.0)
+    names = list(model)
+    for i, a in enumerate(names):
+        fitted = sum(model[b] * sums[f"{a}__{b}" if i <= j else f"{b}__{a}"] for j, b in enumerate(names))
+        assert fitted == pytest.approx(sums[f"label__{a}"], rel=1e-6, abs=1e-6)
+    got = {r["sku"]: r["n"] for r in fc.forecast_weekly(features, model).groupBy("sku").agg(F.count("*").alias("n")).collect()}
+    assert got == {1: 27, 2: 27}
+    few = h.weekly_features(weekly.where("sku = 0"))
+    assert set(fc.fit_weekly_model(few).values()) == {0.0} and fc.forecast_weekly_ml(few).count() == 0
