@@ -10,7 +10,9 @@ from merch.operators import forecast as fc
 from merch.operators import history as h
 from merch.operators import stockout as so
 from merch.plans import binding as b
-from merch.plans.history_queries import END, FEATURE_SQL, MODEL_SQL, MONTHLY_SQL, START, WEEKLY_SQL, daily, history_sql
+from merch.plans.history_queries import (
+    END, FEATURE_SQL, FULL_STOCK_SQL, GRID_SQL, MODEL_SQL, MONTHLY_SQL, START, WALK_SQL, WEEKLY_SQL, WINDOW, daily, history_sql,
+)
 from merch.plans.query import Query
 from merch.session import staged
 
@@ -28,29 +30,33 @@ def _series(spark, sf_dir, sku):
 
 
 def ets_sql(sku: str, grid: dict) -> str:
-    """CTEs up to ``ets(sku, month_end, forecast)``: the smoothing recursion over every grid point."""
+    """CTEs up to ``ets(sku, month_end, forecast)``."""
+    return f"{history_sql(MONTHLY_SQL, sku=sku)},\n{smoothing_sql(grid)}"
+
+
+def smoothing_sql(grid: dict) -> str:
+    """CTEs from ``monthly`` to ``ets``: the smoothing recursion over every grid point."""
     season = [(i, *p) for i, p in enumerate(product(grid["alpha"], grid["beta"], grid["phi"], grid["gamma"]))]
     plain = [(i, *p, 0) for i, p in enumerate(product(grid["alpha"], grid["beta"], grid["phi"]))]
 
     def rows(points):
         return ", ".join(f"({i}, {a}::DOUBLE, {bt}::DOUBLE, {ph}::DOUBLE, {g}::DOUBLE)" for i, a, bt, ph, g in points)
 
-    return f"""{history_sql(MONTHLY_SQL, sku=sku)},
-series AS (SELECT sku, list(qty::DOUBLE ORDER BY month_end) AS y, count(*) AS n, max(month_end) AS last_month FROM monthly GROUP BY 1),
+    return f"""series AS (SELECT sku, list(qty::DOUBLE ORDER BY month_end) AS y, count(*) AS n, max(month_end) AS last_month FROM monthly GROUP BY 1),
 points AS (SELECT *, TRUE AS seasonal FROM (VALUES {rows(season)}) AS v(pid, alpha, beta, phi, gamma)
            UNION ALL SELECT *, FALSE FROM (VALUES {rows(plain)}) AS v(pid, alpha, beta, phi, gamma)),
 starts AS (SELECT sku, y, n, n >= 24 AS seasonal,
     CASE WHEN n >= 24 THEN list_avg(y[1:12]) ELSE y[1] END AS level0,
     CASE WHEN n >= 24 THEN (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 WHEN n > 1 THEN y[2] - y[1] ELSE 0 END AS trend0,
     CASE WHEN n >= 24 THEN list_transform(y[1:12], lambda v: v - list_avg(y[1:12])) ELSE [0::DOUBLE] END AS season0 FROM series),
-smooth AS (
+steps AS (
   SELECT s.sku, s.y, s.n, p.pid, p.alpha, p.beta, p.phi, p.gamma, 0 AS t, s.level0 AS level, s.trend0 AS trend,
          s.season0 AS season, 0::DOUBLE AS sse FROM starts s JOIN points p ON s.seasonal = p.seasonal
   UNION ALL
   SELECT sku, y, n, pid, alpha, beta, phi, gamma, t + 1, level + phi * trend + alpha * e, phi * trend + alpha * beta * e,
          list_transform(season, lambda v, i: CASE WHEN i = t % len(season) + 1 THEN v + gamma * e ELSE v END), sse + e * e
-  FROM (SELECT *, y[t + 1] - (level + phi * trend + season[t % len(season) + 1]) AS e FROM smooth WHERE t < n)),
-best AS (SELECT * FROM smooth WHERE t = n QUALIFY row_number() OVER (PARTITION BY sku ORDER BY round(sse, 6), pid) = 1),
+  FROM (SELECT *, y[t + 1] - (level + phi * trend + season[t % len(season) + 1]) AS e FROM steps WHERE t < n)),
+best AS (SELECT * FROM steps WHERE t = n QUALIFY row_number() OVER (PARTITION BY sku ORDER BY round(sse, 6), pid) = 1),
 bounds AS (SELECT sku, last_month, n, list_count(list_filter(y, lambda v: v > 0)) > 0 AS sold,
     least(list_avg(list_filter(y, lambda v: v > 0)) * 0.8::DOUBLE, list_min(y) * 0.9::DOUBLE) AS low,
     greatest(list_max(y) * 1.3::DOUBLE, list_aggregate(y, 'quantile_cont', 0.75) * 1.6::DOUBLE) AS high FROM series),
@@ -83,20 +89,22 @@ def pipeline_daily(spark, sf_dir):
     return h.trim_to_first_sale(h.daily_totals(both, None, START, END), END)
 
 
-def forecast_pipeline(days, end, horizon: int = 6):
+def forecast_pipeline(days, end, horizon: int = 6, grid=None, model=None):
     """Correct, resample, choose a route per SKU, forecast and post-process.
 
+    ``grid`` and ``model`` replace the smoothing grid and the fitted weekly model.
+
     The corrected days and the monthly series are staged once; the routes are
     filtered branches of them.
     """
     adjusted = staged(so.correct_stockout_sales(days).select("sku", "sales_date", F.col("adjusted_qty").alias("qty")), "adjusted")
     series = staged(fc.monthly_series(h.monthly_totals(adjusted, end, "qty")), "series")
     flat = fc.forecast_flat(series.where("model_type = -1"), horizon)
-    ets = fc.forecast_ets(series.where("model_type = 0"), horizon)
+    ets = fc.forecast_ets(series.where("model_type = 0"), horizon, grid)
     busy = series.where("model_type = 1").select("sku")
     weekly = h.weekly_totals(adjusted.join(busy, "sku", "left_semi"), end, "qty")
     features = staged(h.weekly_features(weekly), "features")
-    learned = fc.forecast_weekly_ml(features)
+    learned = fc.forecast_weekly(features, model) if model else fc.forecast_weekly_ml(features)
     return fc.postprocess_forecast(flat.unionByName(ets).unionByName(learned), series)
 
 
@@ -104,6 +112,45 @@ def _pipeline(spark, sf_dir):
     return forecast_pipeline(pipeline_daily(spark, sf_dir), END)
 
 
+def _keyed_sales(spark, sf_dir, sku, kind):
+    """Sales of both platforms; the key carries platform and kind of SKU, so that one run serves all."""
+    key = F.col("sku") * 4 + kind + F.when(F.col("platform") == "Ebay", 2).otherwise(0)
+    return b.sales(spark, sf_dir, sku).withColumn("sku", key.cast("bigint"))
+
+
+def _keyed_sql(sku, kind):
+    return f"SELECT sku * 4 + {kind} + CASE WHEN platform = 'Ebay' THEN 2 ELSE 0 END AS sku, sales_date, sales_qty FROM ({b.sales_sql(sku)})"
+
+
+def _fixed_pipeline(spark, sf_dir):
+    """Supplier SKUs with stock on every day and order SKUs without stock, on both platforms, as published months."""
+    lines = _keyed_sales(spark, sf_dir, "supplier", 0)
+    stock = b.inventory_of(h.sku_calendar(lines.select("sku").distinct(), START, END))
+    stocked = h.daily_totals_all_stock_days(lines, stock, START, END)
+    others = h.daily_totals(_keyed_sales(spark, sf_dir, "order", 1), None, START, END)
+    days = h.trim_to_first_sale(stocked.unionByName(others.select(*stocked.columns)), END)
+    pred = forecast_pipeline(days, END, grid=FIXED, model=COEFFICIENTS)
+    long = fc.forecast_long(fc.forecast_wide(pred, MONTHS, drop_last=True))
+    platform = F.when(F.col("sku") % 4 >= 2, "Ebay").otherwise("Amazon")
+    return long.select(F.floor(F.col("sku") / 4).alias("sku"), (F.col("sku") % 2).alias("kind"), platform.alias("platform"), "model_type", "variable", "value")
+
+
+def _fixed_pipeline_sql():
+    stocked = FULL_STOCK_SQL.replace(b.sales_sql("supplier"), _keyed_sql("supplier", 0))
+    return f"""WITH RECURSIVE {stocked}, {WALK_SQL},
+daily AS (SELECT sku, sales_date, adjusted AS total_sales_qty, NULL::BIGINT AS total_available_quantity FROM walk
+          UNION ALL SELECT sku, sales_date, sum(sales_qty)::DOUBLE, NULL FROM ({_keyed_sql("order", 1)}) WHERE {WINDOW} GROUP BY 1, 2),
+{GRID_SQL}, {MONTHLY_SQL}, {MODEL_SQL}, {smoothing_sql(FIXED)}, {FLAT_SQL}, {WEEKLY_SQL}, {FEATURE_SQL}, {model_rows_sql()}, {weekly_forecast_sql()},
+routes AS (SELECT sku, month_end, forecast FROM ets JOIN models USING (sku) WHERE model_type = 0
+           UNION ALL SELECT sku, month_end, forecast FROM flat JOIN models USING (sku) WHERE model_type = -1
+           UNION ALL SELECT sku, month_end, forecast FROM learned JOIN models USING (sku) WHERE model_type = 1),
+{processed_sql("routes")},
+months AS (SELECT sku, model_type, strftime(date, '%Y-%m') AS month, sum(predicted_qty)::BIGINT AS value FROM processed GROUP BY 1, 2, 3)
+SELECT s.sku // 4 AS sku, s.sku % 2 AS kind, CASE WHEN s.sku % 4 >= 2 THEN 'Ebay' ELSE 'Amazon' END AS platform, s.model_type,
+       v.month AS variable, m.value FROM (SELECT DISTINCT sku, model_type FROM months) s
+CROSS JOIN (VALUES {", ".join(f"('{m}')" for m in MONTHS[:-1])}) AS v(month) LEFT JOIN months m ON m.sku = s.sku AND m.month = v.month"""
+
+
 def _flat(spark, sf_dir):
     return fc.forecast_flat(_series(spark, sf_dir, "order"))
 
@@ -127,13 +174,12 @@ COEFFICIENTS = dict(zip(["one", *fc.MODEL_INPUTS], (0.02, 0.15, 0.1, 0.25, 0.3,
 
 
 def model_rows_sql(h: int = 27) -> str:
-    """CTEs up to ``samples`` (with label) and ``newest``, both with a row per horizon and all regressors."""
+    """CTEs from ``features`` to ``samples`` (with label) and ``newest``, both with a row per horizon and all regressors."""
     mean = ", ".join(f"avg(qty_smooth_scaled) OVER (w ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS mean{k}" for k in (4, 13, 36))
     angle = "dayofyear((week_end + 7 * k::INTEGER)::DATE) * (2 * pi() / 365.25::DOUBLE)"
     regressors = f"""1::DOUBLE AS one, last * exp(-k / 6::DOUBLE) AS last_near, mean13 * (1 - exp(-k / 6::DOUBLE)) AS mean_far,
   sin({angle}) AS year_sin, cos({angle}) AS year_cos, k::DOUBLE AS ahead"""
-    return f"""{history_sql(WEEKLY_SQL, FEATURE_SQL)},
-levels AS (SELECT sku, week_end, qty_smooth_scaled AS last, {mean},
+    return f"""levels AS (SELECT sku, week_end, qty_smooth_scaled AS last, {mean},
   max(qty_smooth_scaled) OVER (w ROWS BETWEEN 35 PRECEDING AND CURRENT ROW) AS peak, row_number() OVER w AS n,
   count(*) OVER s AS weeks, min(qty_smooth) OVER s AS low, max(qty_smooth) OVER s AS high
   FROM features WINDOW w AS (PARTITION BY sku ORDER BY week_end), s AS (PARTITION BY sku)),
@@ -147,13 +193,15 @@ def model_sums_sql() -> str:
     pairs = [(x, y) for i, x in enumerate(names) for y in names[i:]]
     sums = ", ".join(f"sum({x} * {y}) AS {x}__{y}" for x, y in pairs)
     columns = ", ".join(f"{x}__{y}" for x, y in pairs)
-    return f"{model_rows_sql()}, sums AS (SELECT {sums} FROM samples) SELECT pair, value FROM sums UNPIVOT (value FOR pair IN ({columns}))"
+    return f"""{history_sql(WEEKLY_SQL, FEATURE_SQL)}, {model_rows_sql()},
+sums AS (SELECT {sums} FROM samples) SELECT pair, value FROM sums UNPIVOT (value FOR pair IN ({columns}))"""
 
 
 def weekly_forecast_sql() -> str:
+    """``learned``: predictions with the given coefficients, after ``newest``."""
     scaled = " + ".join(f"{name} * {weight}::DOUBLE" for name, weight in COEFFICIENTS.items())
-    return f"""{model_rows_sql()}
-SELECT sku, (week_end + 7 * k::INTEGER)::DATE AS date, greatest(({scaled}) * (high - low) + low, 0) AS forecast FROM newest"""
+    return f"""learned AS (SELECT sku, (week_end + 7 * k::INTEGER)::DATE AS month_end,
+  greatest(({scaled}) * (high - low) + low, 0) AS forecast FROM newest)"""
 
 
 def _processed(spark, sf_dir):
@@ -166,8 +214,8 @@ def processed_sql(source):
     """``processed``: faded and rounded whole quantities from ``source(sku, month_end, forecast)``."""
     return f"""processed AS (SELECT sku, month_end AS date, model_type, CAST(CASE WHEN mean_daily <= 5 THEN ceil(v) ELSE round_even(v, 0) END AS BIGINT) AS predicted_qty
   FROM (SELECT sku, month_end, model_type, mean_daily, greatest(forecast, 0)
-          * CASE WHEN i = 5 THEN 0.95::DOUBLE ELSE i * ((0.95::DOUBLE - 1) / 5) + 1 END AS v
-        FROM (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY month_end) - 1 AS i FROM {source}) JOIN models USING (sku)))"""
+          * CASE WHEN i = n - 1 THEN 0.95::DOUBLE ELSE i * ((0.95::DOUBLE - 1) / (n - 1)) + 1 END AS v
+        FROM (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY month_end) - 1 AS i, count(*) OVER (PARTITION BY sku) AS n FROM {source}) JOIN models USING (sku)))"""
 
 
 PROCESSED_SQL = f"{ets_sql('supplier', FIXED)}, {MODEL_SQL}, {processed_sql('ets')}"
@@ -222,7 +270,9 @@ QUERIES = {
     "forecast_weekly_ml": Query(_weekly_ml, "sku:l date:s forecast:d3"),
     "weekly_model_sums": Query(_model_sums, "pair:s value:d4", model_sums_sql()),
     "forecast_weekly_fixed_coefficients": Query(
-        lambda s, d: fc.forecast_weekly(_features(s, d), COEFFICIENTS), "sku:l date:s forecast:d4", weekly_forecast_sql()
+        lambda s, d: fc.forecast_weekly(_features(s, d), COEFFICIENTS), "sku:l date:s forecast:d4",
+        f"""{history_sql(WEEKLY_SQL, FEATURE_SQL)}, {model_rows_sql()}, {weekly_forecast_sql()}
+            SELECT sku, month_end AS date, forecast FROM learned""",
     ),
     "postprocess_forecast": Query(
         _processed, "sku:l date:s predicted_qty:l model_type:l", f"{PROCESSED_SQL} SELECT * FROM processed"
@@ -253,5 +303,8 @@ QUERIES = {
         f"""{PROCESSED_SQL} SELECT sku, '{b.PLATFORM}' AS platform, date AS predict_date, model_type,
             CASE WHEN date <= DATE '{AS_OF}' THEN -1 ELSE predicted_qty END AS predicted_qty FROM processed""",
     ),
+    "forecast_pipeline_fixed": Query(
+        _fixed_pipeline, "sku:l kind:l platform:s model_type:l variable:s value:d0", _fixed_pipeline_sql()
+    ),
     "forecast_pipeline": Query(_pipeline, "sku:s date:s predicted_qty:l model_type:l"),
 }
