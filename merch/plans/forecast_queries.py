@@ -14,7 +14,8 @@ from merch.plans.history_queries import (
     END, FEATURE_SQL, FULL_STOCK_SQL, GRID_SQL, MODEL_SQL, MONTHLY_SQL, START, WALK_SQL, WEEKLY_SQL, WINDOW, daily, history_sql,
 )
 from merch.plans.query import Query
-from merch.session import staged
+from merch.session import stage_path, staged
+from merch.sources import tables as tb
 
 FIXED = {"alpha": (0.3,), "beta": (0.1,), "phi": (0.9,), "gamma": (0.15,)}
 MONTHS = fc.month_labels("2001-12", 7)
@@ -254,6 +255,23 @@ def _published(spark, sf_dir):
     return fc.forecast_publish(old, new.where(F.col("predict_date") > F.lit(AS_OF).cast("date")), AS_OF)
 
 
+def _published_twice(spark, sf_dir):
+    """A stored table with past and future rows, and SKUs that are not forecast again, published to twice."""
+    new = _processed(spark, sf_dir).select(
+        "sku", F.lit(b.PLATFORM).alias("platform"), F.col("date").alias("predict_date"), "predicted_qty", "model_type"
+    )
+    new = staged(new, "forecast")
+    earlier = new.withColumns(
+        {"predict_date": F.last_day(F.add_months("predict_date", -3)), "predicted_qty": F.lit(-1).cast("bigint")}
+    )
+    gone = earlier.withColumns({"sku": -F.col("sku"), "platform": F.lit("Ebay")})
+    path = stage_path(spark, "published")
+    tb.overwrite(earlier.unionByName(gone), path)
+    for _ in range(2):
+        tb.rewrite(spark, path, lambda old: fc.forecast_publish(old, new, END))
+    return spark.read.parquet(path)
+
+
 QUERIES = {
     "forecast_flat": Query(
         _flat, "sku:l date:s forecast:d4",
@@ -303,6 +321,14 @@ QUERIES = {
         f"""{PROCESSED_SQL} SELECT sku, '{b.PLATFORM}' AS platform, date AS predict_date, model_type,
             CASE WHEN date <= DATE '{AS_OF}' THEN -1 ELSE predicted_qty END AS predicted_qty FROM processed""",
     ),
+    "forecast_publish_rerun": Query(
+        _published_twice,
+        "sku:l platform:s predict_date:s predicted_qty:l model_type:l",
+        f"""{PROCESSED_SQL}, earlier AS (SELECT sign * sku AS sku, platform, last_day((date - INTERVAL 3 MONTH)::DATE) AS predict_date,
+            -1 AS predicted_qty, model_type FROM processed CROSS JOIN (VALUES (1, '{b.PLATFORM}'), (-1, 'Ebay')) AS v(sign, platform))
+            SELECT * FROM earlier WHERE predict_date <= DATE '{END}'
+            UNION ALL SELECT sku, '{b.PLATFORM}', date, predicted_qty, model_type FROM processed""",
+    ),
     "forecast_pipeline_fixed": Query(
         _fixed_pipeline, "sku:l kind:l platform:s model_type:l variable:s value:d0", _fixed_pipeline_sql()
     ),

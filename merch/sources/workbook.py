@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,25 +26,32 @@ def header_labels(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
+def files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Files with the same first line (blank ones aside), in the order of their names; files without any drop out.
+
+    One distributed read of all paths, which may be folders or patterns; the file names come back to the caller.
+    """
+    lines = spark.read.text(paths).where(F.trim("value") != "").select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    first = lines.groupBy("path").agg(F.min_by("value", "place").alias("line"))
+    groups = first.groupBy("line").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    return sorted([unquote(p) for p in row["paths"]] for row in groups.collect())
+
+
 def read_sheets(spark: SparkSession, paths: list[str], renames: dict[str, str] | None = None) -> DataFrame:
     """All sheets as one all-text table under normalised names.
 
     Sheets that share a header are one scan; different headers are united by
-    name, and empty sheets drop out.
+    name, and empty sheets drop out. Without any header the result has no columns and no rows.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        labels = header_labels(spark, path)
-        if labels:
-            by_header.setdefault(tuple(labels), []).append(path)
-    tables = [
-        spark.read.schema(schema_from_labels(list(labels), renames)).option("header", True).option("enforceSchema", True).csv(group)
-        for labels, group in by_header.items()
-    ]
-    whole = tables[0]
-    for table in tables[1:]:
-        whole = whole.unionByName(table, allowMissingColumns=True)
-    return whole
+    whole = None
+    for files in files_by_header(spark, paths) if paths else []:
+        schema = schema_from_labels(header_labels(spark, files[0]), renames)
+        table = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(files)
+        whole = table if whole is None else whole.unionByName(table, allowMissingColumns=True)
+    return spark.createDataFrame([], T.StructType([])) if whole is None else whole
 
 
 def clean_rows(df: DataFrame, numeric: list[str] | tuple[int, ...] = ()) -> DataFrame:

@@ -94,3 +94,16 @@ def test_single_results_and_failed_replies(spark):
     replies = spark.createDataFrame(list(enumerate(bodies)), "n int, body string")
     assert [r["item"]["id"] for r in fd.unwrap_envelope(replies, "body", fd.ITEM).orderBy("n", "item.id").collect()] == ["a", "b", "c"]
     assert sorted(r["n"] for r in fd.failed_replies(replies, "body").collect()) == [2, 3, 4]
+
+
+def test_sheets_are_grouped_by_header_and_empty_ones_drop_out(spark, tmp_path):
+    texts = {"a 1.csv": "Sku No,Qty\nA,1\n", "b.csv": "\nSku No,Qty\nB,2\nC,3\n", "c.csv": "Sku No,Shop\nD,Q7\n", "d.csv": "", "e%41.csv": "Sku No,Qty\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    paths = [str(tmp_path / n) for n in texts]
+    assert sorted(len(g) for g in wb.files_by_header(spark, [str(tmp_path)])) == [1, 3]
+    for source in ([str(tmp_path)], paths):
+        rows = wb.read_sheets(spark, source)
+        assert len(rows.columns) == 3
+        assert sorted(tuple(x or "" for x in r) for r in rows.collect()) == [("A", "1", ""), ("B", "2", ""), ("C", "3", ""), ("D", "", "Q7")]
+    assert wb.read_sheets(spark, [paths[3]]).columns == [] and wb.read_sheets(spark, []).count() == 0
