@@ -3,9 +3,13 @@
 Equal vectors are collapsed first. A neighbour graph is begun from blocks of vectors that are alike under random hyperplanes and
 refined by neighbours-of-neighbours joins: in each round a vector visits a few of its neighbours, is compared with the
 neighbours found there, and both sides keep what improves their list. A list holds the ``k`` best; a list whose last entry
-still reaches the threshold is saturated and enlarged until its last entry falls below, so that no link is pushed out. After
-each round a bounded sample of vectors is compared with all (audit); the rounds go on, with more visits, until the audit finds
-``recall`` of the sample's links in the graph and a round adds next to none.
+still reaches the threshold is saturated and enlarged until its last entry falls below, so that no link is pushed out.
+
+A sample of vectors is compared with all (audit), and it grows until ``ENOUGH`` of its vectors have few links. Vectors are judged
+in classes by their number of links, each vector counting once, so a large group hides nothing that small groups lose. The
+rounds go on, with more visits and new hyperplanes, until every class has ``recall`` of its links in the graph and a round adds
+next to none to any class. Where small groups are too rare to be judged by a sample, where a round would compare more than all
+pairs, and where the last round still fails, all vectors are compared with all, in blocks, and the result is exact.
 
 All similarities are cosines in double precision of the vectors as given. Only links at or above the threshold are kept at the
 end.
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from merch.llm.common import KEY, keyed, vectors
 from merch.llm.components import components
-from merch.session import staged
+from merch.session import stage_path, staged
 
 THRESHOLD = 0.95
 K = 8
@@ -37,6 +41,9 @@ VISITS = 4
 ROUNDS = 8
 AUDIT = 256
 RECALL = 0.995
+ENOUGH = 200
+CHUNK = 4096
+SETTLED = 0.0005
 SEED = 1
 
 LISTS = "u bigint, ids array<bigint>, sims array<double>"
@@ -198,42 +205,106 @@ def descend(nodes: DataFrame, graph: DataFrame, round_: int, *, k: int, threshol
     return merge(graph.union(offers), k, threshold)
 
 
-def audit(nodes: DataFrame, graph: DataFrame, *, threshold: float, sample: int) -> tuple[int, int]:
-    """Links of at most ``sample`` vectors against all, and how many of them the graph has."""
-    chosen = nodes.orderBy(F.xxhash64("u", F.lit(SEED)), "u").limit(sample).select("u", "vec").toPandas()
-    ids, x = chosen["u"].to_numpy(), unpack(chosen["vec"].tolist())
-
-    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            who = batch["u"].to_numpy()
-            i, j = np.nonzero((unpack(batch["vec"].tolist()) @ x.T >= threshold) & (who[:, None] != ids[None, :]))
-            yield pd.DataFrame({"u": ids[j], "v": who[i]})
+def trees_for(n: int, *, threshold: float, trees: int, block: int) -> int:
+    """Trees that leave one link in twenty outside all common blocks, ``trees`` at least.
 
-    links = nodes.select("u", "vec").mapInPandas(near, "u bigint, v bigint")
-    held = graph.where(F.col("u").isin([int(i) for i in ids])).select("u", F.explode("ids").alias("v")).withColumn("held", F.lit(1))
-    row = links.join(held, ["u", "v"], "left").agg(F.count(F.lit(1)), F.count("held")).first()
-    return row[0], row[1]
+    A block of n rows is as narrow as log2(n / block) hyperplanes, each of which a link crosses by its angle.
+    """
+    together = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** max(np.log2(max(n, 1) / block), 0)
+    return trees if together > 0.999 else max(trees, int(np.ceil(np.log(0.05) / np.log1p(-together))))
+
+
+class Truth:
+    """All links of a growing sample, vectors compared with all in blocks of ``CHUNK``; a sample of all is exact."""
+
+    def __init__(self, nodes: DataFrame, n: int, *, threshold: float, sample: int):
+        self.nodes, self.threshold = nodes, threshold
+        self.parts, self.done = max(-(-n // sample), 1), 0
+        self.most = max(CHUNK // sample, 1)
+        self.path = stage_path(nodes.sparkSession, "truth")
+
+    @property
+    def complete(self) -> bool:
+        return self.done >= self.parts
+
+    def grow(self) -> None:
+        """As many vectors again as the sample has, ``CHUNK`` at most."""
+        until = min(self.done + min(max(self.done, 1), self.most), self.parts)
+        part = F.pmod(F.xxhash64("u", F.lit(SEED)), F.lit(self.parts))
+        chosen = self.nodes.where((part >= self.done) & (part < until)).select("u", "vec").toPandas()
+        ids, x, threshold = chosen["u"].to_numpy(), unpack(chosen["vec"].tolist()), self.threshold
+
+        def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for at in range(0, len(batch) if len(ids) else 0, 256):
+                    some = batch.iloc[at : at + 256]
+                    who = some["u"].to_numpy()
+                    s = x @ unpack(some["vec"].tolist()).T
+                    i, j = np.nonzero((s >= threshold) & (ids[:, None] != who[None, :]))
+                    if len(i):
+                        firsts = np.flatnonzero(np.append(True, i[1:] != i[:-1]))
+                        lists = lambda y: pd.Series(np.split(y, firsts[1:]), dtype=object)  # noqa: E731, B023
+                        yield pd.DataFrame({"u": ids[i[firsts]], "ids": lists(who[j]), "sims": lists(s[i, j])})
+
+        self.nodes.select("u", "vec").mapInPandas(near, LISTS).write.mode("append").parquet(self.path)
+        self.done = until
+
+    def lists(self) -> DataFrame:
+        return self.nodes.sparkSession.read.schema(LISTS).parquet(self.path)
+
+    def few(self, most: int) -> int:
+        """Vectors of the sample that have links, but at most so many."""
+        return self.lists().groupBy("u").agg(F.sum(F.size("ids")).alias("there")).where(F.col("there") <= most).count()
+
+    def recall(self, graph: DataFrame) -> float:
+        """Mean share of a vector's links that the graph has, in the class of vectors where it is least."""
+        there = self.lists().groupBy("u").agg(F.sum(F.size("ids")).alias("there"))
+        share = F.least(F.coalesce("links", F.lit(0)) / F.col("there"), F.lit(1.0))
+        held = there.join(link_counts(graph, self.threshold), "u", "left")
+        worst = held.groupBy(F.floor(F.log2("there")).alias("class")).agg(F.avg(share).alias("share")).agg(F.min("share")).first()[0]
+        return 1.0 if worst is None else worst
+
+
+def link_counts(graph: DataFrame, threshold: float) -> DataFrame:
+    return graph.select("u", F.size(F.filter("sims", lambda s: s >= threshold)).alias("links"))
+
+
+def still(before: DataFrame, graph: DataFrame, threshold: float) -> bool:
+    """Whether in each class of vectors by number of links next to none have gained any."""
+    old = link_counts(before, threshold).withColumnRenamed("links", "old")
+    both = link_counts(graph, threshold).where("links > 0").join(old, "u", "left")
+    gained = F.avg((F.col("links") > F.coalesce("old", F.lit(0))).cast("double"))
+    most = both.groupBy(F.floor(F.log2("links")).alias("class")).agg(gained.alias("gained")).agg(F.max("gained")).first()[0]
+    return (most or 0) <= SETTLED
 
 
 def neighbour_graph(
     nodes: DataFrame, width: int, *, threshold: float = THRESHOLD, k: int = K, trees: int = TREES, block: int = BLOCK, visits: int = VISITS,
-    rounds: int = ROUNDS, recall: float = RECALL, sample: int = AUDIT, seed: int = SEED,
+    rounds: int = ROUNDS, recall: float = RECALL, sample: int = AUDIT, seed: int = SEED, enough: int = ENOUGH,
 ) -> DataFrame:
-    """(u, ids, sims): neighbour lists of the distinct vectors, refined until the audit is content."""
-    graph = staged(first_graph(nodes, width, k=k, threshold=threshold, trees=trees, block=block, seed=seed), "graph")
-    before = -1
-    for round_ in range(rounds):
-        graph = staged(descend(nodes, graph, round_, k=k, threshold=threshold, visits=visits), "graph")
-        links = graph.agg(F.sum(F.size(F.filter("sims", lambda s: s >= threshold)))).first()[0] or 0
-        settled = links <= before * 1.0005
-        before = links
-        if settled or round_:
-            there, held = audit(nodes, graph, threshold=threshold, sample=sample)
-            if settled and held >= recall * there:
-                break
-            if held < recall * there:  # the graph is too coarse: longer lists and more visits
+    """(u, ids, sims): neighbour lists of the distinct vectors, refined until the audit is content, or all links."""
+    n, small = nodes.count(), k
+    trees = trees_for(n, threshold=threshold, trees=trees, block=block)
+    truth = Truth(nodes, n, threshold=threshold, sample=sample)
+    truth.grow()
+    while not truth.complete and truth.few(small) < enough:
+        truth.grow()
+    if not truth.complete:
+        graph = staged(first_graph(nodes, width, k=k, threshold=threshold, trees=trees, block=block, seed=seed), "graph")
+        for round_ in range(rounds):
+            before, graph = graph, staged(descend(nodes, graph, round_, k=k, threshold=threshold, visits=visits), "graph")
+            if truth.recall(graph) >= recall:
+                if round_ + 1 == rounds or still(before, graph, threshold):
+                    return graph
+            elif round_:  # the graph is too coarse: longer lists, more visits and other hyperplanes
                 k, visits = 2 * k, 2 * visits
-    return graph
+                if k * visits >= n:
+                    break
+                more = first_graph(nodes, width, k=k, threshold=threshold, trees=trees, block=block, seed=seed + round_)
+                graph = staged(merge(graph.union(more), k, threshold), "graph")
+    while not truth.complete:
+        truth.grow()
+    return staged(merge(truth.lists(), k, threshold), "graph")
 
 
 def near_vectors(embeddings: DataFrame, *, ident: str = "vec_id", threshold: float = THRESHOLD, **options) -> DataFrame:

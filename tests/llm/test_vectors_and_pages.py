@@ -50,6 +50,21 @@ def test_nn_descent_finds_all_links(spark):
     assert neighbours.near_vectors(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("pairs", [60, 600])
+def test_nn_descent_finds_pairs_beside_a_large_group(spark, pairs):
+    """The large group has nearly all links, so their sum hides lost pairs; few pairs are missed by a sample."""
+    rng = np.random.default_rng(3)
+    some = rng.normal(size=(pairs, 32))
+    x = np.concatenate([some, some + 0.1 * rng.normal(size=some.shape), rng.normal(size=32) + 0.01 * rng.normal(size=(800, 32)), rng.normal(size=(1200, 32))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = neighbours.near_vectors(frame, k=4, block=16, trees=1, visits=2).toPandas().set_index("vec_id").loc[range(len(x))]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.95).sum(axis=1) - 1
+    share = np.minimum(got["n_links"].to_numpy() / np.maximum(want, 1), 1)
+    assert (got["n_links"].to_numpy() <= want).all()
+    assert share[want == 1].mean() >= 0.99 and share[want > 100].mean() >= 0.99
+
+
 def test_nn_descent_recall(spark):
     rows = table(spark, SF, "embeddings").toPandas()
     got = QUERIES["op1_nn_descent"](spark, SF).toPandas().set_index("vec_id").loc[rows["vec_id"]]
