@@ -4,11 +4,12 @@ Sizes are words. A source's target is its share by weight of ``epochs`` times al
 excess reshared by weight. Inside a source a document is wanted ``e = min(cap, rate x preference)`` times, where the preference
 grows slowly with its length class and the rate makes the wanted words add up to the target. The whole part of ``e`` is
 allocated for certain. The rest is an inclusion probability p, and Pareto order sampling decides: documents are ranked by
-(u / (1 - u)) / (p / (1 - p)), u being a hash of the row, and taken in that order until the next would pass the target. One
-more document, the largest that still fits, closes most of what is left.
+(u / (1 - u)) / (p / (1 - p)), u being a hash of the row, and taken in that order; a document that would pass the target is left
+out and those behind it go on.
 
-So a mix never passes a source's target, misses it by less than the smallest document left out that could fit, and is the same
-on every run.
+So a mix never passes a source's target, misses it by less than the smallest document left out of the draw, and is the same on
+every run. A document gets the whole part of ``e`` or one copy more, so a source whose words are mostly those of one document
+that does not fit misses its target where all others have been drawn.
 
 Defined cases: null or blank text has size 0, is wanted never and taken 0 words; a null source is a source of its own, last in
 order; a source without words has target 0; repeated rows are separate documents with one u each; a very long document that
@@ -124,20 +125,23 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, epochs: float
     odds = (u / (1 - u)) * ((1 - open_) / open_)
     rows = staged(rows.withColumns({"sure": sure.cast("bigint"), "order": odds}), "odds")
 
-    left = staged(rows.groupBy("source").agg((F.first("target") - F.sum(F.col("sure") * F.col("size"))).alias("left")), "left")
-    drawn = running_totals(
-        rows.where("`order` IS NOT NULL").select("source", "order", "doc_id", "text_hash", "size", *KEY),
-        ["source"], [F.col("order"), F.col("doc_id"), F.col("text_hash"), *[F.col(k) for k in KEY]], {"run": "size"},
-    )
-    drawn = drawn.join(left.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    drawn = staged(drawn.select("source", *KEY, "size", "order", "left", (F.col("run") <= F.col("left")).alias("inside")), "drawn")
-    taken = F.coalesce(F.sum(F.when(F.col("inside"), F.col("size"))), F.lit(0))
-    gap = staged(drawn.groupBy("source").agg((F.first("left") - taken).alias("gap")), "gap")
-    spare = drawn.where("NOT inside").join(gap.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
-    closing = (
-        spare.where("size <= gap").groupBy("source").agg(F.max(F.struct("size", -F.col("order"), *KEY)).alias("c")).select(*[F.col(f"c.{k}").alias(k) for k in KEY])
-    )
-    more = drawn.where("inside").select(*KEY).union(closing).withColumn("one", F.lit(1))
+    gap = staged(rows.groupBy(F.col("source").alias("_s")).agg((F.first("target") - F.sum(F.col("sure") * F.col("size"))).alias("gap")), "gap")
+    columns = ["source", "order", "doc_id", "text_hash", "size", *KEY]
+    place = [F.col("order"), F.col("doc_id"), F.col("text_hash"), *[F.col(k) for k in KEY]]
+    fits = lambda pool: pool.join(gap, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") <= F.col("gap"))).drop("_s")
+    pool, more = fits(rows.where("`order` IS NOT NULL").select(*columns)), None
+    # a round draws up to the first document that does not fit; that one never fits again, and those behind it are drawn on
+    while True:
+        drawn = running_totals(pool, ["source"], place, {"run": "size"})
+        drawn = staged(drawn.select(*columns, "gap", (F.col("run") <= F.col("gap")).alias("inside")), "drawn")
+        took = drawn.where("inside").select(*KEY)
+        more = took if more is None else more.union(took)
+        taken = F.coalesce(F.sum(F.when(F.col("inside"), F.col("size"))), F.lit(0))
+        gap = staged(drawn.groupBy(F.col("source").alias("_s")).agg((F.first("gap") - taken).alias("gap")), "gap")
+        pool = staged(fits(drawn.where("NOT inside").select(*columns)), "pool")
+        if not pool.take(1):
+            break
+    more = more.withColumn("one", F.lit(1))
     return rows.join(more, KEY, "left").select(
         *KEY, "doc_id", "source", "size", "source_size", "target", (F.col("sure") + F.coalesce("one", F.lit(0))).alias("copies")
     )

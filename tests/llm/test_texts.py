@@ -147,6 +147,19 @@ def test_mixing_targets(spark):
     assert again["taken"].tolist() == got["taken"].tolist()
 
 
+def test_mixing_passes_over_documents_that_do_not_fit(spark):
+    rng = np.random.default_rng(6)
+    lengths = {s: [int(n) for n in np.exp(rng.normal(5, 1, 200)) + 1] + [40_000] for s in "abcdef"}
+    rows = [(f"{s}{i}", "w " * n, s) for s, ns in lengths.items() for i, n in enumerate(ns)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    got = mixing.mix(docs, weights=(1.0,), epochs=1.3).toPandas()
+    for _, g in got.groupby("source"):
+        taken, target = (g["size"] * g["copies"]).sum(), g["target"].iloc[0]
+        assert 0.995 * target <= taken <= target
+        most = g.groupby(np.log2(g["size"]).astype(int))["copies"].transform("max")  # in a length class all or one copy less
+        assert target - taken < g["size"][g["copies"] < most].min()
+
+
 def test_mixing_odd_cases(odd, empty):
     got = mixing.mix(odd).collect()
     assert len(got) == 10 and all(r["copies"] == 0 for r in got if r["size"] == 0)
