@@ -136,11 +136,11 @@ def evaluate(postfix: list[str]) -> tuple[frozenset[str], str, str] | None:
     return stack[0] if len(stack) == 1 else None
 
 
-def expression_tokens(line: bytes) -> list[str]:
-    """Tokens from the start of ``line`` as far as an expression can reach."""
+def expression_tokens(text: bytes, at: int = 0) -> list[str]:
+    """Tokens from ``at`` as far as an expression can reach, the end of the line at most."""
     tokens: list[str] = []
-    at, depth, operand = 0, 0, True
-    while found := TOKEN.match(line, at):
+    depth, operand = 0, True
+    while found := TOKEN.match(text, at):
         token = found[1].decode()
         if token == "(":
             if not operand:
@@ -184,7 +184,7 @@ def scan_text(text: str | None, machine: ahocorasick.Automaton) -> tuple:
     obligations, canonical = None, []
     if tagged:
         for tag in TAG_TEXT.finditer(lowered):
-            postfix = to_postfix(expression_tokens(lowered[tag.end() : tag.end() + 4096].split(b"\n", 1)[0]))
+            postfix = to_postfix(expression_tokens(lowered, tag.end()))
             value = evaluate(postfix) if postfix else None
             if value:
                 labels |= value[0]

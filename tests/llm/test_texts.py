@@ -117,6 +117,14 @@ def test_expressions(text, labels, kind):
     assert 0 <= score <= 1 and (expression is not None) == bool(labels)
 
 
+@pytest.mark.parametrize("form", ["{}", "({})"])
+def test_long_expressions_are_read_whole(form):
+    text = "x SPDX-License-Identifier: " + form.format(" OR ".join(["MIT"] * 2000 + ["GPL-2.0"])) + "\nOR Apache-2.0"
+    found, (expression, obligations) = licenses.scan_text(text, licenses.automaton(licenses.all_phrases()))[2:4]
+    assert [label for label in found if label in ("mit", "gpl", "apache")] == ["gpl", "mit"]
+    assert expression.count("mit") == 2000 and expression.count("gpl-2.0") == 1 and obligations == "permissive"
+
+
 def test_license_odd_cases(odd, empty):
     got = licenses.scan_licenses(odd).select("doc_id", "n_words", "labels", "score", "lang").collect()
     assert {r["doc_id"]: r["labels"] for r in got}[8] == ["mit", "notice"]
