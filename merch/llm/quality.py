@@ -10,8 +10,7 @@ trusted text or not, so every place of every document has its own probability.
 To score, documents are dealt into blocks of bounded size; each block asks for its distinct n-grams, the requests are joined
 with the probabilities, and the answers meet the block again. A document's perplexity is the exponential of its mean surprise,
 drawn to the mean of its language by ``prior`` places, so that very short texts are not judged by a few characters. It is
-rejected above its language's threshold: the ``quantile`` of the trusted documents kept out of training plus ``slack`` times the
-distance from their median.
+rejected above its language's threshold: the ``quantile`` of the trusted documents kept out of training.
 
 Defined cases: null and empty texts are an end symbol only and get their language's mean; a null language is a language of its
 own; a language with fewer than ``least`` documents for its threshold uses the distance from typical that all languages together
@@ -39,7 +38,7 @@ BITS = 12
 PAD, END = 1, 2
 BLOCK_CHARS = 16 << 20
 PRIOR = 60
-QUANTILE, SLACK, LEAST = 0.99, 1.25, 30
+QUANTILE, LEAST = 0.99, 30
 HELD_OUT, SEED = 10, 9  # one trusted document in ten judges
 
 
@@ -219,7 +218,6 @@ def judge(
     *,
     order: int = ORDER,
     quantile: float = QUANTILE,
-    slack: float = SLACK,
     prior: float = PRIOR,
     least: int = LEAST,
     block_chars: int = BLOCK_CHARS,
@@ -245,13 +243,12 @@ def judge(
     scored = staged(drawn.select(*KEY, "doc_id", "lang", "places", "trusted", "judging", "typical", (mean - F.col("typical")).alias("over")), "scored")
 
     # quantiles of the log of the perplexity over that of the language, so that languages can share one where they must
-    marks = F.percentile_approx("over", F.array(F.lit(0.5), F.lit(quantile)), 10000)
-    cut = lambda m: m[1] + slack * (m[1] - m[0])
+    cut = F.percentile_approx("over", quantile, 10000)
     good = scored.where("judging")
-    everywhere = good.agg(marks.alias("m")).first()["m"]
-    overall = float(cut(everywhere)) if everywhere else float("inf")
-    by = good.groupBy(F.col("lang").alias("_l")).agg(marks.alias("m"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    by = staged(by.select("_l", cut(F.col("m")).alias("own")), "thresholds")
+    everywhere = good.agg(cut).first()[0]
+    overall = float("inf") if everywhere is None else float(everywhere)
+    by = good.groupBy(F.col("lang").alias("_l")).agg(cut.alias("own"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    by = staged(by.select("_l", "own"), "thresholds")
     limit = F.coalesce("own", F.lit(overall))
     judged = scored.join(by, F.col("lang").eqNullSafe(F.col("_l")), "left")
     return judged.select(

@@ -329,6 +329,15 @@ def test_quality_rejects_junk(spark):
     assert len(got) == 1000 and known[known["quality"] == 1]["keep"].mean() > 0.98 and known[known["quality"] == 0]["keep"].mean() < 0.4
 
 
+def test_quality_threshold_is_the_quantile(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    got = quality.judge(docs, labels, quantile=0.9, least=1).join(quality.trusted_ids(labels).where("judging"), "doc_id").toPandas()
+    assert len(got)
+    for _, g in got.groupby("lang"):
+        want = sorted(g["perplexity"])[int(np.ceil(0.9 * len(g))) - 1]
+        assert np.allclose(g["threshold"], want)
+
+
 def test_quality_odd_cases(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 0, 0), (None, 1, 0), (6, None, 0)], "doc_id bigint, quality int, toxic int")
     got = quality.judge(odd, labels).toPandas()
