@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merch.llm import chat, licenses, mixing, mtree, neighbours, packing, quality, simhash, toxicity, warc
-
+from merch.llm import audit, chat, licenses, mixing, mtree, neighbours, packing, quality, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +82,10 @@ def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query_id").cast("bigint").alias("query_id"), "rank", F.col("vec_id").cast("bigint").alias("vec_id"), "score")
 
 
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_nn_descent": near_vectors,
     "op2_capture_index": archive,
@@ -94,6 +97,7 @@ QUERIES = {
     "op8_toxicity_cnn": toxic_scores,
     "op9_kneser_ney_quality": quality_scores,
     "op10_m_tree_top_k": top_products,
+    "op11_filter_audit": filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -111,4 +115,29 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGIN
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_filter_audit": r"""
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM t),
+m AS (SELECT doc_id, part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+             + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS mask FROM w),
+g AS (SELECT doc_id AS marked, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM m LEFT JOIN g ON doc_id = marked GROUP BY ALL),
+o AS (SELECT '' AS filter_order UNION ALL
+      SELECT filter_order || l FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(filter_order, l)),
+b AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit),
+s AS (SELECT filter_order, step, bit AS own, (SELECT coalesce(sum(bit), 0)::INT FROM b WHERE contains(filter_order[1:step - 1], l)) AS before
+      FROM (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o WHERE length(filter_order) = 5) JOIN b ON l = filter_order[step]),
+r AS (SELECT part, filter_order, step, own,
+             sum(CASE WHEN mask & own = 0 AND mask & before = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r""",
 }
