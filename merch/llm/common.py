@@ -22,15 +22,44 @@ KEY = [FILE, ROW]
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def _one_row_each(df: DataFrame) -> bool:
+    """Whether every row of ``df`` is one row of a file: the plan holds only projections, filters and the file scan itself."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.nodeName() != "LogicalRelation" or not hasattr(plan.relation(), "location"):
+        return False
+    roots = plan.relation().location().rootPaths()
+    paths = sorted(roots.apply(i).toString().rstrip("/") + "/" for i in range(roots.size()))
+    if any(later.startswith(path) for path, later in zip(paths, paths[1:])):
+        return False  # a file that is read twice
+    df.select("_metadata.row_index")  # fails where the source has no places, or another column has the name
+    return True
+
+
+def from_files(df: DataFrame) -> DataFrame:
+    """``df`` itself when each of its rows is a row of a file, else a staged copy, so that the place of a row names it.
+
+    The place alone does not tell: Spark hands it on through generators, joins and unions, which repeat it.
+    """
+    try:
+        return df if _one_row_each(df) else staged(df, "copy")
+    except AnalysisException as error:
+        if "_metadata" not in str(error):
+            raise
+    return staged(df, "copy")  # a source without places
+
+
 def keyed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """``columns`` of ``df`` with two longs that name each row and stay the same when the row is read again.
 
     The key is the place of the row in its Parquet file, so repeated rows and null ids stay apart and a lost
-    executor changes nothing. A frame that does not come straight from files is staged first.
+    executor changes nothing. A frame whose rows are not the rows of files, each once, is staged first.
     """
     place = [F.xxhash64("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)]
     try:
-        return df.select(*[c.alias(n) for n, c in columns.items()], *place)
+        if _one_row_each(df):
+            return df.select(*[c.alias(n) for n, c in columns.items()], *place)
     except AnalysisException as error:
         if "_metadata" not in str(error):
             raise
@@ -38,15 +67,6 @@ def keyed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return copy.select(*columns, *place)
 
 
-def from_files(df: DataFrame) -> DataFrame:
-    """``df`` itself when it comes straight from files, else a staged copy that does."""
-    try:
-        df.select("_metadata.row_index")
-        return df
-    except AnalysisException:
-        return staged(df, "copy")
-
-
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merch.llm import audit, chat, licenses, mixing, mtree, neighbours, packing, quality, simhash, toxicity, warc
+from merch.llm import audit, chat, decontaminate, licenses, mixing, mtree, neighbours, packing, quality, simhash, toxicity, variants, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,18 @@ def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_nn_descent": near_vectors,
     "op2_capture_index": archive,
@@ -98,6 +110,8 @@ QUERIES = {
     "op9_kneser_ney_quality": quality_scores,
     "op10_m_tree_top_k": top_products,
     "op11_filter_audit": filter_audit,
+    "op12_spelling_variants": spelling_variants,
+    "op13_decontamination": contaminated,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -140,4 +154,44 @@ r AS (SELECT part, filter_order, step, own,
 SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
        unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
        (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE steps AS (SELECT i, 0 AS k, i::BIGINT AS v FROM range(256) t(i)
+                         UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS tab FROM steps WHERE k = 8),
+runs AS (SELECT id, run, count(*) AS times
+         FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+         WHERE length(run) >= 7 GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(id || ':' || run)) AS hx FROM runs),
+hashed AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(hx), 2),
+                  lambda i: (instr('0123456789ABCDEF', hx[i]) * 16 + instr('0123456789ABCDEF', hx[i + 1]) - 17)::BIGINT)),
+                  lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS h FROM hexed, crc),
+vocabulary AS (SELECT word, sum(times)::BIGINT AS n
+               FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, times FROM hashed)
+               WHERE length(word) >= 7 GROUP BY 1 HAVING sum(times) >= 2),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS short FROM (SELECT word, unnest(range(1, length(word) + 1))::INT AS i FROM vocabulary)),
+pairs AS (SELECT a.word, b.word AS other FROM less a JOIN less b ON a.i = b.i AND a.short = b.short AND a.word <> b.word
+          UNION SELECT a.word, b.word FROM less a JOIN vocabulary b ON a.short = b.word
+          UNION SELECT b.word, a.word FROM less a JOIN vocabulary b ON a.short = b.word),
+near AS (SELECT p.word, count(*) AS n_near, first(o.word ORDER BY o.n DESC, o.word) AS best, max(o.n) AS best_n
+         FROM pairs p JOIN vocabulary o ON p.other = o.word GROUP BY 1),
+known AS (SELECT v.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+                 CASE WHEN best_n >= 10 * n THEN best_n END AS form_n FROM vocabulary v LEFT JOIN near USING (word)),
+chain AS (SELECT word, word AS last, 0 AS depth FROM known UNION ALL SELECT c.word, k.form, depth + 1 FROM chain c JOIN known k ON c.last = k.word WHERE k.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM known JOIN (SELECT word, arg_max(last, depth) AS root FROM chain GROUP BY 1) USING (word)""",
+    "op13_decontamination": r"""
+WITH split AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[i + 1:i + least(len(words), 10)], ' ') AS w
+            FROM (SELECT *, unnest(range(0, len(words) - least(len(words), 10) + 1)) AS i FROM items WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT k, size, unnest(range(0, len(words) - size + 1)) AS i, words FROM split, sizes WHERE len(words) >= size),
+found AS (SELECT k, i, p.size, item_id FROM places p JOIN windows v ON p.size = v.size AND array_to_string(words[i + 1:i + p.size], ' ') = v.w),
+hit AS (SELECT k, count(DISTINCT j) AS n_hit FROM (SELECT k, unnest(range(i, i + size)) AS j FROM found) GROUP BY 1),
+listed AS (SELECT k, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT k, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM split LEFT JOIN hit USING (k) LEFT JOIN listed USING (k)""",
 }
