@@ -156,12 +156,12 @@ def grid_cell(place: int) -> Column:
     return F.trim(F.get("cells", F.lit(place)))
 
 
-def adfee_rows(raw: DataFrame) -> DataFrame:
-    """Dated fees per shop from landed grid rows (``position``, ``cells``); row 0 is the grid's own total."""
+def adfee_rows(raw: DataFrame, *carried: str) -> DataFrame:
+    """Dated fees per shop from landed grid rows (``position``, ``cells``, ``carried``); row 0 is the grid's own total."""
     rows = raw.where(F.col("position") > 0)
     fees = [money(grid_cell(GRID_PLACES[c])).alias(c) for c in ("plp_ad_rate", "po_ad_rate", "plg_ad_rate")]
     return rows.select(
-        grid_cell(GRID_PLACES["d_date"]).try_cast("date").alias("d_date"), strip_thousands(grid_cell(GRID_PLACES["shop"])).alias("shop"), *fees
+        grid_cell(GRID_PLACES["d_date"]).try_cast("date").alias("d_date"), strip_thousands(grid_cell(GRID_PLACES["shop"])).alias("shop"), *fees, *carried
     )
 
 

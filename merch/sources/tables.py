@@ -39,6 +39,25 @@ def replace_day(df: DataFrame, path: str, value: str, day: str = "d_date") -> No
     rows.write.mode("overwrite").parquet(f"{path}/{day}={value}")
 
 
+def replace_day_versions(df: DataFrame, path: str, day: str = "d_date", version: str = "load") -> None:
+    """Store the rows of each (day, version) in a folder of its own, replacing that folder alone.
+
+    Of several versions of a day in ``df`` only the highest is stored. Loads may run again and in any order.
+    """
+    newest = df.groupBy(day).agg(F.max(version).alias(version))
+    rows = df.join(newest, [day, version], "left_semi")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day, version).parquet(path)
+
+
+def latest_days(rows: DataFrame, day: str = "d_date", version: str = "load") -> DataFrame:
+    """The rows of the highest version of each day; older versions are folders that are not read.
+
+    One row a day comes to the driver to name the folders, from the folders' own names.
+    """
+    newest = rows.groupBy(day).agg(F.max(version).alias(version)).select(F.concat_ws("/", day, version)).collect()
+    return rows.where(F.concat_ws("/", day, version).isin([r[0] for r in newest])).drop(version)
+
+
 def drop_range(df: DataFrame, column: str, begin: str, end: str) -> DataFrame:
     """Rows outside a closed date range; rows without a date stay."""
     inside = F.col(column).between(F.lit(begin).cast("date"), F.lit(end).cast("date"))

@@ -1,90 +1,34 @@
-"""Incremental feeds as streams. Each function builds a streaming frame or starts a bounded run.
+"""Incremental feeds as streams: advertising fees by day, sales totals by day, and the links to fetch next.
 
-State is bounded by the watermark or by a fixed number of recent days per SKU.
+State is bounded by the watermark; runs are those of ``runs``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from merch.operators.listings import sold_listings
-from merch.session import stage_path
 from merch.sources.feeds import adfee_rows
-from merch.sources.tables import replace_days
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def file_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+from merch.sources.tables import replace_day_versions
+from merch.streaming.runs import drain_batches
 
-
-def drain(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Run over what is there now, append the results to ``path`` and read them back."""
-    spark = stream.sparkSession
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("path", path)
-        .option("checkpointLocation", stage_path(spark, "progress"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+FRONTIER_KEYS = ["category", "vc_item_link"]
 
 
-def drain_updates(stream: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Run over what is there now and read back the last state of each key, also of keys that are not final yet.
+def stream_adfee_days(raw: DataFrame, path: str, checkpoint: str | None = None) -> None:
+    """Store the days of each batch of landed grids as versions; ``latest_days`` reads the highest of each day.
 
-    A batch is a folder of its own and is overwritten when it runs again.
+    A landed grid is the full state of its day. Its ``load`` numbers the landings; without that column the number of the batch
+    does. A load that is run again, or an older one that is run late, changes nothing that is read.
     """
-    spark = stream.sparkSession
 
-    def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/_batch={number}")
-
-    query = (
-        stream.writeStream.foreachBatch(put)
-        .outputMode("update")
-        .option("checkpointLocation", stage_path(spark, "progress"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    values = [c for c in stream.columns if c not in keys]
-    schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType())])
-    rows = spark.read.schema(schema).parquet(path)
-    return rows.groupBy(*keys).agg(*[F.max_by(c, "_batch").alias(c) for c in values]).select(*stream.columns)
-
-
-def drain_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None]) -> None:
-    query = (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", stage_path(stream.sparkSession, "progress"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-
-
-def stream_adfee_days(raw: DataFrame, path: str) -> None:
-    """Replace the days of each landed batch of grids; a batch that is run again changes nothing.
-
-    A landed grid is the full state of its day.
-    """
+    def store(batch: DataFrame, number: int) -> None:
+        load = F.col("load") if "load" in batch.columns else F.lit(number)
+        rows = adfee_rows(batch.withColumn("load", load.cast("bigint")), "load")
+        replace_day_versions(rows, path)
 
-    def replace(batch: DataFrame, _: int) -> None:
-        replace_days(adfee_rows(batch), path)
-
-    drain_batches(raw, replace)
+    drain_batches(raw, store, checkpoint)
 
 
 def stream_daily_totals(sales: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -98,73 +42,9 @@ def stream_daily_totals(sales: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def stream_frontier(listings: DataFrame, details: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Sold listings without stored details, each link once within the watermark."""
-    fresh = sold_listings(listings.withWatermark("ts", delay)).dropDuplicatesWithinWatermark(["vc_item_link"])
-    return fresh.join(details.select("vc_item_link"), "vc_item_link", "left_anti")
-
-
-CORRECTED = "sku bigint, sales_date date, total_sales_qty double, adjusted_qty double"
-
-
-class StockoutProcessor(StatefulProcessor):
-    """The stock-out rule with the last days of each SKU as state (sales corrected, stock as read)."""
-
-    def __init__(self, window: int = 14, drop: float = 0.5, inv_frac: float = 0.3):
-        self.window, self.drop, self.inv_frac = window, drop, inv_frac
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "day int")
-        self.recent = handle.getListState("recent", "day int, qty double, stock double")
+    """Sold listings of each category without stored details, each once within the watermark.
 
-    def corrected(self, day: int, qty: float, stock: float, recent: list[tuple], first: int) -> float:
-        stocks = [s for _, _, s in recent if s > 0]
-        if np.isnan(stock) or day - first < self.window or len(stocks) < self.window / 2:
-            return qty
-        sold = [q for _, q, _ in recent if q > 0]
-        mean = sum(sold) / self.window
-        if not sold or stock >= np.mean(stocks) * self.inv_frac or (mean - qty) / mean <= self.drop:
-            return qty
-        return float(np.average(sold, weights=np.linspace(0.5, 1.0, len(sold)) if len(sold) > 1 else [1.0]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        days = pd.concat(list(rows)).sort_values("day")
-        first = self.first.get()[0] if self.first.exists() else int(days["day"].iloc[0])
-        recent = [tuple(r) for r in self.recent.get()]
-        out = []
-        for day, qty, stock in zip(days["day"], days["qty"], days["stock"]):
-            recent = [r for r in recent if r[0] >= day - self.window]
-            fixed = self.corrected(day, qty, stock, recent, first)
-            recent.append((int(day), float(fixed), float(stock)))
-            out.append(fixed)
-        self.first.update((first,))
-        self.recent.put(recent)
-        yield pd.DataFrame(
-            {
-                "sku": key[0],
-                "sales_date": pd.to_datetime(days["day"].to_numpy(), unit="D").date,
-                "total_sales_qty": days["qty"].to_numpy(float),
-                "adjusted_qty": np.array(out, dtype=float),
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def stream_stockout(daily: DataFrame, window: int = 14, drop: float = 0.5, inv_frac: float = 0.3) -> DataFrame:
-    """Correct days as they arrive; days of a SKU must arrive in order across batches.
-
-    Needs the RocksDB state store (``ROCKSDB``) in the session.
+    Beyond the watermark the state has forgotten a link; ``drain_new`` keeps it from being listed again.
     """
-    rows = daily.select(
-        "sku",
-        F.unix_date("sales_date").alias("day"),
-        F.col("total_sales_qty").cast("double").alias("qty"),
-        F.coalesce(F.col("total_available_quantity").cast("double"), F.lit(float("nan"))).alias("stock"),
-    )
-    return rows.groupBy("sku").transformWithStateInPandas(
-        statefulProcessor=StockoutProcessor(window, drop, inv_frac),
-        outputStructType=CORRECTED,
-        outputMode="append",
-        timeMode="none",
-    )
+    fresh = sold_listings(listings.withWatermark("ts", delay)).dropDuplicatesWithinWatermark(FRONTIER_KEYS)
+    return fresh.join(details.select(*FRONTIER_KEYS), FRONTIER_KEYS, "left_anti").select(*FRONTIER_KEYS)
