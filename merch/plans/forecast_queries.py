@@ -205,6 +205,23 @@ def weekly_forecast_sql() -> str:
   greatest(({scaled}) * (high - low) + low, 0) AS forecast FROM newest)"""
 
 
+#: Given trees, for a forecast that SQL can repeat.
+TREES = [
+    (1.0, ("last", 0.4, ("ahead", 9.0, 0.03, -0.02), ("year_sin", 0.0, ("peak", 0.9, 0.01, -0.04), 0.05))),
+    (0.15, ("mean36", 0.25, 0.2, ("last_near", 0.125, -0.1, ("year_cos", -0.5, 0.3, -0.25)))),
+]
+
+
+def tree_forecast_sql() -> str:
+    """``learned`` as in ``weekly_forecast_sql``, with the given trees added."""
+    return weekly_forecast_sql().replace(") * (high - low) + low, 0)", f" + {fc.trees_sql(TREES)}) * (high - low) + low, 0)")
+
+
+def _split(spark, sf_dir):
+    rows = fc.weekly_model_rows(_features(spark, sf_dir))
+    return rows.groupBy("sku", "held_back").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").alias("label_sum"))
+
+
 def _processed(spark, sf_dir):
     monthly = staged(_monthly(spark, sf_dir, "supplier"), "monthly")
     pred = fc.forecast_ets(fc.monthly_series(monthly), grid=FIXED)
@@ -292,6 +309,20 @@ QUERIES = {
         f"""{history_sql(WEEKLY_SQL, FEATURE_SQL)}, {model_rows_sql()}, {weekly_forecast_sql()}
             SELECT sku, month_end AS date, forecast FROM learned""",
     ),
+    "weekly_model_split": Query(
+        _split, "sku:l held_back:b n_rows:l label_sum:d4",
+        f"""{history_sql(WEEKLY_SQL, FEATURE_SQL)}, {model_rows_sql()}
+            SELECT sku, ('0x' || substr(md5(sku::VARCHAR), 1, 8))::BIGINT % {fc.VALIDATION} = 0 AS held_back, count(*) AS n_rows, sum(label) AS label_sum
+            FROM samples GROUP BY 1, 2""",
+    ),
+    "forecast_weekly_boosted": Query(
+        lambda s, d: fc.forecast_weekly_boosted(staged(_features(s, d), "features")), "sku:l date:s forecast:d3"
+    ),
+    "forecast_weekly_fixed_trees": Query(
+        lambda s, d: fc.forecast_weekly(_features(s, d), COEFFICIENTS, trees=TREES), "sku:l date:s forecast:d4",
+        f"""{history_sql(WEEKLY_SQL, FEATURE_SQL)}, {model_rows_sql()}, {tree_forecast_sql()}
+            SELECT sku, month_end AS date, forecast FROM learned""",
+    ),
     "postprocess_forecast": Query(
         _processed, "sku:l date:s predicted_qty:l model_type:l", f"{PROCESSED_SQL} SELECT * FROM processed"
     ),

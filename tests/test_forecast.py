@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date
 from itertools import product
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from merch.operators import forecast as fc
 from merch.operators import history as h
+from merch.session import staged
 
 
 def series(spark, histories):
@@ -143,3 +145,52 @@ def test_weekly_model_solves_its_sums_and_needs_full_samples(spark):
     assert got == {1: 27, 2: 27}
     few = h.weekly_features(weekly.where("sku = 0"))
     assert set(fc.fit_weekly_model(few).values()) == {0.0} and fc.forecast_weekly_ml(few).count() == 0
+
+
+def bent_weeks(spark, skus, weeks):
+    """Sales with a season that only busy SKUs have, and a step, which no sum of the regressors follows."""
+    t, sku = F.col("w").cast("double"), F.col("sku")
+    season = F.when(F.sin(t * 2 * np.pi / 52.18) > 0.4, 40.0).otherwise(0.0) * (sku % 3)
+    noise = (F.abs(F.hash("sku", "w")) % 100) / 20.0
+    rows = spark.range(skus).withColumnRenamed("id", "sku").withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(weeks - 1))))
+    return rows.select("sku", F.date_add(F.lit(date(2020, 1, 5)), F.col("w") * 7).alias("week_end"), F.round(30 + season + noise).cast("bigint").alias("qty"), "w")
+
+
+def test_boosted_trees_beat_the_linear_model_on_held_out_weeks(spark):
+    weeks, skus, hold = 190, 40, 27
+    weekly = bent_weeks(spark, skus, weeks)
+    known = staged(h.weekly_features(weekly.where(F.col("w") < weeks - hold).drop("w")), "known")
+    linear, trees = fc.fit_weekly_trees(known, hold, rounds=30)
+    assert 1 < len(trees) <= 30
+    truth = h.smooth_weeks(weekly.drop("w")).select("sku", F.col("week_end").alias("date"), "qty_smooth")
+
+    def error(found):
+        return found.join(truth, ["sku", "date"]).agg(F.avg(F.pow(F.col("forecast") - F.col("qty_smooth"), 2)), F.count(F.lit(1))).first()
+
+    boosted, plain = error(fc.forecast_weekly(known, linear, hold, trees=trees)), error(fc.forecast_weekly_ml(known, hold))
+    assert boosted[1] == plain[1] == skus * hold
+    assert boosted[0] < 0.9 * plain[0]
+    # the rounds ended, or the best ones were kept, by the SKUs held back: more trees than kept do not help them
+    again = fc.fit_weekly_trees(known, hold, rounds=30)
+    assert again == (linear, trees)
+
+
+def test_split_by_sku_and_fits_without_one_side(spark):
+    weekly = bent_weeks(spark, 30, 70)
+    features = h.weekly_features(weekly.drop("w"))
+    rows = fc.weekly_model_rows(features)
+    sides = {r["sku"]: r["sides"] for r in rows.groupBy("sku").agg(F.count_distinct("held_back").alias("sides")).collect()}
+    assert set(sides.values()) == {1} and len(sides) == 30
+    held = {r["sku"] for r in rows.where("held_back").select("sku").distinct().collect()}
+    assert 0 < len(held) < 15
+    assert {s for s in range(30) if int(hashlib.md5(str(s).encode()).hexdigest()[:8], 16) % 5 == 0} == held
+    for side in (features.where(F.col("sku").isin(*held)), features.where(~F.col("sku").isin(*held)), features.where("false")):
+        linear, trees = fc.fit_weekly_trees(side, rounds=3)
+        assert trees == [] and set(linear) == {"one", *fc.MODEL_INPUTS}
+
+
+def test_trees_as_text(spark):
+    tree = ("last", 0.5, 1.0, ("ahead", 3.0, -2.0, 1e-7))
+    rows = spark.createDataFrame([(0.5, 9.0), (0.6, 3.0), (0.6, 3.5)], "last double, ahead double")
+    got = [r[0] for r in rows.select(F.expr(fc.trees_sql([(1.0, tree), (0.5, 4.0)]))).collect()]
+    assert got == [3.0, 0.0, 2.0 + 1e-7]
