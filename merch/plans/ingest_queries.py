@@ -12,6 +12,7 @@ from merch.plans.grading_queries import METRICS
 from merch.plans.query import Query
 from merch.session import spread, stage_path, staged
 from merch.sources import feeds as fd
+from merch.sources import replies as rp
 from merch.sources import tables as tb
 from merch.sources import workbook as wb
 
@@ -168,6 +169,59 @@ goods AS (SELECT k, i, k % 7 + i AS qty, i AS ctn, k % 5 * 0.5::DOUBLE AS kg, i
 totals AS (SELECT k, o_custkey, coalesce(sum(qty), 0) AS total_qty, coalesce(sum(ctn), 0) AS total_ctn, coalesce(sum(kg), 0) AS total_kg,
   coalesce(sum(qty * unitValue), 0) AS total_value FROM good LEFT JOIN goods USING (k) GROUP BY 1, 2)"""
 
+def track_replies(spark, sf_dir):
+    """Each user's events of a day as the track of an order; some replies are errors, some are cut off, some have one bare item."""
+    at, key = F.col("ts").cast("timestamp"), F.col("event_id")
+    value = F.when(key % 7 == 0, F.lit('"n/a"')).when(key % 7 == 1, F.lit("null")).otherwise(F.col("value").cast("string"))
+    extra = F.when(key % 3 == 0, F.concat(F.lit(', "detail": '), "props")).otherwise("")
+    entry = F.concat(
+        F.lit('{"eventId": '), key.cast("string"), F.lit(', "status": "'), "event_type", F.lit('", "time": "'),
+        F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.lit('", "value": '), value, extra, F.lit("}"),
+    )
+    days = b.table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.array_sort(F.collect_list(F.struct(key, entry.alias("entry")))).alias("e")
+    )
+    whole = F.array_join("e.entry", ", ")
+    result = F.when(F.size("e") == 1, whole).when(F.col("user_id") % 13 == 5, F.lit('"none"')).otherwise(F.concat(F.lit("["), whole, F.lit("]")))
+    code = F.when(F.day("day") % 10 == 0, "500").otherwise("200")
+    body = F.concat(F.lit('{"success": true, "code": '), code, F.lit(', "result": '), result, F.when(F.col("user_id") % 11 == 0, "").otherwise("}"))
+    return days.select("user_id", "day", body.alias("body"))
+
+
+TRACK_SQL = """e AS (SELECT *, ts::DATE AS day, count(*) OVER (PARTITION BY user_id, ts::DATE) AS n FROM events),
+r AS (SELECT *, CASE WHEN user_id % 11 = 0 THEN 'not JSON' WHEN day(ts) % 10 = 0 THEN 'code 500' WHEN n > 1 AND user_id % 13 = 5 THEN 'no items' END AS reason FROM e)"""
+
+
+def _track(spark, sf_dir):
+    fields = {"event_id": ("$.eventId", "bigint"), **rp.TRACK, "k": ("$.detail.k", "int")}
+    found = rp.order_track(track_replies(spark, sf_dir), fields=fields)
+    return found.withColumn("logged", F.date_format("logged", "yyyy-MM-dd HH:mm:ss")).withColumn("unread", F.array_join("unread", ","))
+
+
+def _unread_track(spark, sf_dir):
+    return rp.unread_replies(track_replies(spark, sf_dir))
+
+
+def _track_fields(spark, sf_dir):
+    return rp.item_fields(rp.reply_items(track_replies(spark, sf_dir)))
+
+
+def _cartons(spark, sf_dir):
+    """Orders with 0-3 measured cartons each; odd ones come as one bare object, and an order without cartons may lack the list."""
+    key = F.col("o_orderkey")
+    cartons = F.transform(
+        F.filter(F.sequence(F.lit(1), F.lit(3)), lambda i: i <= key % 4),
+        lambda i: F.struct(i.alias("no"), (key % 5 * F.lit(0.5) + i).alias("kg"), F.when(i < 3, i * F.lit(0.125)).alias("cmb")),
+    )
+    order = F.struct(key.cast("string").alias("orderNo"), F.when(key % 8 > 0, cartons).alias("cartons"))
+    one = F.to_json(order)
+    result = F.when(key % 2 == 1, one).otherwise(F.concat(F.lit("["), one, F.lit("]")))
+    code = F.when(key % 10 == 0, "404").otherwise("200")
+    body = F.concat(F.lit('{"code": '), code, F.lit(', "result": '), result, F.lit("}"))
+    replies = spread(b.table(spark, sf_dir, "orders")).select(key.alias("order_no"), body.alias("body"))
+    return rp.order_cartons(replies)
+
+
 # --- advertising fees -------------------------------------------------------
 
 FEE_TYPES = {"plp_ad_rate": "click", "po_ad_rate": "view", "plg_ad_rate": "purchase"}
@@ -366,6 +420,29 @@ QUERIES = {
         f"""WITH {FREIGHT_SQL} SELECT t.k AS orderNo, o_custkey AS customer, CASE WHEN i IS NOT NULL THEN t.k || '-' || i END AS referenceId,
             qty, unitValue AS unit_value, total_qty, total_ctn, total_kg, total_value FROM totals t LEFT JOIN goods ON goods.k = t.k""",
     ),
+    "order_track": Query(
+        _track, "user_id:l day:s event_id:l status:s logged:s amount:d4 k:d0 unread:s",
+        f"""WITH {TRACK_SQL} SELECT user_id, day, event_id, event_type AS status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS logged,
+            CASE WHEN event_id % 7 > 1 THEN value END AS amount, CASE WHEN event_id % 3 = 0 THEN (props->>'k')::INT END AS k,
+            CASE WHEN event_id % 7 = 0 THEN 'amount' ELSE '' END AS unread FROM r WHERE reason IS NULL""",
+    ),
+    "order_track_unread": Query(
+        _unread_track, "user_id:l day:s reason:s", f"WITH {TRACK_SQL} SELECT DISTINCT user_id, day, reason FROM r WHERE reason IS NOT NULL"
+    ),
+    "order_track_fields": Query(
+        _track_fields, "key:s kind:s n:l",
+        f"""WITH {TRACK_SQL}, k AS (SELECT * FROM r WHERE reason IS NULL)
+            SELECT 'eventId' AS key, 'BIGINT' AS kind, count(*) AS n FROM k HAVING count(*) > 0
+            UNION ALL SELECT 'status', 'STRING', count(*) FROM k HAVING count(*) > 0 UNION ALL SELECT 'time', 'STRING', count(*) FROM k HAVING count(*) > 0
+            UNION ALL SELECT 'detail', 'OBJECT<k: BIGINT>', count(*) FROM k WHERE event_id % 3 = 0 HAVING count(*) > 0
+            UNION ALL SELECT 'value', CASE WHEN event_id % 7 = 0 THEN 'STRING' WHEN event_id % 7 = 1 THEN 'VOID' ELSE 'DECIMAL' END, count(*) FROM k GROUP BY 2""",
+    ),
+    "order_cartons": Query(
+        _cartons, "order_no:l place_in:d0 carton:d0 kg:d2 cmb:d4",
+        """WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 8 > 0 THEN o_orderkey % 4 ELSE 0 END AS n FROM orders WHERE o_orderkey % 10 <> 0)
+            SELECT k AS order_no, i - 1 AS place_in, i AS carton, k % 5 * 0.5::DOUBLE + i AS kg, CASE WHEN i < 3 THEN i * 0.125::DOUBLE END AS cmb
+            FROM o LEFT JOIN range(1, 4) AS r(i) ON i <= n""",
+    ),
     "order_totals": Query(
         lambda s, d: fd.order_totals(freight_orders(s, d)), "orderNo:s total_qty:l total_ctn:l total_kg:d2 total_value:d2",
         f"WITH {FREIGHT_SQL} SELECT k AS orderNo, total_qty, total_ctn, total_kg, total_value FROM totals",
