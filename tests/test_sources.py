@@ -101,9 +101,31 @@ def test_sheets_are_grouped_by_header_and_empty_ones_drop_out(spark, tmp_path):
     for name, text in texts.items():
         (tmp_path / name).write_text(text)
     paths = [str(tmp_path / n) for n in texts]
-    assert sorted(len(g) for g in wb.files_by_header(spark, [str(tmp_path)])) == [1, 3]
+    heads = wb.first_lines(wb.sheet_lines(spark, [str(tmp_path)])).groupBy("head").count().collect()
+    assert {r["head"]: r["count"] for r in heads} == {"Sku No,Qty": 3, "Sku No,Shop": 1}
     for source in ([str(tmp_path)], paths):
         rows = wb.read_sheets(spark, source)
         assert len(rows.columns) == 3
         assert sorted(tuple(x or "" for x in r) for r in rows.collect()) == [("A", "1", ""), ("B", "2", ""), ("C", "3", ""), ("D", "", "Q7")]
     assert wb.read_sheets(spark, [paths[3]]).columns == [] and wb.read_sheets(spark, []).count() == 0
+
+
+def test_sheets_are_read_once(spark, tmp_path):
+    """Also a sheet in several splits, quoted cells, rows of other lengths, repeated and empty labels, and a header again in the data."""
+    (tmp_path / "long.csv").write_text("Sku,Qty,Note\n" + "".join(f's{i},"1,{i:03d}", n \n' for i in range(2000)))
+    (tmp_path / "odd.csv").write_text('Note,Sku,,Qty,qty\n"say ""hi""",o1,x,1\nonly\nNote,Sku,,Qty,qty\na,b,c,d,e,f\n')
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "4k")
+    try:
+        rows = wb.read_sheets(spark, [str(tmp_path)])
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        got = {tuple(r) for r in rows.select("sku", "qty", "note", "_c2", "qty3", "qty4").collect()}
+        assert wb.sheet_lines(spark, [str(tmp_path)]).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.set(setting, before)
+    assert plan.count("FileScan") == 2 and "text" not in plan  # staged lines and one row a file
+    assert len(got) == 2000 + 4
+    assert ("s7", "1,007", " n ", None, None, None) in got
+    assert ("o1", None, 'say "hi"', "x", "1", None) in got and (None, None, "only", None, None, None) in got
+    assert ("Sku", None, "Note", None, "Qty", "qty") in got and ("b", None, "a", "c", "d", "e") in got
