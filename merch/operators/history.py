@@ -15,14 +15,29 @@ from pyspark.sql import functions as F
 from merch.functions import dates as dt
 from merch.functions.numbers import min_max
 
-# Letters whose accents do not tell SKUs apart.
-ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUY"
+#: How SKU texts compare: by letters and digits alone, whatever their case, accents, width or ligatures.
+SKU_COLLATION = "UNICODE_CI_AI"
 
 
-def sku_key(c: Column) -> Column:
-    """Join key for SKU text: case and accents do not matter."""
-    return F.translate(F.upper(F.trim(c)), ACCENTED, PLAIN)
+def sku_names(*columns: DataFrame) -> DataFrame:
+    """(written, sku): one name for all ways of writing a SKU, over the texts of the given one-column frames.
+
+    The name is the smallest of the trimmed texts that the collation holds equal. Only distinct texts are compared under the
+    collation; facts are then joined by their own text, as plain strings.
+    """
+    texts = columns[0]
+    for more in columns[1:]:
+        texts = texts.union(more)
+    texts = texts.toDF("written").where("written IS NOT NULL").distinct()
+    trimmed = F.trim("written")
+    same = Window.partitionBy(F.collate(trimmed, SKU_COLLATION))
+    return texts.select("written", F.min(trimmed).over(same).alias("sku"))
+
+
+def with_sku_name(df: DataFrame, names: DataFrame, column: str = "sku") -> DataFrame:
+    """``df`` with every SKU under its one name; rows without a SKU keep none."""
+    found = df.join(names.withColumnsRenamed({"written": "_written", "sku": "_name"}), F.col(column) == F.col("_written"), "left")
+    return found.withColumn(column, F.col("_name")).drop("_written", "_name")
 
 
 def fix_case_mark(c: Column) -> Column:

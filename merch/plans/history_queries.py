@@ -11,6 +11,7 @@ from merch.operators import history as h
 from merch.operators import stockout as so
 from merch.plans import binding as b
 from merch.plans.query import Query
+from merch.session import staged
 
 START, END = "1995-01-01", "2001-11-30"
 WINDOW = f"sales_date BETWEEN DATE '{START}' AND DATE '{END}'"
@@ -88,17 +89,26 @@ def _samples(spark, sf_dir):
     )
 
 
+def _written(sku, way):
+    """The text ``Éfi-<sku>x`` written in one of six ways: plain, decomposed, full width, with a ligature, shouted, with spaces."""
+    digits = sku.cast("string")
+    wide = F.translate(digits, "0123456789", "０１２３４５６７８９")
+    ways = [
+        F.concat(F.lit("Éfi-"), digits, F.lit("X")), F.concat(F.lit("e\u0301fi-"), digits, F.lit("x")), F.concat(F.lit("ｅｆｉ-"), wide, F.lit("ｘ")),
+        F.concat(F.lit("E\ufb01-"), digits, F.lit("x")), F.concat(F.lit("EFI-"), digits, F.lit("X")), F.concat(F.lit("  éﬁ-"), digits, F.lit("x ")),
+    ]
+    return F.element_at(F.array(*ways), (F.pmod(way, F.lit(len(ways))) + 1).cast("int"))
+
+
 def _sku_text_join(spark, sf_dir):
-    """The same SKU written differently on both sides meets on a normalised key."""
+    """The same SKU written differently on both sides, and within each, meets under one name."""
     lines = b.sales(spark, sf_dir, "supplier")
-    sold = lines.select(
-        h.sku_key(h.fix_case_mark(F.concat(F.lit("é-"), F.col("sku").cast("string"), F.lit("x ")))).alias("sku"),
-        "platform", "sales_date", "sales_qty",
-    )
-    stock = b.inventory_of(lines).select(
-        h.sku_key(F.concat(F.lit("E-"), F.col("sku").cast("string"), F.lit("X"))).alias("sku"), "date", "total_available_quantity"
-    )
-    return h.daily_totals(sold, stock, START, END, b.PLATFORM)
+    day = F.unix_date("sales_date")
+    sold = lines.withColumn("sku", h.fix_case_mark(_written(F.col("sku"), day)))
+    stock = b.inventory_of(lines).withColumn("sku", _written(F.col("sku"), F.unix_date("date") + 2))
+    names = staged(h.sku_names(sold.select("sku"), stock.select("sku")), "names")
+    days = h.daily_totals(h.with_sku_name(sold, names), h.with_sku_name(stock, names), START, END, b.PLATFORM)
+    return days.withColumn("sku", F.regexp_extract(F.translate("sku", "０１２３４５６７８９", "0123456789"), r"(\d+)", 1).cast("bigint"))
 
 
 def _reindexed(spark, sf_dir):
@@ -266,8 +276,8 @@ QUERIES = {
     ),
     "sku_text_join": Query(
         _sku_text_join,
-        "sku:s sales_date:s total_sales_qty:l total_available_quantity:d0",
-        f"WITH {daily_sql(platform=b.PLATFORM)} SELECT * EXCLUDE (sku), 'E-' || sku || 'X' AS sku FROM daily",
+        "sku:l sales_date:s total_sales_qty:l total_available_quantity:d0",
+        f"WITH {daily_sql(platform=b.PLATFORM)} SELECT * FROM daily",
     ),
     "inventory_flags": Query(
         _missing_flags,

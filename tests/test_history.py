@@ -98,3 +98,27 @@ def test_samples_need_all_weeks(spark):
     assert h.weekly_samples(features).count() == 1
     short = h.weekly_features(h.weekly_totals(days.where("sku = 'b'"), (START + timedelta(days=433)).isoformat()))
     assert h.weekly_samples(short).count() == 0
+
+
+def test_skus_meet_however_they_are_written(spark):
+    """Case, accents (composed or not), width, ligatures and outer spaces do not tell SKUs apart; letters and digits do."""
+    same = [["café-1", "CAFÉ-1", "café-1", "Ｃafe-１", " cafe-1 "], ["ﬁx", "fix", "FIX", "ＦＩＸ"], ["straße", "STRASSE"], ["İ2", "i2", "I2"], ["Æ", "ae"]]
+    alone = ["cafe1", "cafe-2", "fi", "x-1", "x1", "", "Ø9", "O8"]
+    written = [x for group in same for x in group] + alone
+    names = h.sku_names(spark.createDataFrame([(w,) for w in [*written, *written, None]], "s string"), spark.createDataFrame([("fix",)], "t string"))
+    found = {r["written"]: r["sku"] for r in names.collect()}
+    assert set(found) == set(written)
+    for group in same:
+        assert {found[w] for w in group} == {min((w.strip() for w in group), key=str.encode)}, group
+    assert len({found[w] for w in written}) == len(same) + len(alone)
+
+
+def test_facts_join_by_name_as_plain_strings(spark):
+    sales = spark.createDataFrame([("É1", 2), ("e1", 3), (None, 5)], "sku string, q int")
+    names = h.sku_names(sales.select("sku"))
+    rows = h.with_sku_name(sales, names)
+    assert sorted((r["sku"] or "", r["q"]) for r in rows.collect()) == [("", 5), ("e1", 2), ("e1", 3)]
+    assert rows.columns == ["sku", "q"] and rows.schema["sku"].dataType.simpleString() == "string"
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("collat" not in line.lower() for line in joins)
