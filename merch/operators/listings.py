@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merch.functions.text import clip_text, double_quotes
+from merch.session import staged
 
 # Class names and attributes of the stored pages, and the word that marks a sale.
 CONTAINER = "ux-layout-section-module-evo__container"
@@ -79,9 +80,66 @@ def sold_listings(listings: DataFrame) -> DataFrame:
     return listings.where(F.col("d_num1").ilike(mark) | F.col("d_num2").ilike(mark))
 
 
+KEYS = ["category", "vc_item_link"]
+BUCKET_BITS = 32_768  # of Spark's bitmaps, 4096 bytes
+LINK_BITS = 16  # of a filter, for each stored link
+PROBES = 4
+FILTER_BYTES = 64 << 20
+
+
+def _probes() -> list[Column]:
+    """The bits of a link inside its bucket, from 1 as Spark's bitmaps count them."""
+    h = F.xxhash64(*KEYS)
+    step = F.shiftrightunsigned(h, 15).bitwiseAND(F.lit(BUCKET_BITS - 1)).bitwiseOR(F.lit(1))
+    return [(h + F.lit(i) * step).bitwiseAND(F.lit(BUCKET_BITS - 1)) for i in range(PROBES)]
+
+
+def _bucket() -> Column:
+    return F.pmod(F.shiftrightunsigned(F.xxhash64(*KEYS), 30), F.col("buckets"))
+
+
+def link_filter(details: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(category, buckets) and (category, bucket, bits): a blocked Bloom filter of the stored links of each category.
+
+    A link sets ``PROBES`` bits of one bucket of 4 KB; a category has a bucket for every 2,048 of its links. Partial bit maps are
+    made where the links are; the filter takes 2 bytes a stored link.
+    """
+    links = details.select(*KEYS).where(F.col("category").isNotNull() & F.col("vc_item_link").isNotNull())
+    sizes = links.groupBy("category").agg(F.ceil(F.count(F.lit(1)) * LINK_BITS / F.lit(BUCKET_BITS)).alias("buckets"))
+    sizes = staged(sizes, "filter-sizes")
+    placed = links.join(sizes, "category").select("category", _bucket().alias("bucket"), F.explode(F.array(*_probes())).alias("bit"))
+    bits = placed.groupBy("category", "bucket").agg(F.bitmap_construct_agg(F.col("bit")).alias("bits"))
+    return sizes, staged(bits, "filter")
+
+
+def _is_set(bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+
+
+def maybe_stored(links: DataFrame, sizes: DataFrame, bits: DataFrame) -> DataFrame:
+    """``links`` with ``maybe``: false only for links that are not stored for certain."""
+    found = links.join(sizes, "category", "left").withColumn("bucket", _bucket()).join(F.broadcast(bits), ["category", "bucket"], "left")
+    maybe = F.lit(True)
+    for bit in _probes():
+        maybe = maybe & _is_set(bit)
+    return found.withColumn("maybe", maybe).select(*links.columns, "maybe")
+
+
 def listing_frontier(listings: DataFrame, details: DataFrame) -> DataFrame:
-    """Sold listings of each category whose details are not stored yet."""
-    return sold_listings(listings).join(details, ["category", "vc_item_link"], "left_anti")
+    """Sold listings of each category whose details are not stored yet.
+
+    A Bloom filter of the stored links tells most new links apart where they are; only links that may be stored take the exact
+    anti join. The filter is used while it has at most ``FILTER_BYTES``, some 33 million stored links; beyond, all links take the
+    anti join.
+    """
+    sold = sold_listings(listings)
+    sizes, bits = link_filter(details)
+    if bits.count() * BUCKET_BITS // 8 > FILTER_BYTES:
+        return sold.join(details, KEYS, "left_anti")
+    probed = maybe_stored(sold, sizes, bits)
+    maybes = staged(probed.where("maybe").drop("maybe"), "maybe-stored")
+    return probed.where("NOT maybe").drop("maybe").union(maybes.join(details.select(*KEYS), KEYS, "left_anti").select(*sold.columns))
 
 
 def has_container(html: Column) -> Column:

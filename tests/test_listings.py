@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from merch.operators import listings as ls
 
 
@@ -57,3 +59,38 @@ def test_frontier_by_category(spark):
     listed = spark.createDataFrame([("k", "1", "12 SOLD", None), ("k", "2", None, "3 sold"), ("k", "3", "new", ""), ("k", "4", "1 sold", "")], schema)
     done = spark.createDataFrame([("k", "4"), ("other", "1")], "category string, vc_item_link string")
     assert sorted(r["vc_item_link"] for r in ls.listing_frontier(listed, done).collect()) == ["1", "2"]
+
+
+def frontier_tables(spark, stored=6000, new=300):
+    category = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int"))
+    link = F.concat(F.lit("https://x/"), F.col("id"))
+    row = lambda r: r.select(category.alias("category"), link.alias("vc_item_link"), F.lit("2 Sold").alias("d_num1"), F.lit(None).cast("string").alias("d_num2"))
+    details = spark.range(stored).select(category.alias("category"), link.alias("vc_item_link"), F.lit(1).alias("page"))
+    odd = spark.createDataFrame([("a", None, "sold", ""), (None, "https://x/0", "sold", ""), ("new", "https://x/0", "sold", ""), ("b", "https://x/0", "x", "sold")], "category string, vc_item_link string, d_num1 string, d_num2 string")
+    listings = row(spark.range(stored - 50, stored + new)).union(row(spark.range(stored + 1, stored + 3))).union(odd)
+    return listings, details.union(spark.createDataFrame([(None, "https://x/0", 1), ("a", None, 1)], "category string, vc_item_link string, page int"))
+
+
+def test_frontier_by_filter_is_the_anti_join(spark, monkeypatch):
+    listings, details = frontier_tables(spark)
+    wanted = sorted(tuple(str(x) for x in r) for r in ls.sold_listings(listings).join(details, ["category", "vc_item_link"], "left_anti").select(*listings.columns).collect())
+    found = ls.listing_frontier(listings, details)
+    assert found.columns == listings.columns
+    assert sorted(tuple(str(x) for x in r) for r in found.collect()) == wanted and len(wanted) == 300 + 2 + 4
+    for none in (details.where("false"), details.where("category IS NULL")):
+        assert ls.listing_frontier(listings, none).count() == 350 + 2 + 4
+    assert ls.listing_frontier(listings.where("false"), details).count() == 0
+    monkeypatch.setattr(ls, "FILTER_BYTES", 0)
+    assert sorted(tuple(str(x) for x in r) for r in ls.listing_frontier(listings, details).select(*listings.columns).collect()) == wanted
+
+
+def test_only_possibly_stored_links_are_exchanged(spark):
+    listings, details = frontier_tables(spark, stored=60_000, new=20_000)
+    sizes, bits = ls.link_filter(details)
+    assert {r["category"]: r["buckets"] for r in sizes.collect()} == {"a": 10, "b": 10, "c": 10}
+    probed = ls.maybe_stored(ls.sold_listings(listings), sizes, bits)
+    row = probed.agg(F.count_if("maybe").alias("maybe"), F.count(F.lit(1)).alias("n")).first()
+    assert 50 <= row["maybe"] < 50 + 0.01 * row["n"]
+    plan = probed.where("NOT maybe")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert bits.count() * 4096 < 2.2 * 60_000
