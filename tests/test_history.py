@@ -122,3 +122,32 @@ def test_facts_join_by_name_as_plain_strings(spark):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert joins and all("collat" not in line.lower() for line in joins)
+
+
+def test_spans_hold_what_marked_days_look_at(spark):
+    """A span is a run of marked days with the 14 days before each; marks out of each other's reach are apart."""
+    days = {"a": [0, 1, 2, 20, 21, 40, 41, 42, 43, 60], "b": [5, 6, 7], "c": [0, 30]}
+    low = {"a": {2, 40, 43}, "c": {30}}
+    start = date(2031, 1, 1)
+    rows = [(s, start + timedelta(days=d), d in low.get(s, ())) for s, ds in days.items() for d in ds]
+    spans = so.dependency_spans(spark.createDataFrame(rows, "sku string, sales_date date, low_stock boolean"))
+    got = {(r["sku"], (r["sales_date"] - start).days): r["span"] and r["span"] - (start - date(1970, 1, 1)).days for r in spans.collect()}
+    wanted = {("a", 0): 2, ("a", 1): 2, ("a", 2): 2, ("a", 40): 40, ("a", 41): 40, ("a", 42): 40, ("a", 43): 40, ("c", 30): 30}
+    assert got == {(s, d): wanted.get((s, d)) for s, ds in days.items() for d in ds}
+
+
+def test_few_days_travel_when_few_are_marked(spark):
+    """Stock that runs low on one day in a year sends some two weeks of each SKU through Python; the others pass as they are."""
+    rows = spark.range(20 * 730).select(
+        (F.col("id") % 20).cast("string").alias("sku"), F.floor(F.col("id") / 20).cast("int").alias("n")
+    ).select(
+        "sku", F.date_add(F.lit(date(2030, 1, 1)), F.col("n")).alias("sales_date"),
+        F.when(F.col("n") % 365 == 300, 1).otherwise(10 + F.col("n") % 5).cast("bigint").alias("total_sales_qty"),
+        F.when(F.col("n") % 365 == 300, 2).otherwise(90).cast("bigint").alias("total_available_quantity"),
+    )
+    spans = so.dependency_spans(so.mark_low_stock(rows))
+    assert spans.where("low_stock").count() == 40 and spans.where("span IS NOT NULL").count() == 40 * 15
+    found = so.correct_stockout_sales(rows)
+    assert found.count() == 20 * 730
+    changed = found.where("adjusted_qty <> total_sales_qty")
+    assert changed.count() == 40 and changed.where("low_stock AND adjusted_qty BETWEEN 10 AND 15").count() == 40
