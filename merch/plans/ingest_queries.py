@@ -303,6 +303,33 @@ def _range_dropped(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _by_month(spark, sf_dir):
+    """Orders in folders of their month."""
+    path = stage_path(spark, "months")
+    _orders(spark, sf_dir).withColumn("month", F.date_format("d", "yyyy-MM")).write.partitionBy("month").parquet(path)
+    return path
+
+
+def _range_dropped_in_place(spark, sf_dir):
+    """A closed date range goes; only the folders of its months are written again."""
+    path, inside = _by_month(spark, sf_dir), F.col("d").between("1996-01-10", "1997-11-20")
+    tb.rewrite_touched(spark, path, ["month"], inside, lambda t: tb.delete_where(t, inside))
+    return spark.read.parquet(path).drop("month")
+
+
+def _updated_in_place(spark, sf_dir):
+    path, low = _by_month(spark, sf_dir), (F.col("price") < 20_000) & (F.col("d") < "1995-03-05")
+    tb.rewrite_touched(spark, path, ["month"], low, lambda t: tb.update_where(t, low, {"price": F.lit(0.0), "o_orderstatus": F.lit("X")}))
+    return spark.read.parquet(path).drop("month")
+
+
+def _deep_page(spark, sf_dir):
+    """Page 60 of 20 rows, looked up in the directory of slices."""
+    order = [F.col("price").desc(), F.col("o_orderkey")]
+    rows, directory = tb.page_slices(_orders(spark, sf_dir), order, 16)
+    return tb.read_page(rows, directory, order, 60, 20)
+
+
 def _updated(spark, sf_dir):
     return tb.update_where(_orders(spark, sf_dir), F.col("o_orderstatus") == "P", {"price": F.lit(0.0), "o_orderstatus": F.lit("X")})
 
@@ -405,6 +432,18 @@ QUERIES = {
         lambda s, d: tb.page_rows(_orders(s, d), [F.col("price").desc(), F.col("o_orderkey")], 2),
         "o_orderkey:l price:d2", f"SELECT * FROM ({ORDERS_SQL}) ORDER BY price DESC, o_orderkey LIMIT 300 OFFSET 300",
     ),
+    "order_page_deep": Query(
+        _deep_page, "o_orderkey:l price:d2", f"SELECT * FROM ({ORDERS_SQL}) ORDER BY price DESC, o_orderkey LIMIT 20 OFFSET 1180"
+    ),
+    "drop_date_range_in_place": Query(
+        _range_dropped_in_place, "o_orderkey:l o_orderstatus:s d:s price:d2",
+        f"SELECT * FROM ({ORDERS_SQL}) WHERE NOT coalesce(d BETWEEN DATE '1996-01-10' AND DATE '1997-11-20', FALSE)",
+    ),
+    "update_where_in_place": Query(
+        _updated_in_place, "o_orderkey:l o_orderstatus:s d:s price:d2",
+        f"""SELECT o_orderkey, d, CASE WHEN price < 20000 AND d < DATE '1995-03-05' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+            CASE WHEN price < 20000 AND d < DATE '1995-03-05' THEN 0 ELSE price END AS price FROM ({ORDERS_SQL})""",
+    ),
     "first_match": Query(
         _first_match, "word:s p_partkey:d0",
         "SELECT w AS word, (SELECT min(p_partkey) FROM part WHERE contains(p_name, w)) AS p_partkey FROM (VALUES ('gear'), ('bolt'), ('nothing')) AS v(w)",

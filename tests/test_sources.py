@@ -129,3 +129,45 @@ def test_sheets_are_read_once(spark, tmp_path):
     assert ("s7", "1,007", " n ", None, None, None) in got
     assert ("o1", None, 'say "hi"', "x", "1", None) in got and (None, None, "only", None, None, None) in got
     assert ("Sku", None, "Note", None, "Qty", "qty") in got and ("b", None, "a", "c", "d", "e") in got
+
+
+def test_untouched_folders_keep_their_files(spark):
+    path = stage_path(spark, "touched")
+    days = [(date(2024, m, d), f"{m}/{d}", v) for m in (1, 2, 3) for d, v in ((1, 1), (2, 5), (20, None))] + [(None, "x y%", 7), (date(2024, 2, 9), None, 2)]
+    rows = spark.createDataFrame(days, "d date, name string, v int").withColumn("part", F.coalesce(F.concat(F.lit("m %/"), F.month("d")), F.lit(None)))
+    rows.coalesce(1).write.partitionBy("part").parquet(path)
+    files = lambda: {r[0]: r[1] for r in spark.read.parquet(path).groupBy("part").agg(F.min("_metadata.file_path")).collect()}
+    before, low = files(), F.col("v") < 5
+
+    touched = tb.rewrite_touched(spark, path, ["part"], low & (F.col("d") < "2024-03-01"), lambda t: tb.delete_where(t, low & (F.col("d") < "2024-03-01")))
+    after = files()
+    assert sorted(touched) == [("m %/1",), ("m %/2",)]
+    assert {k for k in before if before[k] == after[k]} == {"m %/3", None}
+    left = sorted((str(r["d"]), r["v"]) for r in spark.read.parquet(path).collect())
+    assert left == sorted((str(d), v) for d, _, v in days if not (v is not None and v < 5 and d < date(2024, 3, 1)))
+
+    gone = F.col("part") == "m %/3"
+    assert tb.rewrite_touched(spark, path, ["part"], gone, lambda t: tb.delete_where(t, gone)) == [("m %/3",)]
+    assert spark.read.parquet(path).where(gone).count() == 0 and spark.read.parquet(path).count() == len(left) - 3
+    assert tb.rewrite_touched(spark, path, ["part"], gone, lambda t: t) == []
+    assert tb.rewrite_touched(spark, path, ["part"], F.col("part").isNull(), lambda t: tb.update_where(t, F.lit(True), {"v": F.lit(9)})) == [(None,)]
+    assert spark.read.parquet(path).where("part IS NULL").first()["v"] == 9
+    with pytest.raises(ValueError):
+        tb.rewrite_touched(spark, path, ["part"], F.col("v") == 9, lambda t: t.withColumn("part", F.lit("elsewhere")))
+
+
+def test_a_deep_page_reads_its_slice(spark):
+    rows = spark.range(40_000).select(F.xxhash64("id").alias("h"), "id")
+    order = [(F.col("h") % 100).desc(), F.col("id")]
+    slices, directory = tb.page_slices(rows, order, 20)
+    sizes = [tuple(r) for r in directory.orderBy("_slice").collect()]
+    assert len(sizes) == 20 and all(b == sum(n for _, n, _ in sizes[:i]) for i, (_, _, b) in enumerate(sizes))
+    want = [r["id"] for r in rows.orderBy(*order).collect()]
+    for page, size in ((1, 300), (77, 300), (10_000, 4), (134, 300), (135, 300), (3, 9_000)):
+        found = tb.read_page(slices, directory, order, page, size)
+        assert [r["id"] for r in found.collect()] == want[(page - 1) * size : page * size]
+    deep = tb.read_page(slices, directory, order, 10_000, 4)
+    plan = deep._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_slice" in plan
+    empty, none = tb.page_slices(rows.where("false"), order, 4)
+    assert tb.read_page(empty, none, order, 1).count() == 0
