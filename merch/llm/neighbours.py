@@ -5,11 +5,15 @@ refined by neighbours-of-neighbours joins: in each round a vector visits a few o
 neighbours found there, and both sides keep what improves their list. A list holds the ``k`` best; a list whose last entry
 still reaches the threshold is saturated and enlarged until its last entry falls below, so that no link is pushed out.
 
-A sample of vectors is compared with all (audit), and it grows until ``ENOUGH`` of its vectors have few links. Vectors are judged
-in classes by their number of links, each vector counting once, so a large group hides nothing that small groups lose. The
-rounds go on, with more visits and new hyperplanes, until every class has ``recall`` of its links in the graph and a round adds
-next to none to any class. Where small groups are too rare to be judged by a sample, where a round would compare more than all
-pairs, and where the last round still fails, all vectors are compared with all, in blocks, and the result is exact.
+Recall is audited without comparing all pairs, in three ways. A graph from new hyperplanes, made apart from the refined one, is
+held against it: the share of its links that the refined graph has already (recapture) shows also pairs that lie alone. Some
+``AUDIT`` vectors drawn from all, and some drawn from those with links, are compared with all. Vectors are judged in classes by
+their number of links, each vector counting once, so a large group hides nothing that small groups lose. The new graph is merged
+into the refined one, so a link that one set of hyperplanes cuts apart has another chance in each round: with the number of
+trees chosen, a lone pair at the threshold is missed by one graph with a chance of 1 in 20, and by all of r + 1 with 1 in
+20^(r+1). The rounds go on, with longer lists and more visits where the audit fails, until every class reaches ``recall`` and a
+round adds next to none to any class; there are two rounds at least. Only if the last round still fails are all vectors compared
+with all (``all_pairs``), with a warning.
 
 All similarities are cosines in double precision of the vectors as given. Only links at or above the threshold are kept at the
 end.
@@ -22,6 +26,7 @@ embedding are read.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +46,6 @@ VISITS = 4
 ROUNDS = 8
 AUDIT = 256
 RECALL = 0.995
-ENOUGH = 200
 CHUNK = 4096
 SETTLED = 0.0005
 SEED = 1
@@ -214,55 +218,89 @@ def trees_for(n: int, *, threshold: float, trees: int, block: int) -> int:
     return trees if together > 0.999 else max(trees, int(np.ceil(np.log(0.05) / np.log1p(-together))))
 
 
-class Truth:
-    """All links of a growing sample, vectors compared with all in blocks of ``CHUNK``; a sample of all is exact."""
+def compared_with_all(nodes: DataFrame, chosen: pd.DataFrame, threshold: float) -> DataFrame:
+    """Lists of all links of the chosen vectors (u, vec; at most ``CHUNK``), by one pass over all vectors."""
+    ids, x = chosen["u"].to_numpy(), unpack(chosen["vec"].tolist())
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch) if len(ids) else 0, 256):
+                some = batch.iloc[at : at + 256]
+                who = some["u"].to_numpy()
+                s = x @ unpack(some["vec"].tolist()).T
+                i, j = np.nonzero((s >= threshold) & (ids[:, None] != who[None, :]))
+                if len(i):
+                    firsts = np.flatnonzero(np.append(True, i[1:] != i[:-1]))
+                    lists = lambda y: pd.Series(np.split(y, firsts[1:]), dtype=object)  # noqa: E731, B023
+                    yield pd.DataFrame({"u": ids[i[firsts]], "ids": lists(who[j]), "sims": lists(s[i, j])})
+
+    return nodes.select("u", "vec").mapInPandas(near, LISTS)
+
+
+class Audit:
+    """All links of a bounded sample of vectors: ``sample`` of all, and as many of those that a graph links."""
 
     def __init__(self, nodes: DataFrame, n: int, *, threshold: float, sample: int):
-        self.nodes, self.threshold = nodes, threshold
-        self.parts, self.done = max(-(-n // sample), 1), 0
-        self.most = max(CHUNK // sample, 1)
+        self.nodes, self.threshold, self.sample = nodes, threshold, sample
         self.path = stage_path(nodes.sparkSession, "truth")
+        self._add(nodes.where(self._one_in(n, 0)))
 
-    @property
-    def complete(self) -> bool:
-        return self.done >= self.parts
-
-    def grow(self) -> None:
-        """As many vectors again as the sample has, ``CHUNK`` at most."""
-        until = min(self.done + min(max(self.done, 1), self.most), self.parts)
-        part = F.pmod(F.xxhash64("u", F.lit(SEED)), F.lit(self.parts))
-        chosen = self.nodes.where((part >= self.done) & (part < until)).select("u", "vec").toPandas()
-        ids, x, threshold = chosen["u"].to_numpy(), unpack(chosen["vec"].tolist()), self.threshold
-
-        def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for at in range(0, len(batch) if len(ids) else 0, 256):
-                    some = batch.iloc[at : at + 256]
-                    who = some["u"].to_numpy()
-                    s = x @ unpack(some["vec"].tolist()).T
-                    i, j = np.nonzero((s >= threshold) & (ids[:, None] != who[None, :]))
-                    if len(i):
-                        firsts = np.flatnonzero(np.append(True, i[1:] != i[:-1]))
-                        lists = lambda y: pd.Series(np.split(y, firsts[1:]), dtype=object)  # noqa: E731, B023
-                        yield pd.DataFrame({"u": ids[i[firsts]], "ids": lists(who[j]), "sims": lists(s[i, j])})
-
-        self.nodes.select("u", "vec").mapInPandas(near, LISTS).write.mode("append").parquet(self.path)
-        self.done = until
+    def _one_in(self, n: int, salt: int):
+        """A draw by hash of some ``sample`` out of n."""
+        return F.pmod(F.xxhash64("u", F.lit(SEED + salt)), F.lit(max(n // self.sample, 1))) == 0
 
-    def lists(self) -> DataFrame:
-        return self.nodes.sparkSession.read.schema(LISTS).parquet(self.path)
+    def _add(self, some: DataFrame) -> None:
+        chosen = some.select("u", "vec").limit(CHUNK).toPandas()  # some ``sample`` vectors
+        compared_with_all(self.nodes, chosen, self.threshold).write.mode("append").parquet(self.path)
 
-    def few(self, most: int) -> int:
-        """Vectors of the sample that have links, but at most so many."""
-        return self.lists().groupBy("u").agg(F.sum(F.size("ids")).alias("there")).where(F.col("there") <= most).count()
+    def add_linked(self, graph: DataFrame) -> None:
+        """Judge vectors with links as well, of each class by their number some."""
+        counts = link_counts(graph, self.threshold).where("links > 0").withColumn("class", F.floor(F.log2("links")))
+        sizes = {r["class"]: r["n"] for r in counts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a power of two
+        drawn = F.lit(False)
+        for class_, n in sizes.items():
+            drawn = drawn | ((F.col("class") == class_) & self._one_in(n * len(sizes), 1))
+        self._add(self.nodes.join(counts.where(drawn).select("u"), "u", "left_semi"))
+
+    def lists(self) -> DataFrame:
+        """One list a vector; a vector drawn twice has the same list twice, and one task's share of its links in each row."""
+        rows = self.nodes.sparkSession.read.schema(LISTS).parquet(self.path)
+        return rows.select("u", F.explode("ids").alias("v")).distinct()
 
     def recall(self, graph: DataFrame) -> float:
         """Mean share of a vector's links that the graph has, in the class of vectors where it is least."""
-        there = self.lists().groupBy("u").agg(F.sum(F.size("ids")).alias("there"))
+        there = self.lists().groupBy("u").agg(F.count(F.lit(1)).alias("there"))
         share = F.least(F.coalesce("links", F.lit(0)) / F.col("there"), F.lit(1.0))
-        held = there.join(link_counts(graph, self.threshold), "u", "left")
-        worst = held.groupBy(F.floor(F.log2("there")).alias("class")).agg(F.avg(share).alias("share")).agg(F.min("share")).first()[0]
-        return 1.0 if worst is None else worst
+        return _worst(there.join(link_counts(graph, self.threshold), "u", "left").select("there", share.alias("share")))
+
+
+def _worst(shares: DataFrame) -> float:
+    """The least mean of ``share`` over classes by ``there``; 1 where there is nothing to judge."""
+    worst = shares.groupBy(F.floor(F.log2("there")).alias("class")).agg(F.avg("share").alias("share")).agg(F.min("share")).first()[0]
+    return 1.0 if worst is None else worst
+
+
+def linked_ids(graph: DataFrame, threshold: float) -> DataFrame:
+    """(u, ids) of the vectors with links."""
+    ids = F.transform(F.filter(F.arrays_zip("ids", "sims"), lambda x: x["sims"] >= threshold), lambda x: x["ids"])
+    return graph.select("u", ids.alias("ids")).where(F.size("ids") > 0)
+
+
+def recapture(graph: DataFrame, other: DataFrame, threshold: float) -> float:
+    """Mean share of a vector's links in ``other`` that ``graph`` has, in the class of vectors where it is least."""
+    held = linked_ids(graph, threshold).withColumnRenamed("ids", "held")
+    both = linked_ids(other, threshold).join(held, "u", "left")
+    share = F.coalesce(F.size(F.array_intersect("ids", "held")), F.lit(0)) / F.size("ids")
+    return _worst(both.select(F.size("ids").alias("there"), F.when(F.col("held").isNull(), F.lit(0.0)).otherwise(share).alias("share")))
+
+
+def all_pairs(nodes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Lists of all links, all vectors with all, ``CHUNK`` of them at a time: the last step, of n^2 products."""
+    path, parts = stage_path(nodes.sparkSession, "all-pairs"), max(-(-n // (CHUNK // 2)), 1)
+    for part in range(parts):
+        chosen = nodes.where(F.pmod(F.xxhash64("u", F.lit(SEED)), F.lit(parts)) == part).select("u", "vec").toPandas()
+        compared_with_all(nodes, chosen, threshold).write.mode("append").parquet(path)
+    return nodes.sparkSession.read.schema(LISTS).parquet(path)
 
 
 def link_counts(graph: DataFrame, threshold: float) -> DataFrame:
@@ -280,31 +318,31 @@ def still(before: DataFrame, graph: DataFrame, threshold: float) -> bool:
 
 def neighbour_graph(
     nodes: DataFrame, width: int, *, threshold: float = THRESHOLD, k: int = K, trees: int = TREES, block: int = BLOCK, visits: int = VISITS,
-    rounds: int = ROUNDS, recall: float = RECALL, sample: int = AUDIT, seed: int = SEED, enough: int = ENOUGH,
+    rounds: int = ROUNDS, recall: float = RECALL, sample: int = AUDIT, seed: int = SEED,
 ) -> DataFrame:
-    """(u, ids, sims): neighbour lists of the distinct vectors, refined until the audit is content, or all links."""
-    n, small = nodes.count(), k
+    """(u, ids, sims): neighbour lists of the distinct vectors, refined until the audit is content."""
+    n = nodes.count()
     trees = trees_for(n, threshold=threshold, trees=trees, block=block)
-    truth = Truth(nodes, n, threshold=threshold, sample=sample)
-    truth.grow()
-    while not truth.complete and truth.few(small) < enough:
-        truth.grow()
-    if not truth.complete:
-        graph = staged(first_graph(nodes, width, k=k, threshold=threshold, trees=trees, block=block, seed=seed), "graph")
-        for round_ in range(rounds):
-            before, graph = graph, staged(descend(nodes, graph, round_, k=k, threshold=threshold, visits=visits), "graph")
-            if truth.recall(graph) >= recall:
-                if round_ + 1 == rounds or still(before, graph, threshold):
-                    return graph
-            elif round_:  # the graph is too coarse: longer lists, more visits and other hyperplanes
-                k, visits = 2 * k, 2 * visits
-                if k * visits >= n:
-                    break
-                more = first_graph(nodes, width, k=k, threshold=threshold, trees=trees, block=block, seed=seed + round_)
-                graph = staged(merge(graph.union(more), k, threshold), "graph")
-    while not truth.complete:
-        truth.grow()
-    return staged(merge(truth.lists(), k, threshold), "graph")
+    audit = Audit(nodes, n, threshold=threshold, sample=sample)
+    begun = lambda i: staged(first_graph(nodes, width, k=k, threshold=threshold, trees=trees, block=block, seed=seed + i), "graph")
+    graph, content = begun(0), False
+    for round_ in range(rounds):
+        before, graph = graph, staged(descend(nodes, graph, round_, k=k, threshold=threshold, visits=visits), "graph")
+        other = begun(round_ + 1)
+        found_again = recapture(graph, other, threshold)
+        graph = staged(merge(graph.union(other), k, threshold), "graph")
+        if not round_:
+            audit.add_linked(graph)
+            continue
+        content = found_again >= recall and audit.recall(graph) >= recall
+        if content and still(before, graph, threshold):
+            return graph
+        if not content and round_ > 1:  # the graph is too coarse: longer lists and more visits
+            k, visits = min(2 * k, max(n, 1)), min(2 * visits, max(n, 1))
+    if content:
+        return graph
+    warnings.warn(f"{rounds} rounds of NN-descent did not reach a recall of {recall}: comparing all of {n} vectors with all", stacklevel=2)
+    return staged(merge(all_pairs(nodes, n, threshold), k, threshold), "graph")
 
 
 def near_vectors(embeddings: DataFrame, *, ident: str = "vec_id", threshold: float = THRESHOLD, **options) -> DataFrame:
@@ -315,8 +353,7 @@ def near_vectors(embeddings: DataFrame, *, ident: str = "vec_id", threshold: flo
     width = len(bytes((nodes.select("vec").first() or [b"\0" * 8])[0])) // 8
     graph = neighbour_graph(nodes, width, threshold=threshold, **options)
 
-    links = graph.select("u", F.transform(F.filter(F.arrays_zip("ids", "sims"), lambda x: x["sims"] >= threshold), lambda x: x["ids"]).alias("ids"))
-    links = staged(links.where(F.size("ids") > 0), "links")
+    links = staged(linked_ids(graph, threshold), "links")
     copies = nodes.select(F.col("u").alias("v"), "copies")
     counted = links.select("u", F.explode("ids").alias("v")).join(copies, "v").groupBy("u").agg(F.sum("copies").alias("others"))
     # v and the smallest of u's list and u: as connected as all links, and far fewer

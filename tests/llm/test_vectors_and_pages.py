@@ -65,13 +65,73 @@ def test_nn_descent_finds_pairs_beside_a_large_group(spark, pairs):
     assert share[want == 1].mean() >= 0.99 and share[want > 100].mean() >= 0.99
 
 
-def test_nn_descent_recall(spark):
+def counted(monkeypatch, *names):
+    """How often each of the functions of ``neighbours`` is called."""
+    calls = dict.fromkeys(names, 0)
+
+    def wrap(name, own):
+        def call(*args, **kwargs):
+            calls[name] += 1
+            return own(*args, **kwargs)
+
+        return call
+
+    for name in names:
+        monkeypatch.setattr(neighbours, name, wrap(name, getattr(neighbours, name)))
+    return calls
+
+
+def test_nn_descent_recall(spark, monkeypatch):
+    """The supplied vectors have no link at all; they are searched by descents, not by all pairs."""
+    calls = counted(monkeypatch, "descend", "all_pairs")
     rows = table(spark, SF, "embeddings").toPandas()
     got = QUERIES["op1_nn_descent"](spark, SF).toPandas().set_index("vec_id").loc[rows["vec_id"]]
     x = np.stack(rows["embedding"]).astype(float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     want = (x @ x.T >= 0.95).sum(axis=1) - 1
-    assert got["n_links"].sum() >= 0.99 * want.sum() and (got["n_links"].to_numpy() <= want).all()
+    assert got["n_links"].tolist() == want.tolist()
+    assert calls["descend"] >= 2 and calls["all_pairs"] == 0
+
+
+def test_few_links_are_found_by_descents(spark, monkeypatch):
+    calls = counted(monkeypatch, "descend", "all_pairs")
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 24))
+    x[[10, 20, 30, 2999]] = x[[11, 21, 31, 0]] + 0.12 * rng.normal(size=(4, 24))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = neighbours.near_vectors(frame, block=64).where("n_links > 0").toPandas()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.flatnonzero((x @ x.T >= 0.95).sum(axis=1) > 1)
+    assert sorted(got["vec_id"]) == want.tolist() and len(want) >= 6
+    assert calls["descend"] >= 2 and calls["all_pairs"] == 0
+
+
+def test_audit_sees_what_a_graph_lacks(spark):
+    """Recapture and the samples fall when links are taken out of the graph, in small groups as in large ones."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(200, 16)), rng.normal(size=16) + 0.01 * rng.normal(size=(300, 16))])
+    x = np.concatenate([x, x[:200] + 0.05 * rng.normal(size=(200, 16))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "u bigint, vec binary")
+    every = neighbours.all_pairs(nodes, len(x), 0.95)
+    want = (x @ x.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    assert {r["u"]: sorted(r["ids"]) for r in neighbours.merge(every, 8, 0.95).collect()} == {i: np.flatnonzero(w).tolist() for i, w in enumerate(want) if w.any()}
+    audit = neighbours.Audit(nodes, len(x), threshold=0.95, sample=128)
+    audit.add_linked(neighbours.merge(every, 8, 0.95))
+    whole = neighbours.merge(every, 8, 0.95)
+    assert audit.recall(whole) == neighbours.recapture(whole, whole, 0.95) == 1.0
+    for lost in (whole.where("size(ids) > 1 OR u % 4 > 0"), whole.where("size(ids) = 1 OR u % 4 > 0")):
+        assert audit.recall(lost) < 0.95 and neighbours.recapture(lost, whole, 0.95) < 0.95
+
+
+def test_all_pairs_is_the_last_step(spark, monkeypatch):
+    calls = counted(monkeypatch, "all_pairs")
+    monkeypatch.setattr(neighbours, "recapture", lambda *a: 0.0)
+    x = np.random.default_rng(1).normal(size=(60, 8))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, x + 0.01]))], "vec_id bigint, embedding array<double>")
+    with pytest.warns(UserWarning, match="did not reach"):
+        got = neighbours.near_vectors(frame, rounds=2)
+    assert calls["all_pairs"] == 1 and got.where("n_links >= 1").count() == 120
 
 
 @pytest.mark.parametrize("limit", [40, 4096])
