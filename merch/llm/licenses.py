@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merch.llm.common import lower_ascii
+from merch.llm.common import fresh, lower_ascii
 
 #: Phrases of the contract and their labels.
 BASE = {
@@ -45,6 +45,22 @@ NOTICES = {
     "gnu affero general public license": ("agpl", 0.95),
     "gnu lesser general public license": ("lgpl", 0.95),
     "mozilla public license": ("mpl", 0.95),
+    "affero general public license": ("agpl", 0.9),
+    "boost software license": ("bsl", 0.95),
+    "common development and distribution license": ("cddl", 0.95),
+    "creative commons attribution": ("cc-by", 0.9),
+    "creative commons zero": ("cc0", 0.9),
+    "eclipse public license": ("epl", 0.95),
+    "european union public licence": ("eupl", 0.95),
+    "isc license": ("isc", 0.9),
+    "lesser general public license": ("lgpl", 0.9),
+    "library general public license": ("lgpl", 0.9),
+    "open database license": ("odbl", 0.95),
+    "open software license": ("osl", 0.95),
+    "zlib license": ("zlib", 0.9),
+    "permission is hereby granted free of charge": ("mit", 0.6),
+    "redistribution and use in source and binary forms": ("bsd", 0.6),
+    "this is free and unencumbered software": ("unlicense", 0.9),
     "public domain": ("public-domain", 0.5),
     "licensed under": ("notice", 0.3),
     "released under": ("notice", 0.2),
@@ -53,8 +69,19 @@ TAG = "spdx license identifier"
 TAG_TEXT = re.compile(rb"spdx-license-identifier[ \t]*:[ \t]*")
 TOKEN = re.compile(rb"[ \t]*(\(|\)|[a-z0-9][a-z0-9.+_-]*)")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
-FAMILIES = (("agpl", "agpl"), ("lgpl", "lgpl"), ("gpl", "gpl"), ("apache", "apache"), ("mit", "mit"), ("bsd", "bsd"), ("cc0", "cc0"), ("cc-by", "cc-by"), ("mpl", "mpl"))
-COPYLEFT = {"gpl", "agpl", "lgpl", "mpl"}
+#: Licence families by the leading tokens of an identifier (up to "-"), with what they ask for.
+FAMILIES = {
+    "0bsd": "public-domain", "cc0": "public-domain", "unlicense": "public-domain",
+    "apache": "permissive", "bsd": "permissive", "bsl": "permissive", "cc-by": "permissive", "isc": "permissive", "mit": "permissive", "zlib": "permissive",
+    "cddl": "weak copyleft", "epl": "weak copyleft", "lgpl": "weak copyleft", "mpl": "weak copyleft",
+    "cc-by-sa": "share-alike", "odbl": "share-alike",
+    "agpl": "copyleft", "eupl": "copyleft", "gpl": "copyleft", "osl": "copyleft",
+    "cc-by-nc": "non-commercial", "cc-by-nc-nd": "non-commercial", "cc-by-nc-sa": "non-commercial",
+    "cc-by-nd": "no derivatives",
+}
+#: From mild to strict; an identifier of no family is unknown, and nobody can tell how strict it is.
+KINDS = ["public-domain", "permissive", "weak copyleft", "share-alike", "copyleft", "no derivatives", "non-commercial", "unknown"]
+STRICTNESS = {kind: i for i, kind in enumerate(KINDS)}
 
 _WORD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -68,9 +95,10 @@ def automaton(phrases: dict[str, tuple[str, float]]) -> ahocorasick.Automaton:
     return built
 
 
-def all_phrases() -> dict[str, tuple[str, float]]:
+def all_phrases(notices: dict[str, tuple[str, float]] = NOTICES) -> dict[str, tuple[str, float]]:
+    """The phrases of the contract, the notices (phrase: label, weight) and the tag."""
     base = {phrase: (label, 0.9) for phrase, label in BASE.items()}
-    return base | NOTICES | {TAG: ("#tag", 0.0)}
+    return dict(notices) | base | {TAG: ("#tag", 0.0)}
 
 
 def to_postfix(tokens: list[str]) -> list[str] | None:
@@ -109,11 +137,14 @@ def to_postfix(tokens: list[str]) -> list[str] | None:
 
 
 def family(identifier: str) -> str:
-    return next((label for start, label in FAMILIES if identifier.startswith(start)), identifier.rstrip("+"))
+    """The longest family whose tokens lead the identifier, else the identifier itself."""
+    tokens = identifier.rstrip("+").split("-")
+    starts = ("-".join(tokens[:n]) for n in range(len(tokens), 0, -1))
+    return next((start for start in starts if start in FAMILIES), identifier.rstrip("+"))
 
 
 def evaluate(postfix: list[str]) -> tuple[frozenset[str], str, str] | None:
-    """Licences named, canonical text, and obligation (``permissive`` or ``copyleft``).
+    """Licences named, canonical text, and obligation, one of ``KINDS``.
 
     ``and`` binds to both sides, so the stricter one counts; ``or`` lets the reader choose, so the milder one counts;
     ``with`` adds an exception to the licence on its left, which must be a single licence.
@@ -122,7 +153,7 @@ def evaluate(postfix: list[str]) -> tuple[frozenset[str], str, str] | None:
     for token in postfix:
         if token not in PRECEDENCE:
             label = family(token)
-            stack.append((frozenset([label]), token, "copyleft" if label in COPYLEFT else "permissive"))
+            stack.append((frozenset([label]), token, FAMILIES.get(label, "unknown")))
             continue
         right, left = stack.pop(), stack.pop()
         if token == "with":
@@ -130,8 +161,7 @@ def evaluate(postfix: list[str]) -> tuple[frozenset[str], str, str] | None:
                 return None
             stack.append((left[0], f"{left[1]} with {right[1]}", left[2]))
             continue
-        strict = {left[2], right[2]}
-        kind = ("copyleft" if "copyleft" in strict else "permissive") if token == "and" else ("permissive" if "permissive" in strict else "copyleft")
+        kind = (max if token == "and" else min)(left[2], right[2], key=STRICTNESS.get)
         stack.append((left[0] | right[0], f"({left[1]} {token} {right[1]})", kind))
     return stack[0] if len(stack) == 1 else None
 
@@ -189,7 +219,7 @@ def scan_text(text: str | None, machine: ahocorasick.Automaton) -> tuple:
             if value:
                 labels |= value[0]
                 canonical.append(value[1])
-                obligations = "copyleft" if "copyleft" in (obligations, value[2]) else value[2]
+                obligations = max(obligations or value[2], value[2], key=STRICTNESS.get)
                 doubt *= 0.02
     for weight in {label: weight for label, _, _, weight in hits}.values():
         doubt *= 1 - weight
@@ -200,12 +230,16 @@ def scan_text(text: str | None, machine: ahocorasick.Automaton) -> tuple:
 HITS = "array<struct<label:string,first_word:bigint,words:bigint>>"
 
 
-def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with n_words, hits, expression, obligations, labels and score of each row's whole text."""
+def scan_licenses(df: DataFrame, text: str = "text", notices: dict[str, tuple[str, float]] = NOTICES) -> DataFrame:
+    """``df`` with n_words, hits, expression, obligations, labels and score of each row's whole text.
+
+    ``notices`` are the phrases looked for beside those of the contract: words in lower case with single blanks, and for each
+    its label and how much it says about a licence, from 0 to 1.
+    """
 
     @F.pandas_udf(f"n_words bigint, hits {HITS}, expression string, obligations string, labels array<string>, score double")
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        machine = automaton(all_phrases())
+        machine = automaton(all_phrases(notices))
         for batch in texts:
             rows = []
             for value in batch:
@@ -215,5 +249,5 @@ def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
             yield pd.DataFrame(rows, columns=["n_words", "hits", "expression", "obligations", "labels", "score"])
 
     rest = [c for c in df.columns if c.lower() not in ("n_words", "hits", "expression", "obligations", "labels", "score")]
-    name = "_scan"
+    name = fresh(df, "_scan")
     return df.withColumn(name, scan(F.col(text).cast("string"))).select(*[F.col(f"`{c}`") for c in rest], f"{name}.*")

@@ -169,16 +169,24 @@ def surprises(docs: DataFrame, model: DataFrame, blocks: int, *, order: int = OR
     dealt = dealt.repartition("block")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list[np.ndarray]] = {}
+        """The distinct n-grams of each block; blocks come one after the other, and one is held at a time."""
+        now, held = None, []
+
+        def close():
+            codes = pd.unique(np.concatenate(held))
+            return pd.DataFrame({"block": np.full(len(codes), now, np.int32), "code": codes})
+
         for batch in batches:
-            for block, some in batch.groupby("block"):
-                found = [pd.unique(ngrams(unpacked(part), order)[0]) for part in _chunks(some)]
-                held.setdefault(int(block), []).extend(found)
-                if len(held[block]) > 8:
-                    held[block] = [pd.unique(np.concatenate(held[block]))]
-        for block, found in held.items():
-            codes = pd.unique(np.concatenate(found))
-            yield pd.DataFrame({"block": np.full(len(codes), block, np.int32), "code": codes})
+            for block, some in batch.groupby("block", sort=False):
+                if block != now and held:
+                    yield close()
+                    held = []
+                now = block
+                held.extend(pd.unique(ngrams(unpacked(part), order)[0]) for part in _chunks(some))
+                if len(held) > 8:
+                    held = [pd.unique(np.concatenate(held))]
+        if held:
+            yield close()
         give_back()
 
     def answer(frame: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
@@ -198,7 +206,7 @@ def surprises(docs: DataFrame, model: DataFrame, blocks: int, *, order: int = OR
             out.append(part[[*KEY, "doc_id", "lang"]].assign(places=counts, surprise=total))
         return pd.concat(out) if out else pd.DataFrame(columns=[*KEY, "doc_id", "lang", "places", "surprise"])
 
-    asked = dealt.mapInPandas(ask, "block int, code bigint")
+    asked = dealt.sortWithinPartitions("block").mapInPandas(ask, "block int, code bigint")
     told = asked.join(model, "code").select("block", "code", "p")
     scored = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
         answer, f"{KEY[0]} bigint, {KEY[1]} bigint, doc_id string, lang string, places bigint, surprise double"
@@ -229,7 +237,8 @@ def judge(
     total = counts.agg(F.sum("all")).first()[0] or 0
     model = probabilities(counts, order=order)
     with text_batches(docs.sparkSession):
-        costs = staged(surprises(docs, model, max(1, -(-total // block_chars)), order=order), "surprise")
+        blocks = max(-(-total // block_chars), docs.sparkSession.sparkContext.defaultParallelism)
+        costs = staged(surprises(docs, model, blocks, order=order), "surprise")
 
     flagged = costs.join(trusted, "doc_id", "left").withColumns(
         {"trusted": F.col("judging").isNotNull(), "judging": F.coalesce("judging", F.lit(False))}

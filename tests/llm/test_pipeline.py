@@ -22,7 +22,8 @@ def test_stages(spark):
 
 def test_odd_rows_pass(spark):
     rows = [(1, None, None, None, 0), (1, None, None, None, 0), (None, "", "en", "a", 0), (2, "word " * 30, "en", "a", 0)]
-    docs = spark.createDataFrame([(*r, 5, "x") for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, copies int, score string")
+    docs = spark.createDataFrame([(*r, 5, "x", 1, 2, 3) for r in rows],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, copies int, score string, _key_file int, _key_row int, block int")
     for frame in (docs, docs.where("false")):
         out = frame
         for _, stage in corpus_pipeline.STAGES:

@@ -344,3 +344,25 @@ def test_quality_odd_cases(spark, odd, empty):
     assert len(got) == 10 and np.isfinite(got["perplexity"]).all()
     assert quality.judge(odd, labels.where("false")).where("NOT keep").count() == 0
     assert quality.judge(empty, labels).count() == 0
+
+
+@pytest.mark.parametrize(
+    "expression, kind, labels",
+    [
+        ("EUPL-1.2", "copyleft", {"eupl"}), ("OSL-3.0", "copyleft", {"osl"}), ("CC-BY-SA-4.0", "share-alike", {"cc-by-sa"}), ("CC-BY-NC-4.0", "non-commercial", {"cc-by-nc"}),
+        ("CC-BY-NC-SA-4.0", "non-commercial", {"cc-by-nc-sa"}), ("CC-BY-4.0", "permissive", {"cc-by"}), ("CC-BY-ND-3.0", "no derivatives", {"cc-by-nd"}), ("LGPL-2.1+", "weak copyleft", {"lgpl"}),
+        ("MITRE-1.0", "unknown", {"mitre-1.0"}), ("MIT AND Foo-1", "unknown", {"mit", "foo-1"}), ("MIT OR Foo-1", "permissive", {"mit", "foo-1"}), ("MPL-2.0 AND (MIT OR GPL-3.0-only)", "weak copyleft", {"mpl", "mit", "gpl"}),
+        ("CC0-1.0 OR CC-BY-SA-4.0 AND MIT", "public-domain", {"cc0", "cc-by-sa", "mit"}), ("GPL-2.0 WITH Classpath-exception-2.0", "copyleft", {"gpl"}),
+    ],
+)
+def test_obligations_follow_the_family(expression, kind, labels):
+    machine = licenses.automaton(licenses.all_phrases())
+    _, _, found, (_, obligations), _ = licenses.scan_text(f"SPDX-License-Identifier: {expression}\nText.", machine)
+    assert obligations == kind and labels <= set(found)
+
+
+def test_scan_keeps_columns_and_takes_phrases(spark):
+    rows = spark.createDataFrame([("house rules apply here. MIT License", 7, "x")], "text string, _scan int, _SCAN2 string")
+    row = licenses.scan_licenses(rows, notices={"house rules": ("house", 0.4)}).first()
+    assert row["_scan"] == 7 and row["_SCAN2"] == "x"
+    assert [h["label"] for h in row["hits"]] == ["house", "mit"] and row["labels"] == ["house", "mit"]
