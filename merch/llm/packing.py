@@ -31,7 +31,7 @@ CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PARTITION = 50_000
 ROUNDS = 12
-CHUNK_CHARS = 3 << 20  # words are looked up for about so much text at once
+CHUNK_CHARS = 3 << 19  # words are looked up for about so much text at once
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
 
@@ -48,7 +48,7 @@ class WordTokenizer:
     closing punctuation. A piece is encoded once while it stays in the table, which is emptied when it has grown to ``keep``.
     """
 
-    def __init__(self, path: str, keep: int = 600_000, at_once: int = 200, held: int = 64):
+    def __init__(self, path: str, keep: int = 400_000, at_once: int = 200, held: int = 64):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
