@@ -1,19 +1,23 @@
 """Exact top-k by inner product with an M-tree.
 
 Inner products become distances by one more coordinate: with M the largest norm, a vector x gets sqrt(M^2 - |x|^2) and a query
-0, so |q - x|^2 = |q|^2 + M^2 - 2 q.x, and the nearest vectors are those of the largest product. The vectors are dealt to
-shards of at most ``shard_rows`` around pivots; each shard is an M-tree of pages: an entry has its object, the distance to its
-parent and, in an inner page, a covering radius. A query goes to the shard whose pivot is nearest first, and with the k-th
-product found there to every shard that the triangle inequality does not exclude. In a shard, pages are opened best-first,
-and an entry whose stored distances exclude it is passed over without computing its distance.
-
-Components are floored to integers after scaling, so products are exact integers; distances only decide what is passed over and
-are given a small margin.
+0, so |q - x|^2 = |q|^2 + M^2 - 2 q.x, and the nearest vectors are those of the largest product. The tree's upper nodes are a
+table: the vectors of a node beyond ``shard_rows`` are dealt to the nearest of up to ``PIVOTS`` pivots of its own, level by level,
+and every node keeps its pivot and the covering radius of all vectors below it. A node that its pivots hardly divide (vectors
+all alike) is cut evenly. Each leaf is a shard, an M-tree of pages: an entry has its object, the distance to its parent and, in
+an inner page, a covering radius. A query searches its own shard first, then, with the k-th product found so far, the
+``NEAREST`` shards of least distance, then every shard that the nodes' bounds do not exclude. In a shard, pages are opened
+best-first, and an entry whose stored distances exclude it is passed over without computing its distance.
+
+Components are floored to integers after scaling. Where the largest squared norm is below 2^53 all products are exact in
+doubles; otherwise doubles scaled by a power of two only choose what may be among the best, and those products are computed
+again in whole numbers of any size. Distances only decide what is passed over and are given a small margin.
 
 Defined cases: vectors that are null or hold null or non-finite components are neither candidates nor queries; empty vectors are
 zero and shorter ones count as filled up with zeros; equal products go to the smaller id; repeated rows are candidates each, but
 a query's own row is not; a query with fewer candidates than k gets all; null ids are candidates of last rank and never
-queries; an empty table gives no rows; only the id and the embedding are read.
+queries; finite components may be of any size, and a score beyond 64 bits is null at its right rank; an empty table gives no
+rows; only the id and the embedding are read.
 """
 
 from __future__ import annotations
@@ -21,13 +25,14 @@ from __future__ import annotations
 import heapq
 import io
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from merch.llm.common import KEY, keyed, vectors
+from merch.llm.common import KEY, keyed, text_batches, vectors
 from merch.session import staged
 
 SCALE = 256
@@ -35,39 +40,63 @@ TOP = 5
 PAGE = 64
 SHARD_ROWS = 4096
 PIVOTS = 64
+NEAREST = 4
+LEVELS = 8
+#: A part of this size of a node means that its pivots hardly divide it.
+ALIKE = 0.9
+#: Doubles from here on are whole numbers.
+WHOLE = 2.0**53
 QUERY_BLOCK = 512
 SEED = 10
 
 
 def whole_vectors(rows: DataFrame, scale: int, width: int) -> DataFrame:
-    """(row, id, x): floor(scale * component) of every usable vector as bytes of longs."""
+    """(row, id, x, norm, top): floor(scale * component) of every usable vector as bytes, its squared norm and largest size.
+
+    The bytes are 32-bit integers, or doubles where these do not hold a component; a value that scaling would take beyond the
+    doubles keeps its own size, as all its digits are whole: see ``exactly``.
+    """
 
     def floor(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found, good = vectors(batch["embedding"])
             full = np.zeros((len(found), max(width, 1)))
-            full[:, : found.shape[1]] = np.floor(found * scale)
-            if good.any() and np.abs(full[good]).max() >= 2**25:
-                raise ValueError("components beyond 2^25 after scaling: products would not be exact")
+            full[:, : found.shape[1]] = np.where(np.abs(found) < WHOLE, np.floor(np.where(np.abs(found) < WHOLE, found, 0) * scale) / scale, found)
             kept = np.flatnonzero(good)
-            whole = full.astype("<i4")
-            yield batch.iloc[kept][["row", "id"]].assign(x=[whole[i].tobytes() for i in kept], norm=(full[kept] ** 2).sum(axis=1))
+            top = np.abs(full[kept]).max(axis=1, initial=0)
+            small = top < 2**31 / scale - 1
+            blobs = [(np.rint(full[i] * scale).astype("<i4") if s else full[i].astype("<f8")).tobytes() for i, s in zip(kept, small)]
+            norm = (np.where(small[:, None], full[kept], 0) ** 2).sum(axis=1) * float(scale) ** 2
+            yield batch.iloc[kept][["row", "id"]].assign(x=blobs, norm=np.where(small, norm, np.inf), top=top)
+
+    return rows.mapInPandas(floor, "row bigint, id string, x binary, norm double, top double")
+
 
-    return rows.mapInPandas(floor, "row bigint, id string, x binary, norm double")
+def matrix(blobs, width: int, scale: int, shift: int = 0) -> np.ndarray:
+    """The whole vectors as doubles, times 2^-shift."""
+    out = np.zeros((len(blobs), width))
+    for i, blob in enumerate(blobs):
+        if len(blob) == 4 * width:
+            out[i] = np.frombuffer(blob, dtype="<i4") if not shift else np.ldexp(np.frombuffer(blob, dtype="<i4").astype(float), -shift)
+        else:
+            out[i] = np.ldexp(np.frombuffer(blob, dtype="<f8"), -shift) * scale
+    return out
 
 
-def matrix(blobs) -> np.ndarray:
-    if not len(blobs):
-        return np.zeros((0, 1))
-    return np.frombuffer(b"".join(blobs), dtype="<i4").reshape(len(blobs), -1).astype(np.float64)
+def exactly(blob, width: int, scale: int) -> list[int]:
+    """The whole vector in Python integers."""
+    if len(blob) == 4 * width:
+        return np.frombuffer(blob, dtype="<i4").tolist()
+    return [int(v) * scale if abs(v) >= WHOLE else round(v * scale) for v in np.frombuffer(blob, dtype="<f8").tolist()]
 
 
 class Metric:
     """Distances in the space with the additional coordinate."""
 
-    def __init__(self, limit: float):
+    def __init__(self, limit: float, slack: float = 0.0):
         self.limit = limit  # M^2
-        self.margin = 1e-6 * (1 + np.sqrt(limit))
+        self.slack = slack  # how far a computed product may be off; 0 where products are exact
+        self.margin = 1e-6 * (1 + np.sqrt(limit)) + 4 * np.sqrt(slack)
 
     def height(self, x: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(self.limit - (x * x).sum(axis=1), 0))
@@ -79,6 +108,10 @@ class Metric:
     def of_product(self, norm: float, product):
         return np.sqrt(np.maximum(norm + self.limit - 2 * product, 0))
 
+    def reach(self, norm: float, product):
+        """The distance beyond which no product is as large as ``product``."""
+        return self.of_product(norm, product - self.slack) + self.margin
+
 
 class MTree:
     """Paged nodes in flat arrays: page p holds the entries first[p] .. first[p + 1].
@@ -121,26 +154,35 @@ class MTree:
         tree.entry, tree.to_parent, tree.radius, tree.child = (np.concatenate([p[i] for p in pages]) for i in (1, 2, 3, 4))
         return tree
 
-    def save(self) -> bytes:
+    def save(self, blobs: list[bytes]) -> bytes:
+        """The tree with the vectors as they are in ``blobs``."""
         out = io.BytesIO()
         held = {f: getattr(self, f) for f in self.FIELDS}
-        np.savez(out, **held | {"objects": self.objects.astype("<i4"), "ids": np.array(self.ids, dtype="U")})
+        sizes = np.array([len(b) for b in blobs], dtype=np.int64)
+        np.savez(out, **held | {"objects": np.frombuffer(b"".join(blobs), dtype=np.uint8), "sizes": sizes, "ids": np.array(self.ids, dtype="U")})
         return out.getvalue()
 
     @classmethod
-    def load(cls, data: bytes) -> MTree:
+    def load(cls, data: bytes, width: int, scale: int, shift: int) -> MTree:
         tree = cls()
         with np.load(io.BytesIO(data)) as held:
             for f in cls.FIELDS:
                 setattr(tree, f, held[f])
-        tree.objects = tree.objects.astype(np.float64)
+            ends = np.cumsum(held["sizes"])
+        stored = tree.objects.tobytes()
+        tree.blobs = [stored[e - n : e] for e, n in zip(ends.tolist(), np.diff(ends, prepend=0).tolist())]
+        tree.objects = matrix(tree.blobs, width, scale, shift)
         return tree
 
-    def search(self, metric: Metric, q: np.ndarray, own, k: int, floor: float, rank) -> tuple[list[tuple], int]:
-        """The k best (product, id, object) with a product of at least ``floor``, best-first; and the distances computed."""
+    def search(self, metric: Metric, q: np.ndarray, own, k: int, floor: float, rank, score=None) -> tuple[list[tuple], int]:
+        """The k best (product, id, object) with a product of at least ``floor``, best-first; and the distances computed.
+
+        ``score`` gives (exact product, the same as a double) of an entry where doubles are not exact.
+        """
         norm = float(q @ q)
         best: list[tuple] = []  # the worst first: product, then the later id
-        reach = metric.of_product(norm, floor) + metric.margin if floor > -np.inf else np.inf
+        reach = metric.reach(norm, floor) if floor > -np.inf else np.inf
+        low = floor  # as a double: the k-th product or the floor
         waiting = [(0.0, 0, None)]  # lower bound, page, distance to the page's routing object
         computed = 0
         while waiting:
@@ -159,17 +201,18 @@ class MTree:
             products = self.objects[entry] @ q
             computed += len(entry)
             if self.leaf[page]:
-                cut = best[0][0] if len(best) == k else floor
-                for i in np.flatnonzero(products >= cut).tolist():
+                for i in np.flatnonzero(products >= low - 2 * metric.slack).tolist():
                     if self.ids[entry[i]] == own:
                         continue
-                    item = (float(products[i]), rank(self.ids[entry[i]]), int(entry[i]))
+                    value, near = score(entry[i]) if score else (float(products[i]),) * 2
+                    item = (value, rank(self.ids[entry[i]]), int(entry[i]), near)
                     if len(best) < k:
                         heapq.heappush(best, item)
                     elif item > best[0]:
                         heapq.heapreplace(best, item)
                 if len(best) == k:
-                    reach = min(reach, metric.of_product(norm, best[0][0]) + metric.margin)
+                    low = max(low, best[0][3])
+                    reach = min(reach, metric.reach(norm, best[0][3]))
             else:
                 far = metric.of_product(norm, products)
                 lower = np.maximum(far - radius, 0)
@@ -186,100 +229,213 @@ def id_rank(text: str) -> tuple:
         return (1, 0, "".join(chr(0x10FFFF - ord(c)) for c in text)) if text else (0, 0, "")
 
 
-def top_products(
+def in_turn(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, list[pd.DataFrame], pd.DataFrame]]:
+    """(key, held rows, asking rows) of each key in turn; held rows come first and stay for the key's later batches."""
+    key, held = None, []
+    for batch in batches:
+        for own, some in batch.groupby(keys, sort=False):
+            if own != key:
+                key, held = own, []
+            if (some["kind"] == 0).any():
+                held.append(some[some["kind"] == 0])
+            asking = some[some["kind"] == 1]
+            if len(asking):
+                yield key, held, asking
+
+
+def meet(held: DataFrame, asking: DataFrame, keys: list[str], use, schema: str) -> DataFrame:
+    """Sends the few held rows of every key to the task that its asking rows stream through."""
+    both = held.withColumn("kind", F.lit(0)).unionByName(asking.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    both = both.fillna(0, [c for c in ("row", "slot", "pieces", "node", "home", "place") if c in both.columns])
+    return both.repartition(*keys).sortWithinPartitions(*keys, "kind").mapInPandas(use, schema)
+
+
+class Shards:
+    """The vectors dealt to shards: the upper nodes of the tree as a table, and a paged tree for each leaf.
+
+    ``nodes`` has (parent, node, x, radius, pieces): ``pieces`` is 0 for an inner node, else the number of shards of the leaf, 1
+    but for nodes that cannot be divided. ``rows`` has (row, id, x, node, piece).
+    """
+
+    def __init__(self, whole: DataFrame, width: int, scale: int, shard_rows: int, page: int):
+        self.width, self.scale = max(width, 1), scale
+        limit, top = whole.agg(F.max("norm"), F.max("top")).first()
+        self.exact = float(limit or 0) < 2.0**53
+        self.shift = 0 if self.exact else int(np.frexp(top)[1]) + int(np.ceil(np.log2(scale)))
+        self.metric = Metric(float(limit or 0)) if self.exact else Metric(float(self.width), self.width * (self.width + 8) * 2.0**-52)
+        self.matrix = partial(matrix, width=self.width, scale=scale, shift=self.shift)
+        self._deal(whole.select("row", "id", "x"), shard_rows)
+        self._build(page)
+
+    def _deal(self, rows: DataFrame, shard_rows: int) -> None:
+        unpack, metric = self.matrix, self.metric
+        waiting = rows.withColumn("node", F.lit(0).cast("bigint"))
+        sizes = waiting.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+        ended, nodes = [], []
+
+        def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            last, held = None, None
+            for key, pivots, some in in_turn(batches, ["node", "salt"]):
+                if key != last:
+                    last, table = key, pd.concat(pivots)
+                    at, slots = unpack(table["x"].tolist()), table["slot"].to_numpy()
+                    held = at, metric.height(at), slots
+                at, heights, slots = held
+                x = unpack(some["x"].tolist())
+                far = metric.between(x, metric.height(x), at, heights)
+                own = far.argmin(axis=1)
+                child = (some["node"].to_numpy() + 1) * PIVOTS + slots[own]
+                yield some[["row", "id", "x"]].assign(parent=some["node"], node=child, far=far[np.arange(len(x)), own])
+
+        for level in range(LEVELS):
+            ways = F.when(F.col("n") <= shard_rows, 1).otherwise(F.least(F.lit(PIVOTS), F.ceil(F.col("n") / shard_rows) + 1)).cast("int")
+            salts = F.ceil(F.col("n") / (16 * shard_rows)).cast("int")
+            large = staged(sizes.select("node", ways.alias("ways"), salts.alias("salts"), F.col("n").alias("whole")), "sizes")
+            known = waiting.join(large, "node")
+            slot = F.pmod(F.xxhash64("row", F.lit(SEED + level)), F.col("ways")).cast("int")
+            pivots = known.groupBy("node", slot.alias("slot")).agg(F.min_by("x", F.xxhash64("row", F.lit(SEED))).alias("x"))
+            pivots = staged(pivots, "pivots")
+            held = pivots.join(large.select("node", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")), "node")
+            salt = F.pmod(F.xxhash64("row"), F.col("salts")).cast("int")
+            dealt = meet(held, known.select("node", salt.alias("salt"), "row", "id", "x"), ["node", "salt"], deal, "row bigint, id string, x binary, parent bigint, node bigint, far double")
+            dealt = staged(dealt, "dealt")
+            counts = dealt.groupBy("parent", "node").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius"))
+            counts = counts.join(large.select(F.col("node").alias("parent"), "whole"), "parent")
+            last = F.lit(level == LEVELS - 1)
+            pieces = F.when(F.col("n") <= shard_rows, 1).when(last | (F.col("n") > ALIKE * F.col("whole")), F.ceil(F.col("n") / shard_rows)).otherwise(0)
+            known = staged(counts.withColumn("pieces", pieces.cast("int")), "counts")
+            at = pivots.select(((F.col("node") + 1) * PIVOTS + F.col("slot")).alias("node"), "x")
+            nodes.append(known.join(at, "node").select("parent", "node", "x", "radius", "pieces"))
+            placed = dealt.join(known.select("node", "n", "pieces"), "node")
+            piece = F.pmod(F.xxhash64("row", F.lit("piece")), F.col("pieces")).cast("int")
+            ended.append(placed.where("pieces > 0").select("row", "id", "x", "node", piece.alias("piece")))
+            sizes = known.where("pieces = 0").select("node", "n")
+            if sizes.isEmpty():
+                break
+            waiting = placed.where("pieces = 0").select("row", "id", "x", "node")
+        self.levels = len(nodes)
+        self.nodes = staged(reduce(DataFrame.union, nodes), "nodes")
+        self.rows = staged(reduce(DataFrame.union, ended), "sharded")
+
+    def _build(self, page: int) -> None:
+        unpack, metric = self.matrix, self.metric
+
+        def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            ids = np.array([f"{i}\t{r}" for i, r in zip(frame["id"], frame["row"])])
+            blobs = [bytes(x) for x in frame["x"]]
+            tree = MTree.build(metric, unpack(blobs), ids, page)
+            return pd.DataFrame([(int(key[0]), int(key[1]), tree.save(blobs))], columns=["node", "piece", "tree"])
+
+        self.trees = staged(self.rows.groupBy("node", "piece").applyInPandas(build, "node bigint, piece int, tree binary"), "trees")
+
+    def visit(self, pairs: DataFrame, k: int) -> DataFrame:
+        """(query, query_id, vec, score, product, computed) of queries met with shards: each shard's tree is sent once to every block.
+
+        One row of each pair has no vec and holds the number of distances computed.
+        """
+        width, scale, shift, exact, metric = self.width, self.scale, self.shift, self.exact, self.metric
+
+        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            last, tree, texts, order = None, None, [], {}
+            for key, held, some in in_turn(batches, ["node", "piece", "block"]):
+                if key != last:
+                    last, tree = key, MTree.load(bytes(held[0]["tree"].iloc[0]), width, scale, shift)
+                    names = [t.split("\t") for t in tree.ids.tolist()]
+                    texts = [i for i, _ in names]
+                    tree.ids = np.array([int(r) for _, r in names], dtype=np.int64)
+                    order = {int(r): (*id_rank(i), -int(r)) for i, r in names}
+                out = []
+                for row, ident, x, floor in zip(*(some[c] for c in ("row", "id", "x", "floor"))):
+                    score = None
+                    if not exact:
+                        q = exactly(x, width, scale)
+
+                        def score(entry, q=q):
+                            whole = sum(a * b for a, b in zip(q, exactly(tree.blobs[entry], width, scale)))
+                            return whole, whole / (1 << 2 * shift)
+
+                    best, computed = tree.search(metric, matrix([x], width, scale, shift)[0], row, k, floor, order.__getitem__, score)
+                    out.append((row, ident, None, None, None, computed))
+                    out += [(row, ident, texts[entry], str(int(value)), near, 0) for value, _, entry, near in best]
+                yield pd.DataFrame(out, columns=["query", "query_id", "vec", "score", "product", "computed"])
+
+        met = pairs.select("node", "piece", "block").distinct().join(self.trees, ["node", "piece"])
+        asking = pairs.select("node", "piece", "block", "row", "id", "x", "floor")
+        return meet(met, asking, ["node", "piece", "block"], search, "query bigint, query_id string, vec string, score string, product double, computed bigint")
+
+    def route(self, known: DataFrame) -> DataFrame:
+        """Queries with every shard that the bounds of the nodes do not exclude, less the one they are in; and the shard's bound."""
+        unpack, metric = self.matrix, self.metric
+
+        def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            last, held = None, None
+            for key, below, some in in_turn(batches, ["parent", "block"]):
+                if key != last:
+                    table = pd.concat(below)
+                    last, held = key, (unpack(table["x"].tolist()), *(table[c].to_numpy() for c in ("node", "radius", "pieces")))
+                at, nodes, radius, pieces = held
+                x = unpack(some["x"].tolist())
+                norm, floor = (x * x).sum(axis=1), some["floor"].to_numpy()
+                bound = np.maximum(metric.of_product(norm[:, None], x @ at.T) - radius[None, :], 0)
+                open_ = np.isneginf(floor)
+                reach = np.where(open_, np.inf, metric.reach(norm, np.where(open_, 0, floor)))
+                for j in range(len(nodes)):
+                    near = np.flatnonzero(bound[:, j] <= reach)
+                    if len(near):
+                        kept = some.iloc[near][["block", "row", "id", "x", "floor", "home", "place"]]
+                        yield kept.assign(node=nodes[j], pieces=np.int32(pieces[j]), bound=bound[near, j], norm=norm[near])
+
+        schema = "block int, row bigint, id string, x binary, floor double, home bigint, place int, node bigint, pieces int, bound double, norm double"
+        found, asking = [], known.withColumn("parent", F.lit(0).cast("bigint"))
+        for _ in range(self.levels):
+            below = asking.select("parent", "block").distinct().join(self.nodes, "parent")
+            step = staged(meet(below, asking, ["parent", "block"], descend, schema), "route")
+            found.append(step.where("pieces > 0"))
+            asking = step.where("pieces = 0").select("block", "row", "id", "x", "floor", "home", "place", F.col("node").alias("parent"))
+        pairs = reduce(DataFrame.union, found).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        return pairs.where("NOT (node = home AND piece = place)")
+
+
+def floors(found: DataFrame, k: int) -> DataFrame:
+    """(row, low): the k-th product of each query that has as many."""
+    lists = found.where("vec IS NOT NULL").groupBy("query").agg(F.sort_array(F.collect_list("product"), asc=False).alias("s"))
+    return lists.where(F.size("s") >= k).select(F.col("query").alias("row"), F.element_at("s", k).alias("low"))
+
+
+def search_shards(
     embeddings: DataFrame, queries, *, ident: str = "vec_id", k: int = TOP, scale: int = SCALE, page: int = PAGE, shard_rows: int = SHARD_ROWS
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best other rows of every row for which the condition ``queries`` holds."""
+    """What the shards visited gave each query: see ``Shards.visit``."""
     rows = keyed(embeddings, {"id": F.coalesce(F.col(ident).cast("string"), F.lit("")), "embedding": F.col("embedding"), "asks": F.coalesce(queries, F.lit(False))})
     rows = rows.withColumn("row", F.xxhash64(*KEY))
     width = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
-    asked = rows.where("asks AND id <> ''").select(F.col("row").alias("asked"))
-    whole = staged(whole_vectors(rows.select("row", "id", "embedding"), scale, width), "whole")
-    limit, total = whole.agg(F.max("norm"), F.count(F.lit(1))).first()
-    metric = Metric(float(limit or 0))
-
-    # pivots: a bounded sample, one for each shard's worth of rows at most
-    ways = min(PIVOTS, max(1, -(-total // shard_rows)))
-    held = whole.orderBy(F.xxhash64("row", F.lit(SEED)), "row").limit(ways).select("x").collect()
-    pivots = matrix([bytes(r["x"]) for r in held]) if held else np.zeros((1, max(width, 1)))
-    heights = metric.height(pivots)
-
-    @F.pandas_udf("int")
-    def cell(xs: pd.Series) -> pd.Series:
-        x = matrix(xs.tolist())
-        return pd.Series(metric.between(x, metric.height(x), pivots, heights).argmin(axis=1).astype(np.int32))
-
-    dealt = staged(whole.select("row", "id", "x", cell("x").alias("cell")), "dealt")
-    cells = dealt.groupBy("cell").count().collect()  # one row per pivot
-    splits = {r["cell"]: -(-r["count"] // shard_rows) for r in cells}
-    base, at = {}, 0
-    for c in sorted(splits):
-        base[c], at = at, at + splits[c]
-    firsts = F.element_at(F.create_map(*[F.lit(int(x)) for c in base for x in (c, base[c])]), F.col("cell")) if base else F.lit(0)
-    ways_of = F.element_at(F.create_map(*[F.lit(int(x)) for c in splits for x in (c, splits[c])]), F.col("cell")) if splits else F.lit(1)
-    sharded = dealt.withColumn("shard", (firsts + F.pmod(F.xxhash64("row"), ways_of)).cast("int"))
-
-    def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        x = matrix(frame["x"].tolist())
-        tree = MTree.build(metric, x, np.array([f"{i}\t{r}" for i, r in zip(frame["id"], frame["row"])]), page)
-        centre, tall = pivots[[frame["cell"].iloc[0]]], heights[[frame["cell"].iloc[0]]]
-        reach = metric.between(centre, tall, x, tree.heights).max()
-        return pd.DataFrame([(int(key[0]), int(frame["cell"].iloc[0]), float(reach), tree.save())], columns=["shard", "cell", "radius", "tree"])
-
-    trees = staged(sharded.groupBy("shard").applyInPandas(build, "shard int, cell int, radius double, tree binary"), "trees")
-    reaches = {r["cell"]: r["radius"] for r in trees.groupBy("cell").agg(F.max("radius").alias("radius")).collect()}  # one row per pivot
-    wanted = staged(dealt.join(asked, F.col("row") == F.col("asked")).select("row", "id", "x", "cell"), "asked")
-    blocks = max(1, -(-wanted.count() // QUERY_BLOCK))
-    wanted = wanted.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A shard's tree comes first, then the queries of one block, which stream past it."""
-        tree, texts, order = None, [], {}
-        for batch in batches:
-            out = []
-            for data, row, ident_, x, floor in zip(*(batch[c] for c in ("tree", "row", "id", "x", "floor"))):
-                if data is not None:
-                    tree = MTree.load(bytes(data))
-                    names = [t.split("\t") for t in tree.ids.tolist()]
-                    texts = [i for i, _ in names]
-                    tree.ids = np.array([int(r) for _, r in names], dtype=np.int64)
-                    order = {int(r): (*id_rank(i), -int(r)) for i, r in names}
-                    continue
-                best, _ = tree.search(metric, matrix([x])[0], row, k, floor, order.__getitem__)
-                out += [(row, ident_, int(score), texts[entry]) for score, _, entry in best]
-            yield pd.DataFrame(out, columns=["query", "query_id", "score", "vec"])
-
-    def visit(pairs: DataFrame) -> DataFrame:
-        """Each shard's tree is sent once to every block of queries that wants it."""
-        met = pairs.select("shard", "block").distinct().join(trees.select("shard", "tree"), "shard")
-        none = lambda kind: F.lit(None).cast(kind)
-        left = met.select("shard", "block", F.lit(0).alias("kind"), "tree", F.lit(0).cast("bigint").alias("row"), none("string").alias("id"), none("binary").alias("x"), F.lit(0.0).alias("floor"))
-        right = pairs.select("shard", "block", F.lit(1).alias("kind"), none("binary").alias("tree"), "row", "id", "x", "floor")
-        both = left.union(right).repartition("shard", "block").sortWithinPartitions("shard", "block", "kind")
-        return both.mapInPandas(search, "query bigint, query_id string, score bigint, vec string")
-
-    home = wanted.withColumn("shard", firsts.cast("int"))
-    first = staged(visit(home.select("shard", "block", "row", "id", "x", F.lit(float("-inf")).alias("floor"))), "first")
-    floors = first.groupBy("query").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))  # k products at most
-    floors = floors.select(F.col("query").alias("row"), F.when(F.size("s") >= k, F.element_at("s", k).cast("double")).alias("low"))
-    known = wanted.join(floors, "row", "left").withColumn("floor", F.coalesce("low", F.lit(float("-inf"))))
-
-    def exclude(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The cells that the distance to their pivot and their radius do not exclude, less the shard already searched."""
-        for batch in batches:
-            x = matrix(batch["x"].tolist())
-            norm, floor = (x * x).sum(axis=1), batch["floor"].to_numpy()
-            to_pivot = metric.of_product(norm[:, None], x @ pivots.T)
-            reach = np.where(np.isneginf(floor), np.inf, metric.of_product(norm, np.where(np.isneginf(floor), 0, floor)) + metric.margin)
-            for there, radius in reaches.items():
-                near = np.flatnonzero(to_pivot[:, there] - radius <= reach) if len(x) else []
-                for shard in range(base[there], base[there] + splits[there]):
-                    kept = [i for i in near if base[batch["cell"].iloc[i]] != shard]
-                    if kept:
-                        yield batch.iloc[kept][["block", "row", "id", "x", "floor"]].assign(shard=np.int32(shard))
-
-    pairs = known.select("block", "row", "id", "x", "cell", "floor").mapInPandas(exclude, "block int, row bigint, id string, x binary, floor double, shard int")
-    every = first.union(visit(staged(pairs, "pairs")))
+    asked = rows.where("asks AND id <> ''").select("row")
+    with text_batches(embeddings.sparkSession, "32m"):
+        shards = Shards(staged(whole_vectors(rows.select("row", "id", "embedding"), scale, width), "whole"), width, scale, shard_rows, page)
+        wanted = staged(shards.rows.join(asked, "row"), "asked")
+        blocks = max(1, -(-wanted.count() // QUERY_BLOCK))
+        wanted = wanted.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
+        first = staged(shards.visit(wanted.withColumn("floor", F.lit(float("-inf"))), k), "first")
+
+        known = wanted.join(floors(first, k), "row", "left").withColumn("floor", F.coalesce("low", F.lit(float("-inf"))))
+        known = known.select("block", "row", "id", "x", "floor", F.col("node").alias("home"), F.col("piece").alias("place"))
+        place = F.row_number().over(Window.partitionBy("row").orderBy("bound", "node", "piece"))
+        ranked = staged(shards.route(known).withColumn("nth", place), "ranked")
+        near = staged(shards.visit(ranked.where(F.col("nth") <= NEAREST), k), "near")
+
+        so_far = first.union(near)
+        rest = ranked.where(F.col("nth") > NEAREST).drop("floor").join(floors(so_far, k), "row", "left")
+        metric = shards.metric
+        reach = F.sqrt(F.greatest(F.col("norm") + F.lit(metric.limit) - 2 * (F.col("low") - F.lit(metric.slack)), F.lit(0.0))) + F.lit(metric.margin)
+        rest = rest.where(F.col("low").isNull() | (F.col("bound") <= reach)).withColumn("floor", F.coalesce("low", F.lit(float("-inf"))))
+        return so_far.union(staged(shards.visit(rest, k), "rest"))
+
+
+def top_products(
+    embeddings: DataFrame, queries, *, ident: str = "vec_id", k: int = TOP, scale: int = SCALE, page: int = PAGE, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best other rows of every row for which the condition ``queries`` holds."""
+    every = search_shards(embeddings, queries, ident=ident, k=k, scale=scale, page=page, shard_rows=shard_rows).where("vec IS NOT NULL")
     lists = every.groupBy("query", "query_id").agg(F.collect_list(F.struct("score", "vec")).alias("found"))  # k from each shard at most
 
     @F.pandas_udf("array<struct<rank:int,vec:string,score:bigint>>")
@@ -287,7 +443,7 @@ def top_products(
         out = []
         for some in lists_:
             top = sorted(((int(s["score"]), id_rank(s["vec"]), s["vec"]) for s in some), reverse=True)[:k]
-            out.append([{"rank": r, "vec": v, "score": s} for r, (s, _, v) in enumerate(top, 1)])
+            out.append([{"rank": r, "vec": v, "score": s if -(2**63) <= s < 2**63 else None} for r, (s, _, v) in enumerate(top, 1)])
         return pd.Series(out)
 
     best = lists.select("query_id", F.explode(ranked("found")).alias("b"))

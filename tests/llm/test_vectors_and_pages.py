@@ -1,6 +1,8 @@
 """Vector and page operators against brute force, and the defined odd cases."""
 
 import hashlib
+import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -150,6 +152,46 @@ def test_m_tree_is_exact(spark, limit):
     assert mtree.top_products(frame.where("false"), F.lit(True)).count() == 0
 
 
+def test_m_tree_takes_components_of_any_size(spark):
+    """Beyond 2^53 the products are whole numbers in Python; scores beyond 64 bits are null at their right rank."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(120, 5)) * 10.0 ** rng.integers(0, 4, size=(120, 1))
+    for size, label in ((1e6, "long"), (1e30, "wide"), (1e308, "beyond 256 times")):
+        some = (x * (size / 1e4)).tolist()
+        some[3] = some[4] = [v + 1.0 for v in some[5]]
+        frame = spark.createDataFrame(list(enumerate(some)), "vec_id bigint, embedding array<double>")
+        got = mtree.top_products(frame, F.col("vec_id") % 5 == 0, shard_rows=30, page=8).collect()
+        whole = [[math.floor(Fraction(v) * 256) for v in row] for row in some]
+        want = []
+        for q in range(0, len(some), 5):
+            best = sorted((-sum(a * b for a, b in zip(whole[q], whole[n])), n) for n in range(len(some)) if n != q)[:5]
+            want += [(str(q), r, str(n), -s if -(2**63) <= -s < 2**63 else None) for r, (s, n) in enumerate(best, 1)]
+        assert sorted(tuple(r) for r in got) == sorted(want), label
+
+
+@pytest.mark.parametrize("alike", [0.0, 1.0])
+def test_shards_are_metric_nodes(spark, alike):
+    """Far clusters: most shards are never visited. All vectors alike: the shards are cut evenly, and every one is visited."""
+    rng = np.random.default_rng(2)
+    angle = rng.normal(size=(12, 6))
+    angle *= 40 / np.linalg.norm(angle, axis=1, keepdims=True)
+    x = np.concatenate([a + 0.05 * rng.normal(size=(100, 6)) for a in angle]) if not alike else np.ones((1200, 6))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = mtree.search_shards(frame, F.col("vec_id") % 40 == 0, shard_rows=64, page=16).toPandas()
+    visited = found[found["vec"].isna()].groupby("query")
+    assert len(visited) == 30
+    if alike:
+        assert (visited.size() >= 1200 // 64).all()
+    else:
+        assert visited["computed"].sum().mean() < 0.35 * len(x)
+    got = mtree.top_products(frame, F.col("vec_id") % 40 == 0, shard_rows=64, page=16).toPandas()
+    whole = np.floor(256 * x).astype(int)
+    for q in range(0, 1200, 40):
+        order = [n for n in np.lexsort((np.arange(len(x)), -(whole @ whole[q]))) if n != q][:5]
+        mine = got[got["query_id"] == str(q)].sort_values("rank")
+        assert mine["vec_id"].astype(int).tolist() == order and mine["score"].tolist() == (whole[order] @ whole[q]).tolist()
+
+
 def test_m_tree_passes_entries_over():
     rng = np.random.default_rng(1)
     x = np.concatenate([np.round(rng.normal(c, 3, (100, 4))) for c in (0, 200, 400, 800)])
@@ -159,7 +201,7 @@ def test_m_tree_passes_entries_over():
     for q in x[::37]:
         best, computed = tree.search(metric, q, None, 5, -np.inf, lambda i: -i)
         order = np.lexsort((np.arange(len(x)), -(x @ q)))[:5]
-        assert sorted((-s, i) for s, _, i in best) == sorted((-float(x[i] @ q), i) for i in order)
+        assert sorted((-s, i) for s, _, i, _ in best) == sorted((-float(x[i] @ q), i) for i in order)
         total += computed
     assert total < 0.7 * len(x) * len(x[::37])  # queries near the origin, where all products are alike, exclude little
 
