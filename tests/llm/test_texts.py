@@ -268,6 +268,77 @@ def test_toxicity_held_out_accuracy(spark):
     assert (got["toxic_flag"] == (got["doc_id"] % 4 == 0)).all()
 
 
+def plain_responses(net, texts):
+    """Largest response of every filter by a plain convolution in double precision."""
+    out = []
+    for text in texts:
+        words = [np.mean([net.p["E"][b].astype(float) for b in toxicity.word_buckets(w)], axis=0) for w in toxicity.words_of(text)]
+        row = []
+        for w in toxicity.WIDTHS:
+            places = range(max(len(words) - w + 1, 1))
+            sums = [sum(words[i + k] @ net.p[f"W{w}"][k].astype(float) for k in range(w) if i + k < len(words)) for i in places]
+            row += list(np.max(sums, axis=0) + net.p[f"b{w}"].astype(float))
+        out.append(row)
+    return np.array(out)
+
+
+def plain_loss(net, texts, labels, weights):
+    z = np.maximum(plain_responses(net, texts), 0) @ net.p["out"].astype(float) + float(net.p["bias"][0])
+    loss = (np.logaddexp(0, z) - labels * z) @ weights / weights.sum() + 0.5e-4 * (net.p["out"].astype(float) ** 2).sum()
+    return loss + sum(0.5e-5 * (net.p[f"W{w}"].astype(float) ** 2).sum() for w in toxicity.WIDTHS)
+
+
+def test_toxicity_network_is_a_convolution(monkeypatch):
+    """Responses, also over slices, against a plain convolution; gradients against differences of the plain loss."""
+    texts = ["vile words here and there", "kind", "", None, "a b a b c", "one two three four five six seven eight nine ten", "これは長い文です ok", "x " * 40]
+    labels, weights = np.array([1, 0, 0, 1, 1, 0, 1, 0.0]), np.array([1, 2, 1, 0.5, 1, 1, 1, 1.0])
+    net = toxicity.Network(3)
+    net.fixed = np.zeros(toxicity.BUCKETS, dtype=bool)
+    net.p = {k: (v * 3).astype(np.float32) for k, v in net.p.items()}
+    want = plain_responses(net, texts)
+    assert np.allclose(net.responses(*toxicity.encode(texts))[0], want, atol=1e-5)
+    monkeypatch.setattr(toxicity, "SLICE", 3)
+    assert np.allclose(net.responses(*toxicity.encode(texts))[0], want, atol=1e-5)
+    grad, rows, ge = net.gradient(texts, labels, weights)
+    grad["E"] = np.zeros_like(net.p["E"])
+    grad["E"][rows] = ge
+    net.p = {k: v.astype(float) for k, v in net.p.items()}
+    rng = np.random.default_rng(0)
+    for name, g in grad.items():
+        spots = np.argwhere(np.abs(g) > 1e-3)
+        assert len(spots) or name == "bias"
+        for at in map(tuple, spots[rng.permutation(len(spots))[:12]]):
+            held, sides = net.p[name][at], []
+            for step in (1e-6, -1e-6):
+                net.p[name][at] = held + step
+                sides.append(plain_loss(net, texts, labels, weights))
+            net.p[name][at] = held
+            assert abs((sides[0] - sides[1]) / 2e-6 - g[at]) < 1e-3 * max(1, abs(g[at])), (name, at)
+
+
+def test_toxicity_sample_is_bounded_and_repeatable(spark):
+    rows = [(i % 40, f"text {i} " * (1 + i % 3), "en") for i in range(400)] + [(40, "long " * 200, "en"), (41, "short", None), (41, None, "de")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(42)] + [(0, 1), (None, 1), (1, None)], "doc_id bigint, toxic int")
+    frames = [spark.createDataFrame(some, "doc_id bigint, text string, lang string") for some in (rows, rows[::-1])]
+    got = [sorted(map(tuple, toxicity.sampled(f, labels, 15, 64 * 60).collect()), key=str) for f in frames]
+    assert got[0] == got[1] and len({r[0] for r in got[0]}) == len(got[0])
+    by = [[r for r in got[0] if r[1] == v] for v in (0, 1)]
+    assert all(0 < len(some) <= 15 for some in by) and all(r[0] != 40 for r in got[0])
+    assert all(r[1] == 1 for r in got[0] if r[0] == 0)
+    few = toxicity.sampled(frames[0], labels, 15, 64 * 3).collect()
+    assert all(sum(len((r["text"] or "").encode()) for r in few if r["toxic"] == v) <= 64 * 3 for v in (0, 1))
+
+
+def test_toxicity_reads_the_middle_of_unspaced_writing(spark):
+    assert toxicity.words_of("ab これ-c ไท") == [w.encode() for w in ("ab", "こ", "れ", "-c", "ไ", "ท")]
+    kind, vile = "今日は天気がとても{}良いと思います明日", "今日は天気がとても{}悪いと思います明日"
+    docs = [(i, (vile if i % 3 == 0 else kind).format("一二三四五六七"[i % 7])) for i in range(180)]
+    frame = spark.createDataFrame([(*d, "ja") for d in docs], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id bigint, toxic int")
+    got = toxicity.score_texts(frame, toxicity.train(frame, labels)).where("doc_id >= 120").toPandas()
+    assert ((got["score"] >= 0.3) == (got["doc_id"] % 3 == 0)).all()
+
+
 def test_toxicity_odd_cases(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     got = toxicity.score_texts(odd, toxicity.train(odd, none)).toPandas()
