@@ -15,8 +15,8 @@ rejected above its language's threshold: the ``quantile`` of the trusted documen
 Defined cases: null and empty texts are an end symbol only and get their language's mean; a null language is a language of its
 own; a language with fewer than ``least`` documents for its threshold uses the distance from typical that all languages together
 give, typical being its own mean; without any trusted document nothing is rejected and the perplexity is that of the uniform model; repeated rows are scored each; labels that occur twice
-count once, and a document is trusted when any of its labels is 1; a very long document is a block of its own; an empty
-table gives no rows; only doc_id, text and lang are read.
+count once, and a document is trusted when any of its labels is 1; a very long document lies in one block with those that its
+hash meets; an empty table gives no rows; only doc_id, text and lang are read.
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def unpacked(frame: pd.DataFrame) -> list[str]:
     return [pa.decompress(p, decompressed_size=n, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass") if n else "" for p, n in pairs]
 
 
-def _chunks(frame: pd.DataFrame, chars: int = 2 << 20) -> Iterator[pd.DataFrame]:
+def _chunks(frame: pd.DataFrame, chars: int = 1 << 19) -> Iterator[pd.DataFrame]:
     sizes = frame["size"].to_numpy().cumsum()
     at = 0
     while at < len(frame):
@@ -97,7 +97,7 @@ def count_ngrams(docs: DataFrame, trusted: DataFrame, *, order: int = ORDER) ->
     """(code, seen, all): how often each n-gram of the corpus occurs in trusted documents and in all."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame({"code": np.zeros(0, np.int64), "seen": np.zeros(0, np.int64), "all": np.zeros(0, np.int64)})
+        held, rows = [pd.DataFrame({"code": np.zeros(0, np.int64), "seen": np.zeros(0, np.int64), "all": np.zeros(0, np.int64)})], 0
         for batch in batches:
             for part in _chunks(batch):
                 codes, counts = ngrams(unpacked(part), order)
@@ -106,13 +106,15 @@ def count_ngrams(docs: DataFrame, trusted: DataFrame, *, order: int = ORDER) ->
                 more = pd.DataFrame(
                     {"code": distinct, "seen": np.bincount(at[good], minlength=len(distinct)), "all": np.bincount(at, minlength=len(distinct))}
                 )
-                held = pd.concat([held, more])
-                if len(held) > 1 << 20:
-                    held = held.groupby("code", as_index=False, sort=False).sum()
-                    if len(held) > 1 << 19:  # the rest of the sum is the shuffle's
-                        yield held
-                        held = held.iloc[:0]
-        yield held.groupby("code", as_index=False, sort=False).sum()
+                held.append(more)
+                rows += len(more)
+                if rows > 1 << 20:
+                    held = [pd.concat(held).groupby("code", as_index=False, sort=False).sum()]
+                    if len(held[0]) > 1 << 19:  # the rest of the sum is the shuffle's
+                        yield held[0]
+                        held = [held[0].iloc[:0]]
+                    rows = len(held[0])
+        yield pd.concat(held).groupby("code", as_index=False, sort=False).sum()
         give_back()
 
     text = text_or_empty()
