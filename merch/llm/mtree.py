@@ -29,7 +29,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merch.llm.common import KEY, keyed, text_batches, vectors
@@ -250,6 +250,11 @@ def meet(held: DataFrame, asking: DataFrame, keys: list[str], use, schema: str)
     return both.repartition(*keys).sortWithinPartitions(*keys, "kind").mapInPandas(use, schema)
 
 
+def root() -> Column:
+    """The root node's number 0, as a column that stays a key of joins: a literal would turn them into nested loops."""
+    return F.pmod(F.col("row"), F.lit(1)).cast("bigint")
+
+
 class Shards:
     """The vectors dealt to shards: the upper nodes of the tree as a table, and a paged tree for each leaf.
 
@@ -269,7 +274,7 @@ class Shards:
 
     def _deal(self, rows: DataFrame, shard_rows: int) -> None:
         unpack, metric = self.matrix, self.metric
-        waiting = rows.withColumn("node", F.lit(0).cast("bigint"))
+        waiting = rows.withColumn("node", root())
         sizes = waiting.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
         ended, nodes = [], []
 
@@ -386,7 +391,7 @@ class Shards:
                         yield kept.assign(node=nodes[j], pieces=np.int32(pieces[j]), bound=bound[near, j], norm=norm[near])
 
         schema = "block int, row bigint, id string, x binary, floor double, home bigint, place int, node bigint, pieces int, bound double, norm double"
-        found, asking = [], known.withColumn("parent", F.lit(0).cast("bigint"))
+        found, asking = [], known.withColumn("parent", root())
         for _ in range(self.levels):
             below = asking.select("parent", "block").distinct().join(self.nodes, "parent")
             step = staged(meet(below, asking, ["parent", "block"], descend, schema), "route")
