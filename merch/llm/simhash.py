@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merch.llm.common import KEY, keyed, lower_ascii, text_batches, text_or_empty
+from merch.llm.common import KEY, give_back, keyed, lower_ascii, text_batches, text_or_empty
 from merch.llm.components import components
 from merch.session import staged
 
@@ -57,8 +57,10 @@ def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
     """key, doc_id and the fingerprint as a signed long, for every row."""
 
     @F.pandas_udf("bigint")
-    def finger(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([simhash(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
+    def finger(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.array([simhash(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
+        give_back()
 
     rows = keyed(docs, {"doc_id": F.col("doc_id"), "text": text_or_empty()})
     return rows.select(*KEY, "doc_id", finger("text").alias("fp"))
@@ -192,6 +194,7 @@ def near_links(distinct: DataFrame, *, radius: int = RADIUS, shard_size: int = S
             yield pd.DataFrame(np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
         if len(own) + len(other) > 1:
             yield pd.DataFrame(np.array(shard_links(own, other, radius), dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
+        give_back()
 
     return cells.repartition(*[F.col(c) for c in cell]).sortWithinPartitions(*cell, "side", "fp").mapInPandas(search, "a bigint, b bigint").distinct()
 
