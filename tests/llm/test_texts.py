@@ -329,6 +329,34 @@ def test_toxicity_sample_is_bounded_and_repeatable(spark):
     assert all(sum(len((r["text"] or "").encode()) for r in few if r["toxic"] == v) <= 64 * 3 for v in (0, 1))
 
 
+def test_toxicity_learns_from_all_labelled_texts(spark):
+    """Rare vile words that only later shards hold are learned; every labelled text is used, a very long one too."""
+    vile = lambda i: f"vile{'abcdefgh'[i // 75]}word"
+    docs = [(i, f"alpha w{i % 7} beta {vile(i) if i % 3 == 0 else 'kind'} gamma e{i % 11}", "en") for i in range(600)]
+    long = [(1000, "long " * 300_000, "en")]
+    frame = spark.createDataFrame(docs + long, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)] + [(1000, 0)], "doc_id bigint, toxic int")
+    assert toxicity.sampled(frame, labels).count() == 601
+    model = toxicity.train(frame, labels, shard_texts=100)
+    got = toxicity.score_texts(frame, model).toPandas()
+    want = (got["doc_id"] % 3 == 0) & (got["doc_id"] < 600)
+    assert ((got["score"] >= 0.3) == want).mean() > 0.99 and (got["toxic_flag"] == want).mean() > 0.99
+    assert bytes(toxicity.train(frame, labels, shard_texts=100).first()["weights"]) == bytes(model.first()["weights"])
+
+
+def test_toxicity_thresholds_count_every_score(spark):
+    rng = np.random.default_rng(2)
+    rows = [("ab"[i % 2], float(s), int(rng.random() < s)) for i, s in enumerate(rng.integers(0, 60, 3000) / 60)] + [("c", 0.5, 1)]
+    got = {r["lang"]: r["threshold"] for r in toxicity.best_thresholds(spark.createDataFrame(rows, "lang string, score double, toxic int"), ["lang"]).collect()}
+    for lang in "ab":
+        mine = [(s, y) for g, s, y in rows if g == lang]
+        cuts = sorted({s for s, _ in mine}, reverse=True)
+        f1 = [2 * sum(y for s, y in mine if s >= c) / (sum(s >= c for s, _ in mine) + sum(y for _, y in mine)) for c in cuts]
+        at = f1.index(max(f1))
+        assert got[lang] == (cuts[at] + (cuts[at + 1] if at + 1 < len(cuts) else 0.0)) / 2
+    assert "c" not in got
+
+
 def test_toxicity_reads_the_middle_of_unspaced_writing(spark):
     assert toxicity.words_of("ab これ-c ไท") == [w.encode() for w in ("ab", "こ", "れ", "-c", "ไ", "ท")]
     kind, vile = "今日は天気がとても{}良いと思います明日", "今日は天気がとても{}悪いと思います明日"
