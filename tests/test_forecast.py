@@ -49,6 +49,17 @@ def smooth_by_hand(y, h_out, grid):
     return best[1]
 
 
+def test_monthly_lists_hold_the_months_without_a_row_each(spark):
+    """The same series as from a row per month, also with odd days, and no row per month in the plan."""
+    days = [("a", "2023-11-20", 3), ("a", "2024-02-03", 5), ("a", "2024-02-04", -2), ("b", "2024-05-30", 1), ("c", "2024-01-01", 0), ("c", "2024-03-09", 7),
+            ("d", "2024-01-01", 0), (None, "2024-04-30", 4), ("e", "2024-07-01", 9), ("e", "2024-01-31", 2), ("f", "2024-01-31", 2), ("f", "2024-02-28", None), ("g", None, 2)]
+    frame = spark.createDataFrame([(s, date.fromisoformat(d) if d else None, q) for s, d, q in days], "sku string, sales_date date, total_sales_qty long")
+    lists = h.monthly_lists(frame, "2024-05-30")
+    got, want = (sorted(map(str, fc.monthly_series(m).collect())) for m in (lists, h.monthly_totals(frame, "2024-05-30")))
+    assert got == want and len(got) == 6
+    assert "Generate" not in lists._jdf.queryExecution().toString()
+
+
 def test_smoothing_equals_a_plain_loop(spark):
     rng = np.random.default_rng(5)
     histories = {f"s{n}": rng.integers(0, 40, n).tolist() for n in (6, 7, 17, 18, 23, 24, 30, 60)}
