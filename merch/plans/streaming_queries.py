@@ -18,6 +18,7 @@ from merch.streaming import stockout as so
 
 LANDINGS = 6
 DELAY_DAYS = 10
+FILE_ROWS = 1 << 20  # of a landed file; a larger landing is several files that are read as one batch
 
 
 def shuffled(day, *keys):
@@ -32,16 +33,31 @@ class Landings:
         self.spark, self.schema, self.path = spark, df.drop("_place").schema, stage_path(spark, label)
         self.rows = staged(df, label)
         self.low, self.high = self.rows.agg(F.min("_place"), F.max("_place")).first()
+        most = 0
+        if self.low is not None:
+            most = self.rows.groupBy(self.part().alias("part")).count().agg(F.max("count")).first()[0]
+        self.files = max(1, -(-most // FILE_ROWS))  # every landing has as many, so that a batch is a landing
         spark.createDataFrame([], self.schema).write.parquet(self.path)
+        self.fill(self.files)
+
+    def part(self):
+        """The landing of a row."""
+        return F.floor((F.col("_place") - self.low) * LANDINGS / F.lit(self.high - self.low + 1))
+
+    def fill(self, files):
+        """Empty files up to that many: a batch of the stream must not take files of two landings."""
+        there = len(self.spark.read.schema(self.schema).parquet(self.path).inputFiles())
+        for _ in range(there, files):
+            self.spark.createDataFrame([], self.schema).write.mode("append").parquet(self.path)
 
     def land(self, first, last):
         """Land the parts ``first`` to ``last`` of ``LANDINGS``, in order."""
-        part = F.floor((F.col("_place") - self.low) * LANDINGS / F.lit(self.high - self.low + 1))
         for i in range(first, last + 1) if self.low is not None else ():
-            self.rows.where(part == i).select(*self.schema.names).coalesce(1).write.mode("append").parquet(self.path)
+            self.rows.where(self.part() == i).select(*self.schema.names).repartition(self.files).write.mode("append").parquet(self.path)
+            self.fill((i + 2) * self.files)
 
     def stream(self):
-        return runs.file_stream(self.spark, self.path, self.schema, files=1)
+        return runs.file_stream(self.spark, self.path, self.schema, files=self.files)
 
 
 def _in_two_runs(landings, run, close=None):

@@ -184,3 +184,25 @@ def test_days_wait_for_the_watermark(spark, rocksdb):
     rows = daily_rows(1, 30)
     found = corrected(spark, [rows], delay="5 days")
     assert 0 < len(found) < len(rows) and max(r[1] for r in found) <= day(24)
+
+
+def test_large_landings_are_several_files_and_one_batch(spark, monkeypatch):
+    """No task writes or reads a whole landing; a landing is still one batch, so nothing of it comes late."""
+    from merch.plans import streaming_queries as sq
+
+    monkeypatch.setattr(sq, "FILE_ROWS", 100)
+    day = F.expr("date_add(DATE '2024-01-01', CAST(id DIV 7 AS INT))")
+    rows = spark.range(2800).select((F.col("id") % 3).alias("sku"), day.cast("timestamp").alias("ts"), F.lit(2).cast("bigint").alias("sales_qty"), day.alias("d"))
+    rows = rows.where("d < DATE '2024-12-01' OR d > DATE '2025-01-20'")
+    landings = sq.Landings(spark, rows.withColumn("_place", sq.shuffled(F.col("d"), "ts", "sku")).drop("d"), "many")
+    target = sq.stage_path(spark, "daily")
+
+    def run(stream, checkpoint):
+        return sq.runs.drain_updates(sq.st.stream_daily_totals(stream, f"{sq.DELAY_DAYS} days"), target, ["sku", "sales_date"], checkpoint)
+
+    got = sq._in_two_runs(landings, run).toPandas()
+    want = rows.groupBy("sku", F.col("d").alias("sales_date")).agg(F.sum("sales_qty").alias("total_sales_qty")).toPandas()
+    keys = ["sku", "sales_date"]
+    assert landings.files > 3
+    assert got.sort_values(keys).values.tolist() == want.sort_values(keys).values.tolist()
+    assert max(r[0] for r in spark.read.parquet(landings.path).groupBy(F.input_file_name()).count().select("count").collect()) <= 120
