@@ -328,7 +328,7 @@ def _learned(rows: DataFrame, shards: int, share: float) -> bytes:
         return data["text"].tolist(), data["toxic"].to_numpy(dtype=np.float32)
 
     def first(data: pd.DataFrame) -> pd.DataFrame:
-        net = fit(*arranged(data), share=share)
+        net = fit(*arranged(data), share=share if shards > 1 else None)
         word_buckets.cache_clear()
         give_back()
         return pd.DataFrame({"state": [net.state() if shards > 1 else net.save()]})

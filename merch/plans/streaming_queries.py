@@ -73,7 +73,8 @@ def _in_two_runs(landings, run, close=None):
 
 def _fees(spark, sf_dir):
     """Three loads of the grids land newest first and one of them again: every day keeps its newest load."""
-    grid = fee_grid(spark, sf_dir)
+    grid = staged(fee_grid(spark, sf_dir), "grid")
+    files = max(1, -(-grid.count() // FILE_ROWS))  # of a load, in one batch
     blank = F.concat(F.slice("cells", 1, 16), F.array_repeat(F.lit("-1"), 3))
     load = lambda n, cells, where: grid.where(where).select("day", "position", cells.alias("cells"), F.lit(n).cast("bigint").alias("load"))
     newest = load(3, F.col("cells"), F.day("day") > 10)
@@ -84,8 +85,8 @@ def _fees(spark, sf_dir):
     checkpoint = stage_path(spark, "progress")
     for loads in ((newest, middle), (oldest, middle, oldest)):
         for part in loads:
-            part.coalesce(1).write.mode("append").parquet(landed)
-        st.stream_adfee_days(runs.file_stream(spark, landed, newest.schema, files=1), target, checkpoint)
+            part.repartition(files).write.mode("append").parquet(landed)
+        st.stream_adfee_days(runs.file_stream(spark, landed, newest.schema, files=files), target, checkpoint)
     return latest_days(spark.read.parquet(target))
 
 

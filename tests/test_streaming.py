@@ -206,3 +206,20 @@ def test_large_landings_are_several_files_and_one_batch(spark, monkeypatch):
     assert landings.files > 3
     assert got.sort_values(keys).values.tolist() == want.sort_values(keys).values.tolist()
     assert max(r[0] for r in spark.read.parquet(landings.path).groupBy(F.input_file_name()).count().select("count").collect()) <= 120
+
+
+def test_fee_loads_of_several_files(spark, monkeypatch, tmp_path):
+    """A load is dealt to several files and read as one batch, with the same rows stored."""
+    from merch.plans import streaming_queries as sq
+
+    ts = F.expr("timestampadd(HOUR, CAST(id AS INT), TIMESTAMP '2024-01-05 00:00:00')")
+    kinds = F.expr("element_at(array('view', 'click', 'purchase', 'error'), CAST(id % 4 + 1 AS INT))")
+    events = spark.range(300).select(F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 9).alias("user_id"), kinds.alias("event_type"), (F.col("id") / 4).alias("value"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    asked = []
+    plain = sq.runs.file_stream
+    monkeypatch.setattr(sq.runs, "file_stream", lambda spark, path, schema, files=None: asked.append(files) or plain(spark, path, schema, files))
+    want = sorted(map(str, sq._fees(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(sq, "FILE_ROWS", 40)
+    assert sorted(map(str, sq._fees(spark, str(tmp_path)).collect())) == want and len(want) > 90
+    assert asked[0] == 1 and asked[-1] > 1
