@@ -153,3 +153,17 @@ def test_few_days_travel_when_few_are_marked(spark):
     assert found.count() == 20 * 730
     changed = found.where("adjusted_qty <> total_sales_qty")
     assert changed.count() == 40 and changed.where("low_stock AND adjusted_qty BETWEEN 10 AND 15").count() == 40
+
+
+def test_months_are_sorted_once_and_keep_no_hash_maps(spark):
+    """The months of a SKU follow from two sorts, which spill; equal to sums by hand, also with months without rows."""
+    rows = [("a", date(2024, 1, 3), 0), ("a", date(2024, 1, 20), 4), ("a", date(2024, 1, 20), 1), ("a", date(2024, 4, 2), 6), ("b", date(2024, 2, 9), None),
+            ("b", date(2024, 3, 9), 2), (None, date(2024, 4, 30), 7), ("c", date(2024, 1, 1), 0), ("d", date(2023, 12, 31), -2), ("d", date(2024, 4, 1), 3)]
+    frame = spark.createDataFrame(rows, "sku string, sales_date date, total_sales_qty bigint")
+    months = h.monthly_totals(h.trim_to_first_sale(frame, "2024-04-30"), "2024-04-30")
+    got = sorted(((r["sku"] or "", r["month_end"].month, r["qty"], r["days"]) for r in months.collect()))
+    assert got == [("", 4, 7, 1), ("a", 1, 5, 12), ("a", 2, 0, 29), ("a", 3, 0, 31), ("a", 4, 6, 30), ("b", 3, 2, 23), ("b", 4, 0, 30), ("d", 4, 3, 30)]
+    untrimmed = sorted(((r["sku"] or "", r["month_end"].month, r["qty"]) for r in h.monthly_totals(frame, "2024-04-30").collect()))
+    assert untrimmed == [g[:3] for g in got]
+    plan = months._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" not in plan and "SortAggregate" in plan
