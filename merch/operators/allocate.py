@@ -138,10 +138,13 @@ STATE = "array<struct<principal:string,low:bigint,high:bigint>>"
 
 
 def _fold(step, drop_spent=False):
-    """Serve the SKUs of each territory in order; the last row of a territory carries its closing state."""
+    """Serve the SKUs of each territory in order; the last row of a territory carries its closing state.
+
+    The opening state comes once, on a row of its own before the SKUs of its territory.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, spot, low, high, blank = None, {}, [], [], None
+        now, spot, low, high, blank, served = None, {}, [], [], None, False
 
         def closing():
             left = [{"principal": p, "low": low[i], "high": high[i]} for p, i in spot.items()]
@@ -154,11 +157,16 @@ def _fold(step, drop_spent=False):
             for a, b in zip(cuts, [*cuts[1:], len(batch)]):
                 part = batch.iloc[a:b]
                 if part["_territory"].iloc[0] != now:
-                    if now is not None:
+                    if served:
                         yield closing()
-                    now, opening = part["_territory"].iloc[0], part["opening"].iloc[0]
+                    now, opening, served = part["_territory"].iloc[0], part["opening"].iloc[0], False
+                    head = opening is not None
+                    opening, part = (opening, part.iloc[1:]) if head else ([], part)
                     spot = {p["principal"]: i for i, p in enumerate(opening)}
                     low, high = [p["low"] for p in opening], [p["high"] for p in opening]
+                if not len(part):
+                    continue
+                served = True
                 qty, spend = [], []
                 for units, price, names in zip(part["units"].tolist(), part["price_cents"].tolist(), part["principals"]):
                     at = [i for i, p in enumerate(names) if p in spot]
@@ -173,7 +181,7 @@ def _fold(step, drop_spent=False):
                     qty.append(cells_)
                     spend.append(paid)
                 yield part.drop(columns="opening").assign(qty=qty, spend=spend, closing=None)
-        if now is not None:
+        if served:
             yield closing()
 
     return run
@@ -181,11 +189,15 @@ def _fold(step, drop_spent=False):
 
 def _apply(rows: DataFrame, state: DataFrame, keys: list[str], fold) -> tuple[DataFrame, DataFrame]:
     """The folded rows and the closing state; territories without a SKU keep their opening one."""
-    opening = state.select(territory(keys).alias("_territory"), F.struct("principal", "low", "high").alias("_p"))
-    opening = opening.groupBy("_territory").agg(F.sort_array(F.collect_list("_p")).alias("opening"))
-    met = rows.withColumn("_territory", territory(keys)).join(opening, "_territory", "left")
-    met = met.withColumn("opening", F.coalesce("opening", F.array().cast(STATE)))
-    order = ["_territory", "level", F.col("priority").desc(), F.col("priority_tie").desc(), "sku"]
+    served = rows.withColumn("_territory", territory(keys))
+    # one row opens a territory; its numbers are not null, which would turn those of the SKUs beside it into floats
+    person = F.struct("principal", "low", "high")
+    opening = state.groupBy(territory(keys).alias("_territory"), *keys).agg(F.sort_array(F.collect_list(person)).cast(STATE).alias("opening"))
+    blank = {f.name: F.lit(0 if isinstance(f.dataType, T.NumericType) else None) for f in rows.schema.fields}
+    blank |= {k: F.col(k) for k in keys}
+    head = opening.select(*[blank[f.name].cast(f.dataType).alias(f.name) for f in rows.schema.fields], "_territory", "opening")
+    met = served.withColumn("opening", F.lit(None).cast(STATE)).unionByName(head)
+    order = ["_territory", F.col("opening").isNull(), "level", F.col("priority").desc(), F.col("priority_tie").desc(), "sku"]
     plain = [f for f in met.schema.fields if f.name != "opening"]
     schema = T.StructType(
         [T.StructField(f.name, f.dataType) for f in plain]

@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,3 +210,15 @@ def test_residual_rules(spark):
     assert pick(al.residual(first, "target")) == {1: 5, 2: 5}
     assert pick(al.residual(first, "fifth")) == {1: 15, 2: 15, 3: 6}
     assert pick(al.residual(first, "fifth", soft=True)) == {1: 15, 2: 15, 3: 6}
+
+
+def test_a_territory_is_opened_once():
+    """The opening state comes on one row before the SKUs, also in a batch of its own; territories without SKUs close nothing."""
+    sku = {"sku": 1, "units": 3, "price_cents": 100, "principals": ["a001", "a002"], "opening": None}
+    head = sku | {"sku": 0, "units": 0, "price_cents": 0, "principals": None, "opening": [{"principal": "a001", "low": 900, "high": 950}]}
+    frames = [[head | {"_territory": "x"}], [sku | {"_territory": "x"}, sku | {"_territory": "x", "sku": 2}, head | {"_territory": "y"}], [sku | {"_territory": "z"}]]
+    step = lambda *args: al._even(*args, whom="all", by_high=True, clamp=False)
+    out = pd.concat(al._fold(step)(iter([pd.DataFrame(f) for f in frames])))
+    assert [(r.sku, r.qty, r.spend) for r in out.itertuples() if r.closing is None] == [(1, [3, None], [300, 0]), (2, [3, None], [300, 0]), (1, [None, None], [0, 0])]
+    ends = {t: c for t, c in zip(out["_territory"], out["closing"]) if c is not None}
+    assert ends == {"x": [{"principal": "a001", "low": 300, "high": 350}], "z": []}
