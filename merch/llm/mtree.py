@@ -220,6 +220,65 @@ class MTree:
                     heapq.heappush(waiting, (float(lower[i]), int(self.child[a + kept[i]]), float(far[i])))
         return best, computed
 
+    def search_all(self, metric: Metric, q: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``search`` for many queries (rows of ``q``) where products are exact: objects and products of the k best, and the distances computed.
+
+        A page is opened once for all queries that its bound does not exclude, and its products are one matrix product. ``place``
+        ranks the objects: of equal products the larger place is better. Free spots have object -1.
+        """
+        norm = (q * q).sum(axis=1)
+        low = floor.astype(float)
+        unlimited = np.isneginf(low)
+        reach = np.where(unlimited, np.inf, metric.reach(norm, np.where(unlimited, 0, low)))
+        best, score = np.full((len(q), k), -1), np.full((len(q), k), -np.inf)
+        computed = np.zeros(len(q), dtype=np.int64)
+        every = np.arange(len(q))
+        waiting = [(0.0, 0, 0, every, None, np.zeros(len(q)))]  # least bound, turn, page, queries, their distances to its object, their bounds
+        turn = 0
+        while waiting:
+            _, _, page, who, above, bound = heapq.heappop(waiting)
+            here = np.flatnonzero(bound <= reach[who])
+            if not len(here):
+                continue
+            who = who[here]
+            a, b = self.first[page], self.first[page + 1]
+            entry, radius, child = self.entry[a:b], self.radius[a:b], self.child[a:b]
+            if above is None:
+                wanted = np.ones((len(who), len(entry)), dtype=bool)
+            else:  # stored distances exclude what is too far without computing it
+                wanted = np.abs(above[here][:, None] - self.to_parent[a:b]) - radius <= reach[who][:, None]
+            products = np.full(wanted.shape, -np.inf)
+            if 2 * np.count_nonzero(wanted) >= wanted.size:
+                computed[who] += len(entry)
+                products = np.where(wanted, q[who] @ self.objects[entry].T, -np.inf)
+            else:
+                computed[who] += np.count_nonzero(wanted, axis=1)
+                at, of = np.nonzero(wanted)
+                products[at, of] = np.einsum("ij,ij->i", q[who[at]], self.objects[entry[of]])
+            if self.leaf[page]:
+                products[self.ids[entry][None, :] == own[who][:, None]] = -np.inf
+                products[products < low[who][:, None]] = -np.inf
+                some = np.flatnonzero(products.max(axis=1, initial=-np.inf) > -np.inf)
+                if not len(some):
+                    continue
+                who = who[some]
+                values = np.concatenate([score[who], products[some]], axis=1)
+                objects = np.concatenate([best[who], np.broadcast_to(entry, (len(some), len(entry)))], axis=1)
+                top = np.lexsort((place[objects], values), axis=-1)[:, -k:]
+                score[who] = np.take_along_axis(values, top, axis=1)
+                best[who] = np.where(np.isneginf(score[who]), -1, np.take_along_axis(objects, top, axis=1))
+                full = who[score[who, 0] > -np.inf]
+                low[full] = np.maximum(low[full], score[full, 0])
+                reach[full] = np.minimum(reach[full], metric.reach(norm[full], score[full, 0]))
+            else:
+                far = metric.of_product(norm[who][:, None], np.where(wanted, products, 0))
+                lower = np.maximum(far - radius, 0)
+                open_ = wanted & (lower <= reach[who][:, None])
+                for i in np.flatnonzero(open_.any(axis=0)).tolist():
+                    at, turn = np.flatnonzero(open_[:, i]), turn + 1
+                    heapq.heappush(waiting, (float(lower[at, i].min()), turn, int(child[i]), who[at], far[at, i], lower[at, i]))
+        return best, score, computed
+
 
 def id_rank(text: str) -> tuple:
     """Sorts so that the better of equal products is the larger: smaller numbers first, other ids by text, null last."""
@@ -341,7 +400,7 @@ class Shards:
         width, scale, shift, exact, metric = self.width, self.scale, self.shift, self.exact, self.metric
 
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            last, tree, texts, order = None, None, [], {}
+            last, tree, texts, order, place = None, None, [], {}, None
             for key, held, some in in_turn(batches, ["node", "piece", "block"]):
                 if key != last:
                     last, tree = key, MTree.load(bytes(held[0]["tree"].iloc[0]), width, scale, shift)
@@ -349,15 +408,23 @@ class Shards:
                     texts = [i for i, _ in names]
                     tree.ids = np.array([int(r) for _, r in names], dtype=np.int64)
                     order = {int(r): (*id_rank(i), -int(r)) for i, r in names}
+                    place = np.empty(len(names), dtype=np.int64)
+                    place[sorted(range(len(names)), key=[order[int(r)] for _, r in names].__getitem__)] = np.arange(len(names))
                 out = []
+                if exact:
+                    asked = [some[c].to_numpy() for c in ("row", "id", "floor")]
+                    found = tree.search_all(metric, matrix(some["x"].tolist(), width, scale, shift), asked[0], k, asked[2], place)
+                    for row, ident, objects, products, computed in zip(*asked[:2], *found):
+                        out.append((row, ident, None, None, None, computed))
+                        out += [(row, ident, texts[e], str(int(p)), p, 0) for e, p in zip(objects.tolist(), products.tolist()) if e >= 0]
+                    yield pd.DataFrame(out, columns=["query", "query_id", "vec", "score", "product", "computed"])
+                    continue
                 for row, ident, x, floor in zip(*(some[c] for c in ("row", "id", "x", "floor"))):
-                    score = None
-                    if not exact:
-                        q = exactly(x, width, scale)
+                    q = exactly(x, width, scale)
 
-                        def score(entry, q=q):
-                            whole = sum(a * b for a, b in zip(q, exactly(tree.blobs[entry], width, scale)))
-                            return whole, whole / (1 << 2 * shift)
+                    def score(entry, q=q):
+                        whole = sum(a * b for a, b in zip(q, exactly(tree.blobs[entry], width, scale)))
+                        return whole, whole / (1 << 2 * shift)
 
                     best, computed = tree.search(metric, matrix([x], width, scale, shift)[0], row, k, floor, order.__getitem__, score)
                     out.append((row, ident, None, None, None, computed))

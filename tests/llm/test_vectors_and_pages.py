@@ -206,6 +206,27 @@ def test_m_tree_passes_entries_over():
     assert total < 0.7 * len(x) * len(x[::37])  # queries near the origin, where all products are alike, exclude little
 
 
+def test_m_tree_serves_many_queries_at_once():
+    """The same best objects as one query at a time, with equal products, own rows left out, floors and fewer objects than k."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.round(rng.normal(c, 3, (60, 4))) for c in (0, 200, 400)])
+    x[10:20] = x[5]
+    metric = mtree.Metric(float((x * x).sum(axis=1).max()))
+    place = -np.arange(len(x))
+    for n, k in ((len(x), 5), (4, 5)):
+        tree = mtree.MTree.build(metric, x[:n], np.arange(n), page=16)
+        own = np.arange(0, n, 3)
+        floor = np.full(len(own), -np.inf)
+        for i in range(0, len(own), 2):
+            floor[i] = np.sort(np.delete(x[:n] @ x[own[i]], own[i]))[-min(k, n - 1)]
+        best, score, computed = tree.search_all(metric, x[own], own, k, floor, place)
+        assert computed.sum() < 0.8 * n * len(own) or n < 16
+        for i, q in enumerate(own.tolist()):
+            alone, _ = tree.search(metric, x[q], q, k, floor[i], lambda j: -j)
+            mine = sorted((s, o) for s, o in zip(score[i].tolist(), best[i].tolist()) if o >= 0)
+            assert mine == sorted((s, o) for s, _, o, _ in alone)
+
+
 def test_archive_round_trip(spark):
     big, small = "<p>" + "é" * 800, "tiny"
     rows = [(1, "http://a.example.com/x?b=1#f", big), (9, "https://www.example.org:8443/", big), (9, "https://www.example.org:8443/", big), (3, None, big),
