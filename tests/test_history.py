@@ -167,3 +167,12 @@ def test_months_are_sorted_once_and_keep_no_hash_maps(spark):
     assert untrimmed == [g[:3] for g in got]
     plan = months._jdf.queryExecution().sparkPlan().toString()
     assert "HashAggregate" not in plan and "SortAggregate" in plan
+
+
+def test_a_calendar_is_made_by_many_tasks(spark):
+    """Few distinct SKUs are read by one task; their days are not made by that one."""
+    skus = spark.range(2000).select((F.col("id") % 40).alias("sku")).distinct()
+    days = h.sku_calendar(skus, "2024-01-01", "2024-01-10")
+    parts = days.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sum(r["count"] for r in parts) == 400 and days.distinct().count() == 400
+    assert len(parts) > 1
