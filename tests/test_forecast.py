@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from merch.operators import boosting
 from merch.operators import forecast as fc
 from merch.operators import history as h
 from merch.session import staged
@@ -200,6 +201,56 @@ def test_split_by_sku_and_fits_without_one_side(spark):
         assert trees == [] and set(linear) == {"one", *fc.MODEL_INPUTS}
 
 
+def spark_trees(rows, linear, rounds):
+    """What Spark's own gradient boosting learns from a row per sample and horizon."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    rest = rows.withColumn("rest", F.col("label") - fc._linear(linear))
+    inputs = VectorAssembler(inputCols=fc.MODEL_INPUTS, outputCol="inputs").transform(rest)
+    model = GBTRegressor(
+        featuresCol="inputs", labelCol="rest", validationIndicatorCol="held_back", maxIter=rounds, maxDepth=4, stepSize=0.15,
+        validationTol=1e-3, seed=1, minInstancesPerNode=20,
+    ).fit(inputs)
+
+    def plain(node):
+        if node.subtreeDepth() == 0:
+            return float(node.prediction())
+        return (fc.MODEL_INPUTS[node.split().featureIndex()], float(node.split().threshold()), plain(node.leftChild()), plain(node.rightChild()))
+
+    return [(float(w), plain(tree.rootNode())) for w, tree in zip(model.treeWeights, model._java_obj.trees())]
+
+
+def test_boosting_without_a_row_per_horizon_grows_the_trees_of_spark(spark, monkeypatch):
+    weeks = 96
+    features = staged(h.weekly_features(bent_weeks(spark, 12, weeks).drop("w")), "few")
+    samples = fc.weekly_model_samples(features)
+    rows = staged(fc.weekly_model_rows(features), "rows")
+    assert samples.count() == 12 * (weeks - 36 - 27 + 1) and rows.count() == 27 * samples.count()
+    assert rows.where("NOT held_back").count() <= 10_000  # so Spark, too, cuts its bins by all rows
+    sums, want = boosting.product_sums(samples, 27), fc._product_sums(rows.where("NOT held_back")).first().asDict()
+    assert sums == pytest.approx(want, rel=1e-9)
+    monkeypatch.setattr(boosting, "PENDING", 2)  # residuals are written down between rounds
+    linear, trees = fc.fit_weekly_trees(features, rounds=6)
+    expected = spark_trees(rows, linear, 6)
+    assert len(trees) == len(expected) > 1
+
+    assert [w for w, _ in trees] == [w for w, _ in expected] and trees[0][1][:2] == pytest.approx(expected[0][1][:2])
+    # two regressors that part the rows alike may stand for each other, so the trees are compared by what they tell the rows
+    told = rows.where("NOT held_back").select(F.expr(fc.trees_sql(trees)).alias("a"), F.expr(fc.trees_sql(expected)).alias("b"))
+    row = told.agg(F.max(F.abs(F.col("a") - F.col("b"))).alias("apart"), F.max(F.abs("b")).alias("most"), F.count("a").alias("n")).first()
+    assert row["apart"] < 1e-7 < row["most"] and row["n"] > 1000
+
+
+def test_samples_of_no_sku_and_null_labels(spark):
+    features = h.weekly_features(bent_weeks(spark, 6, 80).drop("w"))
+    unnamed = features.withColumn("sku", F.nullif("sku", F.lit(1)))
+    assert fc.weekly_model_samples(unnamed).where("sku IS NULL").count() == 0
+    broken = features.withColumn("qty_smooth_scaled", F.when(F.col("week_end") != date(2020, 12, 6), F.col("qty_smooth_scaled")))
+    with pytest.raises(Exception, match="null or not finite"):
+        fc.fit_weekly_trees(broken, rounds=1)
+
+
 def test_trees_as_text(spark):
     tree = ("last", 0.5, 1.0, ("ahead", 3.0, -2.0, 1e-7))
     rows = spark.createDataFrame([(0.5, 9.0), (0.6, 3.0), (0.6, 3.5)], "last double, ahead double")
