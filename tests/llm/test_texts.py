@@ -228,6 +228,19 @@ def test_words_tokenize_like_texts():
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_words_of_letters_need_no_whole_encoding():
+    from tokenizers import Tokenizer
+
+    model, coder = Tokenizer.from_file(vocabulary()), packing.WordTokenizer(vocabulary())
+    words = ["strasse", "Straße", "ÉLAN", "çaauxÉ", "ǅep", "ŉÿ", "ªº", "x" * 300, "ıI", "Ƶoo"]
+    assert [coder.of_letters(w) for w in words] == [model.encode(w, add_special_tokens=False).ids for w in words]
+    assert [coder.of_letters(w) for w in ("", "a1", "don't", "İ", "e\u0301", "ΣΑΣ", "语", "a\x01", "<")] == [None] * 9
+    coder.short = False  # as with a vocabulary that treats letters in another way
+    assert coder.of_letters("strasse") is None
+    slow, fast = coder.encode(words), packing.WordTokenizer(vocabulary()).encode(words)
+    assert all((a == b).all() for a, b in zip(slow, fast))
+
+
 def test_chat_digests(spark):
     turns = table(spark, SF, "conversations").toPandas()
     got = QUERIES["op7_chat_round_trip"](spark, SF).toPandas().set_index("conv_id")
