@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merch.llm.common import KEY, give_back, keyed, text_batches, text_or_empty
+from merch.llm.common import KEPT, KEY, give_back, keyed, text_batches, text_or_empty
 from merch.session import staged
 
 CAPACITY = 4096
@@ -168,10 +168,13 @@ class WordTokenizer:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
-    """One for each Python worker, which keeps it from task to task."""
+    """One for each Python worker, which keeps it from task to task, until a task of another operator runs there."""
     return WordTokenizer(path)
 
 
+KEPT.append(tokenizer.cache_clear)
+
+
 def token_pieces(docs: DataFrame, vocabulary: str, *, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece of every document row: its key, doc_id, piece, start, length, ids_crc32, ids."""
 
@@ -184,7 +187,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, *, capacity: int = CAPACITY,
                 stop = max(at + 1, int(np.searchsorted(chars, (chars[at - 1] if at else 0) + CHUNK_CHARS)))
                 yield pieces_of(coder, batch.slice(at, stop - at), capacity, end_id)
                 at = stop
-        give_back()
+        give_back(keep=tokenizer.cache_clear)
 
     rows = keyed(docs, {"doc_id": F.col("doc_id").cast("bigint"), "text": text_or_empty()})
     return rows.mapInArrow(cut, f"{KEY[0]} bigint, {KEY[1]} bigint, {PIECE}")

@@ -97,6 +97,7 @@ def count_ngrams(docs: DataFrame, trusted: DataFrame, *, order: int = ORDER) ->
     """(code, seen, all): how often each n-gram of the corpus occurs in trusted documents and in all."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         held, rows = [pd.DataFrame({"code": np.zeros(0, np.int64), "seen": np.zeros(0, np.int64), "all": np.zeros(0, np.int64)})], 0
         for batch in batches:
             for part in _chunks(batch):
@@ -172,6 +173,7 @@ def surprises(docs: DataFrame, model: DataFrame, blocks: int, *, order: int = OR
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The distinct n-grams of each block; blocks come one after the other, and one is held at a time."""
+        give_back()
         now, held = None, []
 
         def close():

@@ -328,12 +328,14 @@ def _learned(rows: DataFrame, shards: int, share: float) -> bytes:
         return data["text"].tolist(), data["toxic"].to_numpy(dtype=np.float32)
 
     def first(data: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         net = fit(*arranged(data), share=share if shards > 1 else None)
         word_buckets.cache_clear()
         give_back()
         return pd.DataFrame({"state": [net.state() if shards > 1 else net.save()]})
 
     def others(data: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         out = go_on(state, *arranged(data), share).spans(len(data)).assign(shard=data["shard"].iloc[0])
         word_buckets.cache_clear()
         give_back()
@@ -398,6 +400,7 @@ def score_texts(docs: DataFrame, model: DataFrame, *, score: str = "score", flag
 
     @F.pandas_udf("double")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        give_back()
         net = Network.load(bytes(weights)) if weights is not None else None
         for batch in batches:
             if net is None:

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from merch.llm import chat, licenses, mixing, packing, quality, simhash, toxicity
+from merch.llm import chat, common, licenses, mixing, packing, quality, simhash, toxicity
 from merch.llm.queries import QUERIES, table, vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -241,6 +241,14 @@ def test_words_of_letters_need_no_whole_encoding():
     assert all((a == b).all() for a, b in zip(slow, fast))
 
 
+def test_a_worker_drops_the_tokenizer_when_another_operator_runs():
+    first = packing.tokenizer(vocabulary())
+    common.give_back(keep=packing.tokenizer.cache_clear)
+    assert packing.tokenizer(vocabulary()) is first
+    common.give_back()
+    assert packing.tokenizer.cache_info().currsize == 0
+
+
 def test_chat_digests(spark):
     turns = table(spark, SF, "conversations").toPandas()
     got = QUERIES["op7_chat_round_trip"](spark, SF).toPandas().set_index("conv_id")
