@@ -1,5 +1,7 @@
 from datetime import date, timedelta
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -155,6 +157,44 @@ def test_few_days_travel_when_few_are_marked(spark):
     assert changed.count() == 40 and changed.where("low_stock AND adjusted_qty BETWEEN 10 AND 15").count() == 40
 
 
+def test_marked_days_of_many_skus_are_walked_together():
+    """Batches that cut SKUs anywhere give what each SKU walked alone gives, with repeated days, unknown days and odd stock."""
+    rng = np.random.default_rng(3)
+    rows, wanted = [], []
+    for sku in range(40):
+        days = np.sort(rng.choice(120, 70, replace=False))
+        days = np.sort(np.append(days, days[:5])) if sku % 3 == 0 else days
+        qty = rng.choice([0, 1, 2, 30, 40], len(days)).astype(float)
+        stock = np.where(rng.random(len(days)) < 0.3, rng.integers(0, 3, len(days)), 50 + rng.integers(0, 40, len(days))).astype(float)
+        stock[rng.random(len(days)) < 0.1] = np.nan
+        low = []
+        for d, s in zip(days, stock):
+            before = stock[(days >= d - 14) & (days < d) & (stock > 0)]
+            low.append(d - days[0] >= 14 and len(before) >= 7 and s < before.mean() * 0.3)
+        order = np.lexsort((np.nan_to_num(stock, nan=-1), low, qty, days))
+        fixed = so._walk(days[order], qty[order], np.array(low)[order], 14, 0.5)
+        wanted += [(sku, int(days[i]), qty[i], bool(low[i]), f) for i, f in zip(order, fixed)]
+        rows += [(sku, int(d), q, None if np.isnan(s) else int(s), len(days)) for d, q, s in rng.permutation(np.array([days, qty, stock]).T).tolist()]
+    names = ["sku", "sales_date", "total_sales_qty", "total_available_quantity", "_rows"]
+    kinds = [pa.int64(), pa.date32(), pa.int64(), pa.int64(), pa.int64()]
+    columns = [pa.array([int(v) if v is not None else None for v in c], pa.int32() if k == pa.date32() else k).cast(k) for c, k in zip(zip(*rows), kinds)]
+    for size, block in ((11, 1), (100, 300), (10_000, 200_000)):
+        batches = pa.table(columns, names).to_batches(max_chunksize=size)
+        got = pa.Table.from_batches(so._correct_batches(14, 0.5, 0.3, block)(batches))
+        found = zip(*(got[c].cast(pa.int32()).to_pylist() if c == "sales_date" else got[c].to_pylist() for c in ("sku", "sales_date", "total_sales_qty", "low_stock", "adjusted_qty")))
+        assert sorted(found) == sorted(wanted)
+    assert sum(w[3] for w in wanted) > 300 and sum(w[4] != w[2] for w in wanted) > 100
+
+
+def test_corrected_stock_rule_is_that_of_mark_low_stock(spark):
+    rows = [(s, date(2030, 1, 1) + timedelta(days=d) if d else None, 9 - d % 7, (None, 60, 70, 1, 0)[(d * d + s) % 5]) for s in range(6) for d in range(s // 5 * -1 + 1, 90)]
+    days = spark.createDataFrame(rows, "sku long, sales_date date, total_sales_qty bigint, total_available_quantity bigint")
+    found, marked = so.correct_stockout_sales(days), so.mark_low_stock(days)
+    columns = ["sku", "sales_date", "low_stock"]
+    assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, marked.select(columns).collect()))
+    assert marked.where("low_stock AND sku < 5").count() > 20 and marked.where("low_stock AND sku = 5").count() == 0
+
+
 def test_months_are_sorted_once_and_keep_no_hash_maps(spark):
     """The months of a SKU follow from two sorts, which spill; equal to sums by hand, also with months without rows."""
     rows = [("a", date(2024, 1, 3), 0), ("a", date(2024, 1, 20), 4), ("a", date(2024, 1, 20), 1), ("a", date(2024, 4, 2), 6), ("b", date(2024, 2, 9), None),
