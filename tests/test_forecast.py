@@ -69,6 +69,28 @@ def test_smoothing_equals_a_plain_loop(spark):
         assert got[sku] == pytest.approx(smooth_by_hand(y, 6, fc.GRID), abs=1e-6)
 
 
+def test_few_grid_points_are_smoothed_for_series_of_few_sales(monkeypatch):
+    """Series of few sales are smoothed for the points that may be their best alone, and get the forecasts of the whole grid, bit by bit."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(4000):
+        y = np.zeros(rng.integers(1, 60))
+        sold = rng.integers(0, len(y), rng.integers(0, 6))
+        y[sold] = rng.integers(-1, 50, len(sold)) if i % 4 else rng.normal(0, 1, len(sold)) * 10.0 ** rng.integers(-5, 6)
+        rows.append(y)
+    rows += [rng.integers(0, 40, 50).astype(float), np.array([1.0, np.nan, 2.0])]
+    values, lengths = np.concatenate(rows), np.array([len(y) for y in rows])
+    pairs, smooth = [], fc._smooth
+    monkeypatch.setattr(fc, "_smooth", lambda y, row, point, points, h: pairs.append(len(row)) or smooth(y, row, point, points, h))
+    got = fc._smooth_lists(values, lengths, fc.GRID, 6)
+    few = sum(pairs)
+    monkeypatch.setattr(fc, "PAIRS", 0)
+    assert np.array_equal(got, fc._smooth_lists(values, lengths, fc.GRID, 6), equal_nan=True)
+    assert few < 40 * len(rows) < (sum(pairs) - few) / 2
+    for i in (1, 2, 3, 4000):
+        assert got[i] == pytest.approx(smooth_by_hand(rows[i].tolist(), 6, fc.GRID), abs=1e-6)
+
+
 def test_short_history_stays_in_bounds(spark):
     got = forecasts(fc.forecast_ets(series(spark, {"up": [2, 4, 30, 90, 400], "none": [0, 0, 0]})))
     y = np.array([2, 4, 30, 90, 400.0])
