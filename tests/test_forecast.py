@@ -1,5 +1,5 @@
 import hashlib
-from datetime import date
+from datetime import date, timedelta
 from itertools import product
 
 import numpy as np
@@ -144,6 +144,34 @@ def test_publish_keeps_the_past(spark):
     assert [r["predicted_qty"] for r in rows] == [1, 2, 2]
 
 
+def test_model_sums_equal_those_of_rows_also_with_unknown_weeks(spark):
+    """No row per horizon is made; products that are unknown count in no sum, and without samples the sums are unknown."""
+    weeks = [(None if s == 3 else s, date(2020, 1, 5) + timedelta(days=7 * w), None if 8 < (w + s) % 60 < 15 else (w * w + s) % 41) for s in range(4) for w in range(90)]
+    weekly = spark.createDataFrame(weeks, "sku long, week_end date, qty long")
+    features = staged(h.weekly_features(weekly), "odd-weeks")
+    found = fc.weekly_model_sums(features)
+    want = fc._product_sums(fc.weekly_model_rows(features)).first().asDict()
+    assert want["one__one"] > 0 and features.where("qty_smooth_scaled IS NULL").count() > 0
+    assert found.columns == list(want) and found.first().asDict() == pytest.approx(want, rel=1e-9)
+    assert "Expand" not in (plan := found._jdf.queryExecution().toString()) and "stack" not in plan
+    assert set(fc.weekly_model_sums(features.where("false")).first().asDict().values()) == {None}
+
+
+def test_a_forecast_reads_the_last_weeks_of_a_sku_alone(spark):
+    """The windows of the newest week run over ``n_in`` weeks of each SKU, with the forecast of the whole history; fewer weeks give none."""
+    weeks = [(s, date(2020, 1, 5) + timedelta(days=7 * w), (w * w + s) % 41) for s, many in enumerate((35, 36, 37, 150)) for w in range(many)]
+    features = staged(h.weekly_features(spark.createDataFrame(weeks, "sku long, week_end date, qty long")), "weeks")
+    model = dict.fromkeys(["one", *fc.MODEL_INPUTS], 0.1)
+    found = fc.forecast_weekly(features, model)
+    assert "_further" in found._jdf.queryExecution().toString()
+    last = features.groupBy("sku").agg(F.max("week_end").alias("sample_end"))
+    whole = fc._regressors(fc.model_weeks(features, 0).join(last, ["sku", "sample_end"]).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(27)))))
+    value = F.greatest(fc._linear(model) * (F.col("qty_max") - F.col("qty_min")) + F.col("qty_min"), F.lit(0.0))
+    wanted = whole.select("sku", F.date_add("sample_end", F.col("horizon") * 7).alias("date"), value.alias("forecast"))
+    assert {r["sku"] for r in found.collect()} == {1, 2, 3}
+    assert [r["forecast"] for r in found.orderBy("sku", "date").collect()] == pytest.approx([r["forecast"] for r in wanted.orderBy("sku", "date").collect()])
+
+
 def test_weekly_model_beats_last_year_on_held_out_weeks(spark):
     weeks, skus, hold = 160, 30, 27
     t = F.col("w").cast("double")
